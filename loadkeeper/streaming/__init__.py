@@ -1,0 +1 @@
+"""Structured Streaming forms of readiness, change feeds and incremental ingest."""

@@ -95,13 +95,20 @@ def camel_case(value: Column | str, max_chars: int | None = 2000) -> Column:
     """First letter of every blank-separated word in upper case, the rest in lower case.
 
     Inner blanks stay, trailing blanks go. ``max_chars`` is the declared result width of the
-    function this mirrors; None keeps the whole text.
+    function this mirrors; None keeps the whole text. Case maps letter by letter: a letter whose
+    upper case is two letters stays as it is.
     """
-    words = F.split(F.lower(col(value)), " ")
-    out = F.array_join(
-        F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), w.substr(F.lit(2), F.length(w)))),
-        " ",
-    )
+
+    def capital(word: Column) -> Column:
+        first = F.substring(word, 1, 1)
+        upper = F.upper(first)
+        return F.concat(F.when(F.length(upper) > 1, first).otherwise(upper), word.substr(F.lit(2), F.length(word)))
+
+    lowered = F.lower(col(value))
+    word_by_word = F.array_join(F.transform(F.split(lowered, " "), capital), " ")
+    # For words that start with an ASCII or Latin-1 letter the engine's own function does the same
+    # in generated code; only texts with other word starts are taken apart.
+    out = F.when(lowered.rlike(r"(^| )[^\x00-\x7F\u00C0-\u00DE\u00E0-\u00FE]"), word_by_word).otherwise(F.initcap(lowered))
     if max_chars is not None:
         out = F.substring(out, 1, max_chars)
     return F.rtrim(out)

@@ -24,8 +24,12 @@ SEQUENCE = "ExecutionSequence"  # of an edge
 
 
 def succeeded(log: DataFrame, runs: DataFrame | None = None, success: str = SUCCESS) -> DataFrame:
-    """Distinct (batch_id, job_object_id) with a success row."""
-    rows = log.filter(same("status", success))
+    """Distinct (batch_id, job_object_id) with a success row.
+
+    Keys are filtered for NULL here, so that every join of the result plans the same reduction and
+    the log is read and shuffled once per query.
+    """
+    rows = log.filter(same("status", success) & F.col("batch_id").isNotNull() & F.col(ITEM).isNotNull())
     if runs is not None:
         rows = rows.join(runs.select("batch_id").distinct(), "batch_id", "left_semi")
     return rows.select("batch_id", ITEM).distinct()
@@ -51,26 +55,33 @@ def list_gate_state(
     items: DataFrame,
     all_items: DataFrame,
     done: DataFrame,
+    runs: DataFrame,
     *,
     name_col: str,
     jobs: Sequence[int],
+    job_id: int | None = None,
     list_col: str = "dependent_table_list",
 ) -> DataFrame:
     """Per run and item: entries in its comma list, and succeeded items those entries name.
 
     An item has one name, so the distinct items a list names are the sum, over its distinct names,
     of the succeeded items with that name. Names are counted first; no (item, match) pairs arise.
+    The lists are read from the item table itself (the items of ``job_id``, if given), so that side
+    does not repeat the joins behind ``items``.
     """
     named = all_items.filter(F.col("job_id").isin(*jobs) & (F.col("enabled") == 1))
     counts = (
         done.join(named.select(ITEM, "source_id", fold(name_col).alias("_name")), ITEM)
+        .join(runs.select("batch_id", "source_id").distinct(), ["batch_id", "source_id"], "left_semi")
         .groupBy("batch_id", "source_id", "_name")
         .agg(F.count("*").alias("_n"))
     )
+    asked = all_items.filter(F.col(list_col).isNotNull() & (F.col("enabled") == 1))
+    if job_id is not None:
+        asked = asked.filter(F.col("job_id") == job_id)
     met = (
-        items.filter(F.col(list_col).isNotNull())
-        .select("batch_id", "source_id", ITEM, F.explode(entry_keys(list_col)).alias("_name"))
-        .join(counts, ["batch_id", "source_id", "_name"])
+        asked.select("source_id", ITEM, F.explode(entry_keys(list_col)).alias("_name"))
+        .join(counts, ["source_id", "_name"])
         .groupBy("batch_id", ITEM)
         .agg(F.sum("_n").alias("_met"))
     )
@@ -82,13 +93,13 @@ def list_gate_state(
     )
 
 
-def list_gate(items: DataFrame, all_items: DataFrame, done: DataFrame, **options) -> DataFrame:
-    """Items whose list entries and succeeded namesakes are equal in number.
+def list_gate(items: DataFrame, all_items: DataFrame, done: DataFrame, runs: DataFrame, **options) -> DataFrame:
+    """Enabled items whose list entries and succeeded namesakes are equal in number.
 
     Equal, not "at least": a missing list (NULL) is ready, an empty one ('') never is, a repeated
     name never is, and two succeeded items under one name hold the item back.
     """
-    state = list_gate_state(items, all_items, done, **options)
+    state = list_gate_state(items, all_items, done, runs, **options)
     return state.filter(F.col("expected_count") == F.col("met_count")).select(*items.columns)
 
 

@@ -14,10 +14,12 @@ COUNTS = ("source_rows", "target_rows", "rejected_rows")
 def stage_counts(log: DataFrame, items: DataFrame) -> DataFrame:
     """Row counts per batch, source, object, step and source name; every attempt adds up.
 
-    The log meets the item table before the sum because steps, sources and names live on the item.
+    The log is first reduced to one row per batch and item, then meets the item table, where step,
+    source and name live. Callers that filter the result by step share that one reduction.
     """
     return (
-        log.select("batch_id", "job_object_id", "source_row_count", "target_row_count", "rejected_duplicate_count")
+        log.filter(F.col("batch_id").isNotNull() & F.col("job_object_id").isNotNull())
+        .select("batch_id", "job_object_id", "source_row_count", "target_row_count", "rejected_duplicate_count")
         .groupBy("batch_id", "job_object_id")
         .agg(
             F.sum("source_row_count").alias("source_rows"),

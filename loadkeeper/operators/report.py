@@ -36,7 +36,7 @@ def run_items(log: DataFrame, items: DataFrame) -> DataFrame:
 def success_detail(log: DataFrame, items: DataFrame, objects: DataFrame, *, null_counts_as_zero: bool = False) -> DataFrame:
     """One row per successful log row of an enabled item: duration, size in GB, row counts."""
     zero = (lambda c: F.coalesce(c, F.lit(0))) if null_counts_as_zero else F.col
-    gigabytes = F.col("target_size").cast("decimal(20,0)") / F.lit(1024**3).cast("decimal(10,0)")
+    gigabytes = F.col("target_size").cast("decimal(27,8)") / F.lit(1024**3).cast("decimal(10,0)")
     chosen = items.filter(F.col("enabled") == 1).select(
         ITEM, "source_id", "job_id", "object_id", "source_object_name", "target_object_name", "execution_sequence"
     )
@@ -61,6 +61,12 @@ def success_detail(log: DataFrame, items: DataFrame, objects: DataFrame, *, null
     )
 
 
+def first_errors(errors: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Per key the id of its first error row: by log date, rows without a date first, then by id."""
+    first = F.min(F.struct(F.col("log_date").isNotNull().alias("dated"), "log_date", "error_log_id"))
+    return errors.groupBy(*key).agg(first["error_log_id"].alias("error_log_id"), F.lit(True).alias("_error"))
+
+
 def failure_detail(items: DataFrame, objects: DataFrame, log: DataFrame, errors: DataFrame, runs: DataFrame) -> DataFrame:
     """Enabled items of every run that have no success row, with their class and first error.
 
@@ -74,20 +80,20 @@ def failure_detail(items: DataFrame, objects: DataFrame, log: DataFrame, errors:
         .join(objects.select("object_id", "table_name"), "object_id")
     )
     key = [*RUN, ITEM]
-    logged = log.groupBy(*key).agg(F.lit(True).alias("_logged"))
-    first = F.min(F.struct(F.col("log_date").isNotNull(), "log_date", "error_log_id"))
-    failed = errors.groupBy(*key).agg(first["error_log_id"].alias("error_log_id"), F.lit(True).alias("_error"))
-    done = log.filter(same("status", SUCCESS)).select("batch_id", ITEM).distinct()
+    # Both uses of the reduced log read the same aggregate, so the log is scanned and shuffled once.
+    logged = log.groupBy(*key).agg(F.max(F.coalesce(same("status", SUCCESS), F.lit(False))).alias("_ok"))
+    done = logged.filter("_ok").select("batch_id", ITEM)
+    known = F.col("_error").isNotNull() | F.col("_ok").isNotNull()
     return (
         due.join(done, ["batch_id", ITEM], "left_anti")
         .join(logged, key, "left")
-        .join(failed, key, "left")
+        .join(first_errors(errors, key), key, "left")
         .select(
             *key,
             "table_name",
             "target_object_name",
             "execution_sequence",
-            F.when(F.coalesce("_error", "_logged"), "Failed").otherwise("Skipped").alias("is_failed"),
+            F.when(known, "Failed").otherwise("Skipped").alias("is_failed"),
             F.coalesce(F.col("error_log_id").cast("string"), F.lit("")).alias("error_log_id"),
         )
     )
@@ -119,8 +125,7 @@ def dataset_failure(
     key = ["batch_id", "id"]
     own = lambda df: df.filter(F.col("source_id") == source_id).withColumnRenamed(ITEM, "id")
     logged = own(log).groupBy(*key).agg(F.lit(True).alias("_logged"))
-    first = F.min(F.struct(F.col("log_date").isNotNull(), "log_date", "error_log_id"))
-    failed = own(errors).groupBy(*key).agg(first["error_log_id"].alias("error_log_id"), F.lit(True).alias("_error"))
+    failed = first_errors(own(errors), key)
     done = log.filter(same("status", SUCCESS)).select("batch_id", F.col(ITEM).alias("id")).distinct()
     return (
         due.join(done, key, "left_anti")

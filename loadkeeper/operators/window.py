@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,25 +142,23 @@ def with_history(
 # ---------------------------------------------------------------- query text
 
 
-def code_text(codes: DataFrame, column: str, *, pad: bool = True, max_codes: int = 100_000) -> Column:
-    """All codes of a column as one quoted comma text, as a scalar; NULL without codes.
+def code_texts(codes: DataFrame, names: Sequence[str], *, pad: bool = True, max_codes: int = 100_000) -> dict[str, Column]:
+    """The codes of every named column as one quoted comma text, as scalars; NULL without codes.
 
     Text is for lists that a database accepts inline. One row past ``max_codes`` is read to raise an
-    error; longer lists go through ``code_semi`` or ``with_history``, which join.
+    error; longer lists go through ``code_semi`` or ``with_history``, which join. All columns come
+    from one pass over the table.
     """
-    shown = code4(column) if pad else F.col(column).cast("string")
-    rows = codes.select(shown.alias("_code")).filter("_code IS NOT NULL").limit(max_codes + 1)
-    listed = F.array_join(F.sort_array(F.collect_list("_code")), "','")
-    text = F.when(F.count("*") > 0, F.concat(F.lit("'"), listed, F.lit("'")))
-    too_many = F.raise_error(F.lit(f"more than {max_codes} codes in {column}; join the code table instead"))
-    return rows.agg(F.when(F.count("*") > max_codes, too_many.cast("string")).otherwise(text)).scalar()
-
-
-def code_texts(packed: DataFrame, segments: DataFrame) -> dict[str, Column]:
-    """The texts of all placeholders a filter may name."""
-    out = {name: code_text(packed, name) for name in PACKED_CODES}
-    out.update({name: code_text(segments, name) for name in SEGMENT_CODES})
-    return out
+    shown = {n: code4(n) if pad else F.col(n).cast("string") for n in names}
+    rows = codes.select(*[c.alias(n) for n, c in shown.items()]).limit(max_codes + 1)
+    too_many = F.raise_error(F.lit(f"more than {max_codes} code rows; join the code table instead")).cast("string")
+
+    def listed(n: str) -> Column:
+        quoted = F.concat(F.lit("'"), F.array_join(F.sort_array(F.collect_list(n)), "','"), F.lit("'"))
+        return F.when(F.count("*") > max_codes, too_many).when(F.count(n) > 0, quoted)
+
+    texts = rows.agg(F.struct(*[listed(n).alias(n) for n in names])).scalar()
+    return {n: texts[n] for n in names}
 
 
 def base_text() -> Column:

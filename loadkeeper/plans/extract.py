@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from loadkeeper.functions.clock import Moment, milli_text
 from loadkeeper.operators import window
@@ -10,6 +10,11 @@ from loadkeeper.plans import worklists
 from loadkeeper.plans.worklists import Control
 
 
+def filter_codes(packed: DataFrame, segments: DataFrame) -> dict[str, Column]:
+    """The texts of all placeholders a filter may name."""
+    return window.code_texts(packed, window.PACKED_CODES) | window.code_texts(segments, window.SEGMENT_CODES)
+
+
 def raw_extract(
     c: Control, runs: DataFrame, *, packed_codes: DataFrame, segment_codes: DataFrame, history_keys: DataFrame,
     thresholds: DataFrame, etl_start: Moment, last_run: Moment | None = None, current_run: Moment | None = None,
@@ -19,8 +24,8 @@ def raw_extract(
     upper = window.upper_bound(etl_start, current_run)
     rows = window.with_threshold(worklists.raw(c, runs, names), thresholds)
     rows = window.window_text(
-        rows, window.code_texts(packed_codes, segment_codes), upper=upper, last_run=last_run, hist=hist,
-        history_keys=window.code_text(history_keys, "vbeln", pad=False) if hist else None,
+        rows, filter_codes(packed_codes, segment_codes), upper=upper, last_run=last_run, hist=hist,
+        history_keys=window.code_texts(history_keys, ["vbeln"], pad=False)["vbeln"] if hist else None,
     )
     reported = window.shifted_upper(upper) if hist else upper
     return rows.withColumns(

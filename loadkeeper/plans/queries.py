@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loadkeeper.functions import clock, text
 from loadkeeper.operators import batch, changes, gates, quality, recon, refresh, report, tables, window, worklist
 from loadkeeper.plans import worklists
-from loadkeeper.plans.extract import raw_extract
+from loadkeeper.plans.extract import filter_codes, raw_extract
 from loadkeeper.sources.control import Tables
 
 # Tuesday evening in the east; Saturday afternoon in the east (UTC readings).
@@ -132,7 +132,7 @@ def list_dependency_gate(t):
     c = t.control()
     items = worklist.for_runs(t.items.filter("job_id >= 5 AND enabled = 1"), t.batches)
     state = gates.list_gate_state(
-        items, t.items, c.done(t.batches), name_col="target_object_name", jobs=(3, 4, 5, 6)
+        items, t.items, c.done(t.batches), t.batches, name_col="target_object_name", jobs=(3, 4, 5, 6)
     )
     ready = F.col("expected_count") == F.col("met_count")
     return state.select("batch_id", "job_object_id", "expected_count", "met_count", ready.alias("ready"))
@@ -212,7 +212,7 @@ def window_query_text_hist(t):
 
 @query
 def code_list_text(t):
-    codes = window.code_texts(t.packed_codes, t.segment_codes)
+    codes = filter_codes(t.packed_codes, t.segment_codes)
     rows = t.items.filter("source_filter IS NOT NULL")
     return rows.select("job_object_id", window.filter_text(codes).alias("filter_text"))
 

@@ -88,7 +88,9 @@ def certified(
     done = c.done(runs)
     rows = worklist.in_layers(c.due(runs, CERTIFIED, names), layers)
     rows = gates.pending(rows, done)
-    rows = gates.list_gate(rows, c.items, done, name_col="source_object_name", jobs=(REFINED, CERTIFIED))
+    rows = gates.list_gate(
+        rows, c.items, done, runs, job_id=CERTIFIED, name_col="source_object_name", jobs=(REFINED, CERTIFIED)
+    )
     layer = F.lower("layer")
     sequence = F.when(layer == "dim", 1).when(layer == "fact", 2).otherwise(0)
     rows = gates.edge_gate(rows, c.edges, c.log, c.latest(now), sequence=sequence)
@@ -112,7 +114,7 @@ def curated(
     rows = gates.pending(rows, done)
     if not adhoc:
         rows = gates.list_gate(
-            rows, c.items, done, name_col="target_object_name", jobs=(REFINED, CERTIFIED, CURATED)
+            rows, c.items, done, runs, job_id=CURATED, name_col="target_object_name", jobs=(REFINED, CERTIFIED, CURATED)
         )
     rows = gates.edge_gate(
         rows, c.edges, c.log, c.latest(now),
@@ -139,7 +141,7 @@ def summarized(
     if not adhoc:
         rows = rows.filter(gates.logged_yesterday(c.log, c.items, gate_target, local_day(now)))
         rows = gates.list_gate(
-            rows, c.items, done, name_col="target_object_name", jobs=(REFINED, CERTIFIED, CURATED)
+            rows, c.items, done, runs, job_id=SUMMARIZED, name_col="target_object_name", jobs=(REFINED, CERTIFIED, CURATED)
         )
     rows = gates.edge_gate(
         rows, c.edges, c.log, c.latest(now), sequence=F.lit(1), min_dependent_job=5 if adhoc else None
@@ -159,7 +161,7 @@ def recon(c: Control, runs: DataFrame, now: Moment, *, adhoc=False, last_run=Non
         rows = rows.filter((F.col("source_id") == REFRESH_SOURCE) | refreshed | is_weekend(now))
         rows = rows.filter(~refreshed | like("target_object_name", RECON_KEEP))
         rows = gates.list_gate(
-            rows, c.items, done, name_col="target_object_name", jobs=(REFINED, CERTIFIED, CURATED, SUMMARIZED)
+            rows, c.items, done, runs, job_id=RECON, name_col="target_object_name", jobs=(REFINED, CERTIFIED, CURATED, SUMMARIZED)
         )
         rows = gates.edge_gate(rows, c.edges, c.log, c.latest(now), sequence=F.lit(1))
     return worklist.with_bounds(rows, now, last_run)

@@ -7,9 +7,11 @@ differ. Every table grows with the sample data: work items with ``part``, the ru
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from loadkeeper.plans.worklists import Control
 
@@ -47,7 +49,8 @@ TEXTS = {
           CASE WHEN j = 1 THEN 'raw.obj_' || p || '_1' WHEN j = 2 THEN 'dq.obj_' || p || '_2'
                WHEN j = 3 THEN 'rfn.obj_' || p || '_3'
                WHEN j = 4 THEN 'dwh.' || CASE WHEN p % 2 = 0 THEN 'dim' ELSE 'fact' END || '_' || p || '_4'
-               WHEN j = 5 THEN CASE p WHEN 2 THEN 'dwh.rpt_general_ledger_fccs' WHEN 5 THEN 'dwh.rpt_general_ledger_oracle'
+               WHEN j = 5 AND p IN (2, 7, 12) THEN 'dwh.rpt_general_ledger_fccs'
+               WHEN j = 5 THEN CASE p WHEN 5 THEN 'dwh.rpt_general_ledger_oracle'
                  WHEN 6 THEN 'dwh.rpt_general_ledger_sap' WHEN 10 THEN 'dwh.rpt_general_ledger_oracle_sl'
                  ELSE 'dwh.rpt_' || p || '_5' END
                WHEN j = 6 THEN 'dwh.sum_' || p || '_6'
@@ -163,7 +166,6 @@ INPUTS = ("region", "nation", "part", "supplier", "orders", "lineitem", "events"
 
 def render(text: str, words: dict[str, str]) -> str:
     """The text in one engine's spelling."""
-    import re
 
     def numbers(m):
         listed = ", ".join(f"CAST({i} AS BIGINT)" for i in range(int(m[1]), int(m[2]) + 1))
@@ -174,8 +176,14 @@ def render(text: str, words: dict[str, str]) -> str:
     return text.replace("[text]", words["text"])
 
 
+@lru_cache(maxsize=None)
+def _schema(folder: str, name: str) -> StructType:
+    return SparkSession.active().read.parquet(f"{folder}/{name}.parquet").schema
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A sample table; its schema is read from the file footers once per process."""
+    return spark.read.schema(_schema(folder, name)).parquet(f"{folder}/{name}.parquet")
 
 
 class Tables:

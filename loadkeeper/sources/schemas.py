@@ -5,7 +5,30 @@ Wall-clock columns are TIMESTAMP_NTZ: the tables store local readings without a
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+)
+
+_TYPES = {
+    "INT": IntegerType(), "BIGINT": LongType(), "BOOLEAN": BooleanType(), "STRING": StringType(),
+    "TIMESTAMP_NTZ": TimestampNTZType(), "MEASURE": DecimalType(38, 7),
+}
+
+
+def _struct(columns: str) -> StructType:
+    """Column texts 'name TYPE [NOT NULL], ...' as a schema; needs no running session."""
+    out = StructType()
+    for column in columns.split(","):
+        name, kind, *rest = column.split()
+        out = out.add(name, _TYPES[kind], nullable=not rest)
+    return out
+
 
 _WORK_ITEM = """
 job_object_id INT NOT NULL, job_id INT NOT NULL, source_id INT NOT NULL, source_job_id INT, object_id INT,
@@ -82,7 +105,7 @@ _DDL = {
     + ", ".join(
         f"{m}_{side}"
         for m in ("cum_acquisition_value", "accum_depreciation", "depreciation")
-        for side in ("rpt DECIMAL(38,7)", "certified DECIMAL(38,7)", "refined DECIMAL(38,7)", "match STRING")
+        for side in ("rpt MEASURE", "certified MEASURE", "refined MEASURE", "match STRING")
     ),
     "viewname_s4": """viewname STRING, enable INT, loadtype STRING, keycolumns STRING, checkpointkey STRING,
         filter STRING, target_table_name STRING, target_schema_name STRING""",
@@ -91,18 +114,18 @@ _DDL = {
     "viewname_s4_errorlog": "viewname STRING, log_date TIMESTAMP_NTZ, errormessage STRING",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+SCHEMAS: dict[str, StructType] = {name: _struct(ddl) for name, ddl in _DDL.items()}
 
 
 def audit_of(table: StructType, skip: tuple[str, ...] = ("Source_column_mapping",)) -> StructType:
     """The audit table of a config table: its columns, then what was done, by whom and when."""
     kept = StructType([f for f in table.fields if f.name not in skip])
-    return kept.add("Activity", "string").add("change_doneBy", "string").add("modify_date", "timestamp_ntz")
+    return kept.add("Activity", StringType()).add("change_doneBy", StringType()).add("modify_date", TimestampNTZType())
 
 
 SCHEMAS["job_object_details_audit"] = audit_of(SCHEMAS["job_object_details"])
 # Older copies that differ by a few columns.
-SCHEMAS["job_object_details_copy"] = StructType.fromDDL(_WORK_ITEM).add("is_partition", "int").add("partition_name", "string")
+SCHEMAS["job_object_details_copy"] = _struct(_WORK_ITEM).add("is_partition", IntegerType()).add("partition_name", StringType())
 SCHEMAS["powerbi_dataset_details_older"] = StructType(
     [f for f in SCHEMAS["powerbi_dataset_details"].fields if f.name not in ("quarter_name", "groupid")]
 )

@@ -1,0 +1,47 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from loadkeeper.session import builder  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        builder("tests")
+        .master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def table(spark):
+    """Rows and a DDL schema to a DataFrame."""
+    return lambda ddl, *rows: spark.createDataFrame(list(rows), ddl)
+
+
+@pytest.fixture
+def one(spark):
+    """Evaluates a column without input rows."""
+    return lambda column: spark.range(1).select(column.alias("x")).first()["x"]
+
+
+@pytest.fixture
+def rows():
+    """Collected rows as sorted tuples of the named columns."""
+
+    def collect(df, *columns):
+        shown = df.select(*columns) if columns else df
+        return sorted((tuple(r) for r in shown.collect()), key=repr)
+
+    return collect

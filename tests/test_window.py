@@ -1,0 +1,160 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from loadkeeper.functions.clock import wall
+from loadkeeper.operators import window
+
+ITEM = """source_id int, source_object_name string, source_query string, source_filter string, source_filter_add string,
+  source_update_identifier string, source_update_identifier_hist string, is_full_load int, is_full_load_hist int,
+  last_run_time timestamp_ntz"""
+LAST = dt.datetime(2023, 12, 31, 6, 30, 59)
+UPPER = "2024-01-02 22:04:05"
+
+
+def text(table, spark, *, hist=False, codes=None, history=None, **fields):
+    values = dict(
+        source_id=1, source_object_name="ap.Tab", source_query=None, source_filter=None, source_filter_add=None,
+        source_update_identifier="upd", source_update_identifier_hist="upd", is_full_load=0, is_full_load_hist=0,
+        last_run_time=LAST,
+    ) | fields
+    codes = codes if codes is not None else {n: F.lit(f"'{n}'") for n in ("vkorg", "werks")}
+    df = window.window_text(
+        table(ITEM, tuple(values.values())), codes, upper=wall(UPPER), hist=hist,
+        history_keys=None if history is None else F.lit(history),
+    )
+    return df.first()["source_filter_final"]
+
+
+LO, HI = "2023-12-31 06:30", "2024-01-02 22:04"
+
+
+def char(prefix, gap="  "):
+    c = f"TO_CHAR({prefix}UPD, 'yyyy-MM-dd HH24:MI')"
+    return f" {c} >={gap}'{LO}' and {c} < '{HI}'"
+
+
+def test_plain_select_and_query(table, spark):
+    assert text(table, spark) == "SELECT * FROM AP.TAB WHERE " + char("", " ")
+    assert text(table, spark, source_query="select 'x' from a") == "SELECT 'X' FROM A WHERE " + char("A.")
+    special = text(table, spark, source_query="q", source_object_name="apps.XLA_distribution_links")
+    assert special == "Q WHERE " + char("B.")
+
+
+@pytest.mark.parametrize("flag, bare, filtered", [(0, " WHERE ", " WHERE F = 'Vkorg' and "), (1, "", " WHERE F = 'Vkorg'"), (None, "", "")])
+def test_load_flag_and_filter(table, spark, flag, bare, filtered):
+    window_part = char("", " ") if flag == 0 else ""
+    assert text(table, spark, is_full_load=flag) == "SELECT * FROM AP.TAB" + bare + window_part
+    assert text(table, spark, is_full_load=flag, source_filter=" ") == "SELECT * FROM AP.TAB" + bare + window_part
+    got = text(table, spark, is_full_load=flag, source_filter="f = @VKORG")
+    assert got == "SELECT * FROM AP.TAB" + filtered.upper().replace(" AND ", " and ") + window_part
+
+
+def test_missing_parts_make_the_text_null(table, spark):
+    assert text(table, spark, last_run_time=None) is None
+    assert text(table, spark, source_object_name=None) is None
+    none = {"vkorg": F.lit(None).cast("string")}
+    assert text(table, spark, source_filter="a = 1", codes=none) is None  # even though it is not named
+    assert text(table, spark, source_filter=None, codes=none) is not None
+
+
+def test_other_dialects(table, spark):
+    assert text(table, spark, source_id=2).endswith(" WHERE UPD >= 20231231063000.000000 and UPD < 20240102220400.000000")
+    assert text(table, spark, source_id=4).endswith(
+        "UPD >=  TO_DATE('31-12-2023 06:30', 'dd-MM-yyyy HH24:MI') and UPD < TO_DATE('02-01-2024 22:04', 'dd-MM-yyyy HH24:MI')"
+    )
+    assert text(table, spark, source_id=3) == "SELECT * FROM AP.TAB WHERE "  # a source without a rule
+
+
+def test_historical_columns(table, spark):
+    hist = lambda **f: text(table, spark, hist=True, source_id=2, **f)
+    assert hist(source_update_identifier_hist="ryear").endswith(" WHERE RYEAR >= '2023' and RYEAR <= '2024'")
+    same = dt.datetime(2024, 1, 1)
+    assert hist(source_update_identifier_hist="Gjahr", last_run_time=same).endswith(" WHERE GJAHR = '2024'")
+    assert hist(source_update_identifier_hist="budat").endswith(" WHERE BUDAT  >= '20231231' and BUDAT < '20240102'")
+    assert hist(source_update_identifier_hist="slt_update").endswith("SLT_UPDATE < 20240102220400.000000")
+    assert hist(source_update_identifier_hist="other") == "SELECT * FROM AP.TAB WHERE "
+
+
+def test_historical_two_columns(table, spark):
+    got = text(table, spark, hist=True, source_filter_add="crea")
+    c, d = "TO_CHAR(UPD, 'yyyy-MM-dd HH24:MI')", "TO_CHAR(CREA, 'yyyy-MM-dd HH24:MI')"
+    assert got == f"SELECT * FROM AP.TAB WHERE ( {d} >=  '{LO}' or {c} >= '{LO}') and {c} < '{HI}'"
+    got = text(table, spark, hist=True, source_filter_add="crea", source_query="q")
+    c, d = c.replace("(U", "(A.U"), d.replace("(C", "(A.C")
+    assert got == f"Q WHERE ( {d} >=  '{LO}' or {c} >=  '{LO}') and {c} < '{HI}'"
+
+
+def test_historical_slice(table, spark):
+    got = text(table, spark, hist=True, source_id=2, source_object_name="x.vbrp", is_full_load_hist=1, history="'7'")
+    assert got == (
+        "SELECT * FROM X.VBRP union all SELECT * FROM slt_ods.VBRP WHERE MANDT='100' AND WERKS NOT IN ('werks') and VBELN in ('7')"
+    )
+    none = text(table, spark, hist=True, source_object_name="x.vbrp", codes={"werks": F.lit(None).cast("string")}, history="'7'")
+    assert none is None
+
+
+def code(spark, table, *values, **options):
+    codes = table("a int, b int", *[(v, None) for v in values])
+    texts = window.code_texts(codes, ["a", "b"], **options)
+    return tuple(spark.range(1).select(texts["a"].alias("a"), texts["b"].alias("b")).first())
+
+
+def test_code_texts(spark, table):
+    assert code(spark, table, 7, 12345, None, 3) == ("'000*','0003','0007'", None)
+    assert code(spark, table) == (None, None)
+    assert code(spark, table, None) == (None, None)
+    with pytest.raises(Exception, match="join the code table"):
+        code(spark, table, 1, 2, 3, max_codes=2)
+
+
+def test_bounds(one):
+    assert one(window.upper_bound("2024-07-01 03:00:00")) == dt.datetime(2024, 6, 30, 23)
+    assert one(window.upper_bound("2024-07-01 03:00:00", "2024-05-05 01:02:03")) == dt.datetime(2024, 5, 5, 1, 2, 3)
+    assert one(window.upper_bound("2024-07-01 03:00:00", "1900-01-01 00:00:00")) == dt.datetime(2024, 6, 30, 23)
+    assert one(window.shifted_upper(wall("2024-03-31 10:20:30"), F.lit("Budat "))) == dt.datetime(2024, 2, 29, 10, 20, 30)
+    assert one(window.shifted_upper(wall("2024-03-31 10:20:30"), F.lit("x"))) == dt.datetime(2024, 3, 31, 10, 20, 30)
+    assert one(window.shifted_upper(wall("2024-03-31 10:20:30"), F.lit(None).cast("string"))) == dt.datetime(2024, 3, 31, 10, 20, 30)
+
+
+def test_window_is_half_open_at_the_minute(table, rows):
+    at = dt.datetime.fromisoformat
+    df = table(
+        "id int, a timestamp_ntz, b timestamp_ntz",
+        (1, at("2024-01-01 10:00:00"), None), (2, at("2024-01-01 09:59:59.999"), None),
+        (3, at("2024-01-01 10:59:59"), None), (4, at("2024-01-01 11:00:00"), at("2024-01-01 10:30:00")),
+        (5, at("2023-01-01 00:00:00"), at("2024-01-01 10:30:00")), (6, None, at("2024-01-01 10:30:00")),
+    )
+    lo, hi = "2024-01-01 10:00:45", "2024-01-01 11:00:45"
+    assert rows(window.window_filter(df, "a", lo, hi), "id") == [(1,), (3,)]
+    assert rows(window.window_filter(df, "a", lo, hi, extra_col="b"), "id") == [(1,), (3,), (5,)]
+    with pytest.raises(ValueError, match="no bound"):
+        window.window_filter(df, "a", None, hi)
+
+
+def test_window_reaches_the_scan(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    table("id int, ts timestamp_ntz, wide string", (1, LAST, "x")).write.parquet(path)
+    df = window.window_filter(spark.read.parquet(path), "ts", "2023-01-01", "2024-01-01").select("id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2023-01-01T00:00)" in plan and "LessThan(ts,2024-01-01T00:00)" in plan
+    assert "wide" not in plan
+
+
+def test_history_union(table, rows):
+    data = table("k string, code int, v int", ("a", 1, 1), ("a", 2, 2), ("b", 2, 3), ("c", None, 4), (None, 2, 5))
+    recent = data.filter("v <= 2")
+    keys = table("k string", ("a",), ("c",), ("a",))
+    union = lambda *codes: rows(
+        window.with_history(data, recent, code_col="code", codes=table("c int", *codes), key_col="k", keys=keys), "v"
+    )
+    assert union((1,)) == [(1,), (2,), (2,)]
+    assert union((1,), (None,)) == [(1,), (2,)]
+    assert union() == [(1,), (1,), (2,), (2,), (4,)]
+
+
+def test_threshold_defaults_to_zero(table, rows):
+    items = table("table_name string", ("A ",), ("b",))
+    got = window.with_threshold(items, table("table_name string, threshold int", ("a", 5)))
+    assert rows(got, "table_name", "threshold") == [("A ", 5), ("b", 0)]

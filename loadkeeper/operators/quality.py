@@ -95,6 +95,25 @@ def quality_split(df: DataFrame, rules: Sequence[Rule], **options) -> tuple[Data
     return checked.filter(~bad).drop("dq_errors"), checked.filter(bad)
 
 
+def write_checked(checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Writes checked rows once, accepted and rejected apart, and returns (accepted, rejected, counts).
+
+    The input is read a single time for both parts. The counts are taken from the written files, so
+    retried tasks do not count twice.
+    """
+    spark = checked.sparkSession
+    checked.withColumn("is_rejected", F.size("dq_errors") > 0).write.mode("error").partitionBy("is_rejected").parquet(path)
+    written = spark.read.schema(checked.schema.add("is_rejected", "boolean")).parquet(path)
+    accepted = written.filter("NOT is_rejected").drop("is_rejected", "dq_errors")
+    rejected = written.filter("is_rejected").drop("is_rejected")
+    counts = written.agg(
+        F.count("*").alias("source_row_count"),
+        F.count(F.when(~F.col("is_rejected"), 1)).alias("target_row_count"),
+        F.count(F.when(F.col("is_rejected"), 1)).alias("rejeted_row_count"),
+    )
+    return accepted, rejected, counts
+
+
 def quality_counts(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Source, target and rejected row counts of checked rows, for the audit row."""
     bad = F.size("dq_errors") > 0
@@ -174,6 +193,34 @@ def upsert_counts(result: DataFrame) -> DataFrame:
     return result.agg(n("insert").alias("insert_row_count"), n("update").alias("update_row_count"))
 
 
+def upsert_history(
+    target: DataFrame, changes: DataFrame, key: Sequence[str], *, now: Column, valid_from="valid_from", valid_to="valid_to"
+) -> DataFrame:
+    """The target with row history: changed rows are closed at ``now`` and follow as new open rows.
+
+    ``target`` carries the validity columns; open rows have a NULL end. Closed rows pass through.
+    """
+    rest = [c for c in changes.columns if c not in key]
+    closed = target.filter(F.col(valid_to).isNotNull())
+    current = target.filter(F.col(valid_to).isNull())
+    old = current.select(*key, F.struct(*rest).alias("_old"), F.col(valid_from).alias("_since"))
+    new = changes.select(*key, F.struct(*rest).alias("_new"))
+    changed = F.col("_new").isNotNull() & ~F.col("_old").eqNullSafe(F.col("_new"))
+    end = F.when(changed, now)
+    # A changed row leaves two versions, the closed old one and the open new one.
+    versions = F.array_compact(
+        F.array(
+            F.when(F.col("_old").isNotNull(), F.struct(F.col("_old").alias("row"), F.col("_since").alias("a"), end.alias("b"))),
+            F.when(changed, F.struct(F.col("_new").alias("row"), now.alias("a"), F.lit(None).cast("timestamp_ntz").alias("b"))),
+        )
+    )
+    joined = old.join(new, list(key), "full_outer").select(*key, F.explode(versions).alias("_v"))
+    open_rows = joined.select(
+        *key, *[F.col(f"_v.row.{c}").alias(c) for c in rest], F.col("_v.a").alias(valid_from), F.col("_v.b").alias(valid_to)
+    )
+    return closed.select(*open_rows.columns).unionByName(open_rows)
+
+
 def delete_rows(df: DataFrame, identifier: str) -> DataFrame:
     """Rows for which the delete predicate does not hold; unknown is not a delete."""
     return df.filter(~F.coalesce(F.expr(identifier), F.lit(False)))

@@ -71,14 +71,14 @@ def stage_reconcile(log: DataFrame, items: DataFrame, objects: DataFrame, stages
     return compared.filter(F.col("raw_dq_differ") | F.col("dq_refined_differ"))
 
 
-def stage_verdict(compared: DataFrame) -> DataFrame:
-    """Mismatched objects per batch and source, and the verdict."""
+def stage_verdict(compared: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """Mismatched objects per batch and source, and the verdict; with ``runs`` also for runs without any row."""
     differs = F.col("raw_dq_differ") | F.col("dq_refined_differ")
-    return (
-        compared.groupBy("batch_id", "source_id")
-        .agg(F.count(F.when(differs, 1)).alias("tablecount"))
-        .withColumn("verdict", F.when(F.col("tablecount") == 0, "count matched").otherwise("count mismatched"))
-    )
+    counts = compared.groupBy("batch_id", "source_id").agg(F.count(F.when(differs, 1)).alias("tablecount"))
+    if runs is not None:
+        asked = runs.select("batch_id", "source_id").distinct().join(counts, ["batch_id", "source_id"], "left")
+        counts = asked.withColumn("tablecount", F.coalesce("tablecount", F.lit(0)).cast("bigint"))
+    return counts.withColumn("verdict", F.when(F.col("tablecount") == 0, "count matched").otherwise("count mismatched"))
 
 
 def layer_reconcile(

@@ -111,6 +111,13 @@ def dataset_success(log: DataFrame, config: DataFrame) -> DataFrame:
     )
 
 
+def dataset_summary(log: DataFrame, config: DataFrame) -> DataFrame:
+    """Entries refreshed and time spent per dataset batch."""
+    ids = config.filter("enabled").select(F.col("id").alias(ITEM))
+    rows = log.filter(same("status", SUCCESS)).join(ids, ITEM, "left_semi")
+    return run_summary(rows, by=("batch_id",))
+
+
 def dataset_failure(
     config: DataFrame, log: DataFrame, errors: DataFrame, batches: Sequence[int], *, source_id: int, months: Column | None = None
 ) -> DataFrame:
@@ -182,19 +189,46 @@ def expand_rows(counted: DataFrame, count_col: str = "n_rows") -> DataFrame:
 # The texts of the report bodies.
 TABLE_START = "<table cellpadding='2' cellspacing='2' border='1'>"
 TABLE_END = "</table>"
-SUCCESS_HEAD = (
+SIZE_HEAD = (
+    "<tr><th>Table Name</th><th>TimeTaken[HH:MM:SS]</th><th>SizeInGB</th><th>SourceRowCount</th>"
+    "<th>TargetRowCount</th><th>Status</th></tr>"
+)
+QUALITY_HEAD = (
+    "<tr><th>Table Name</th><th>TimeTaken[HH:MM:SS]</th><th>SizeInGB</th><th>source_row_count</th>"
+    "<th>target_row_count</th><th>rejeted_row_count</th><th>rejected_duplicate_count</th><th>status</th></tr>"
+)
+COUNT_HEAD = (
     "<tr><th>Table Name</th><th>TimeTaken[HH:MM:SS]</th><th>SourceRowCount</th><th>TargetRowCount</th><th>Status</th></tr>"
 )
+RECON_HEAD = COUNT_HEAD.replace("</tr>", "<th>ReconMismatchRecondCount</th></tr>")
 FAILURE_HEAD = "<tr><th>Table Name</th><th>Isfailed</th><th>ErrorLogId</th></tr>"
+DATASET_HEAD = (
+    "<tr><th>Id</th><th>Domain Name</th><th>Table Name</th><th>Partition Name</th><th>TimeTaken[HH:MM:SS]</th></tr>"
+)
+DATASET_FAILURE_HEAD = (
+    "<tr><th>Id</th><th>Domain Name</th><th>Table Name</th><th>Partition Name</th><th>Isfailed</th><th>ErrorLogId</th></tr>"
+)
+STAGE_HEAD = (
+    "<tr><th>Execution Layer</th><th colspan='2'>DI </th> <th colspan='3'>DQ </th> <th colspan='2'>RF</th></tr>"
+    "<tr><th> Object Name</th><th>Source count </th><th>Target Count</th> <th>Source Count </th><th>Target Count</th>"
+    "<th>Rejected Count</th> <th> Source Count</th><th>Target Count</th></tr>"
+)
+HELLO = "Hi Team, <br/><br/> "
 CLOSING = "<br> Thanks, <br> Data Team"
 CHECK_ERRORS = "<br> Please check error log table for more deatils <br>"
-NO_SUCCESS = "Hi Team, <br/><br/> There is no success records for current execution <br/><br/>"
+NO_RECORDS = HELLO + "There is no success records for current execution "
+NO_SUCCESS = NO_RECORDS + "<br/><br/>"
+STAGE_MISMATCH = HELLO + "Please find data count mismatched table list (DI vs DQ vs RF) for Source : "
+STAGE_MATCH = HELLO + "Record count is matching to all tables in DI VS DQ VS RF for Source : "
+SOURCE_NAMES = {1: "Oracle", 2: "SAP", 3: "FCCS", 4: "TPH"}
 
 
-def html_row(*cells: Column) -> Column:
+def html_row(*cells: Column | str) -> Column:
     """One table row; a NULL cell empties the whole row. Only '&' stays escaped."""
-    text = F.concat(*[p for i, c in enumerate(cells) for p in ([F.lit("</td><td>")] if i else []) + [c.cast("string")]])
-    return F.coalesce(F.concat(F.lit("<tr><td>"), F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("</td></tr>")), F.lit("<tr/>"))
+    shown = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cells]
+    text = F.concat(*[p for i, c in enumerate(shown) for p in ([F.lit("</td><td>")] if i else []) + [c]])
+    escaped = F.replace(text, F.lit("&"), F.lit("&amp;"))
+    return F.coalesce(F.concat(F.lit("<tr><td>"), escaped, F.lit("</td></tr>")), F.lit("<tr/>"))
 
 
 def datetime_text(now: dt.datetime) -> str:
@@ -203,73 +237,193 @@ def datetime_text(now: dt.datetime) -> str:
     return f"{now:%b} {now.day:>2} {now.year} {hour:>2}:{now.minute:02d}{'AM' if now.hour < 12 else 'PM'}"
 
 
-def greeting(topic: Column, status: Column, tail: str = "") -> Column:
-    return F.concat(
-        F.lit("Hi Team, <br/><br/> Please find "), topic, F.lit(" execution "), status, F.lit(" status for sourceid: "),
-        F.col("source_id").cast("string"), F.lit(" batchid: "), F.col("batch_id").cast("string"), F.lit(tail + "<br/><br/>"),
+def shown(*parts: Column | str) -> Column:
+    """Texts and columns joined to one text; NULL wins. Plain strings are literal."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def greeting(status: str, tail: Column | str = "") -> Column:
+    return shown(
+        "Hi Team, <br/><br/> Please find ", F.col("topic"), f" execution {status} status for sourceid: ",
+        F.col("source_id"), " batchid: ", F.col("batch_id"), tail, "<br/><br/>",
+    )
+
+
+def run_subject(status: str, server: str, now: dt.datetime) -> Column:
+    at = datetime_text(now)
+    return shown(
+        "SourceID: ", F.col("source_id"), " ", F.col("topic"), f" execution {status} status, servername: {server} - {at}"
+    )
+
+
+def totals() -> Column:
+    return shown(
+        "Total table processed = ", F.col("table_count"), "<br/> Total execution time  &nbsp;= ", F.col("total_time"),
+        " (HH:MM)<br/><br/>",
     )
 
 
-def subject(topic: Column, status: Column, server: str, now: dt.datetime) -> Column:
-    return F.concat(
-        F.lit("SourceID: "), F.col("source_id").cast("string"), F.lit(" "), topic, F.lit(" execution "), status,
-        F.lit(f" status, servername: {server} - {datetime_text(now)}"),
+def no_failures(tail: Column | str = "") -> Column:
+    return shown(
+        "Hi Team, <br/><br/> There is no failure records for current execution -- SourceID: ", F.col("source_id"),
+        " , BatchID: ", F.col("batch_id"), tail, "<br/><br/>", CLOSING,
     )
 
 
 def notification(
-    groups: DataFrame, pages: DataFrame, routing: DataFrame, *, status: str, server: str, now: dt.datetime
+    groups: DataFrame, pages: DataFrame, routing: DataFrame, *, keys: Sequence[str], status: str,
+    subject: Column, head: Column, none: Column, is_none: Column, tail: str = TABLE_END + CLOSING,
 ) -> DataFrame:
-    """Topic, recipients, subject and body per run; long reports come in several pages.
+    """Topic, recipients, subject and body per group; long reports come in several pages.
 
-    ``groups`` has the run keys, topic and, for successes, table_count and total_time. ``pages`` is
-    ``paged_text`` over the detail rows of each run. Recipients come from ``routing`` by topic and
-    status. Runs without detail rows get the short "no records" body.
+    ``groups`` has the keys, the topic and what the texts name. ``pages`` is ``paged_text`` over the
+    detail rows of each group. Recipients come from ``routing`` by topic and status. Groups for
+    which ``is_none`` holds get the short body; a group without rows otherwise has no body.
     """
-    topic, state = F.col("topic"), F.lit(status)
-    if status == SUCCESS:
-        head = F.concat(
-            greeting(topic, state),
-            F.lit("Total table processed = "), F.col("table_count").cast("string"),
-            F.lit("<br/> Total execution time  &nbsp;= "), F.col("total_time"), F.lit(" (HH:MM)<br/><br/>"),
-            F.lit(TABLE_START + SUCCESS_HEAD),
-        )
-        tail, none = F.lit(TABLE_END + CLOSING), F.lit(NO_SUCCESS + CLOSING)
-    else:
-        head = F.concat(greeting(topic, state), F.lit(TABLE_START + FAILURE_HEAD))
-        tail = F.lit(TABLE_END + CHECK_ERRORS + CLOSING)
-        none = F.concat(
-            F.lit("Hi Team, <br/><br/> There is no failure records for current execution -- SourceID: "),
-            F.col("source_id").cast("string"), F.lit(" , BatchID: "), F.col("batch_id").cast("string"),
-            F.lit("<br/><br/>" + CLOSING),
-        )
     recipients = routing.filter(same("status", status)).select(fold("topic").alias("_topic"), "tolist")
     return (
-        groups.join(pages, RUN, "left")
+        groups.join(pages, list(keys), "left")
         .withColumn("_topic", fold("topic"))
         .join(recipients, "_topic")
         .select(
-            *RUN,
+            *keys,
             F.coalesce("page", F.lit(0)).cast("bigint").alias("page"),
             "topic",
             "tolist",
-            subject(topic, state, server, now).alias("subject"),
-            F.when(F.col("body").isNull(), none).otherwise(F.concat(head, F.col("body"), tail)).alias("body"),
+            subject.alias("subject"),
+            F.when(is_none, none).otherwise(shown(head, F.col("body"), tail)).alias("body"),
         )
     )
 
 
-def failure_pages(detail: DataFrame, page_rows: int = 1000) -> DataFrame:
-    row = html_row(F.col("table_name"), F.col("is_failed"), F.col("error_log_id"))
-    return paged_text(detail, RUN, key=F.col(ITEM).cast("string"), text=row, page_rows=page_rows)
+def success_row() -> Column:
+    """The success row of a step: sizes for steps 1 and 3, rejects for step 2, counts for the rest."""
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    common = ("table_name", "time_taken", "size_gb", "source_row_count", "target_row_count", "status")
+    rejects = ("rejected_row_count", "rejected_duplicate_count", "status")
+    return (
+        F.when(F.col("job_id").isin(1, 3), html_row(*common))
+        .when(F.col("job_id") == 2, html_row("source_object_name", *common[1:-1], *rejects))
+        .otherwise(html_row("table_name", "time_taken", zero("source_row_count"), zero("target_row_count"), "status"))
+    )
+
+
+def success_head() -> Column:
+    return F.when(F.col("job_id").isin(1, 3), SIZE_HEAD).when(F.col("job_id") == 2, QUALITY_HEAD).otherwise(COUNT_HEAD)
 
 
 def success_pages(detail: DataFrame, page_rows: int = 1000) -> DataFrame:
-    row = html_row(*[F.col(c) for c in ("table_name", "time_taken", "source_row_count", "target_row_count", "status")])
+    row = success_row()
     key = F.concat_ws("|", F.col(ITEM).cast("string"), row)
     return paged_text(detail, RUN, key=key, text=row, page_rows=page_rows)
 
 
+def success_notification(
+    groups: DataFrame, pages: DataFrame, routing: DataFrame, *, server: str, now: dt.datetime, tail: Column | str = ""
+) -> DataFrame:
+    """Success reports; ``groups`` has the run keys, topic, table_count and total_time."""
+    none = F.when(
+        F.col("job_id") == 2,
+        shown(NO_RECORDS, "-- SourceID: ", F.col("source_id"), " , BatchID: ", F.col("batch_id"), "<br/><br/>", CLOSING),
+    ).otherwise(NO_SUCCESS + CLOSING)
+    return notification(
+        groups, pages, routing, keys=RUN, status=SUCCESS, subject=run_subject(SUCCESS, server, now),
+        head=shown(greeting(SUCCESS, tail), totals(), TABLE_START, success_head()),
+        none=none, is_none=F.coalesce("table_count", F.lit(0)) == 0,
+    )
+
+
+def failure_pages(detail: DataFrame, page_rows: int = 1000) -> DataFrame:
+    row = html_row("table_name", "is_failed", "error_log_id")
+    return paged_text(detail, RUN, key=F.col(ITEM).cast("string"), text=row, page_rows=page_rows)
+
+
+def failure_notification(
+    groups: DataFrame, pages: DataFrame, routing: DataFrame, *, server: str, now: dt.datetime, tail: Column | str = ""
+) -> DataFrame:
+    """Failure reports; ``groups`` has the run keys and topic."""
+    return notification(
+        groups, pages, routing, keys=RUN, status="failed", subject=run_subject("failed", server, now),
+        head=shown(greeting("failed", tail), TABLE_START, FAILURE_HEAD), tail=TABLE_END + CHECK_ERRORS + CLOSING,
+        none=no_failures(tail), is_none=F.col("body").isNull(),
+    )
+
+
+def dataset_pages(detail: DataFrame, *, failed: bool, page_rows: int = 1000) -> DataFrame:
+    last = ("is_failed", "error_log_id") if failed else ("time_taken",)
+    row = html_row("id", "domain_name", "table_name", "partition_name", *last)
+    return paged_text(detail, ["batch_id"], key=F.concat_ws("|", "id", row), text=row, page_rows=page_rows)
+
+
+def dataset_notification(
+    groups: DataFrame, pages: DataFrame, routing: DataFrame, *, failed: bool, server: str, now: dt.datetime
+) -> DataFrame:
+    """Reports of dataset batches; ``groups`` has batch_id, source_id, topic and, for successes, the totals."""
+    status = "failed" if failed else SUCCESS
+    if failed:
+        head, tail = shown(greeting(status), TABLE_START, DATASET_FAILURE_HEAD), TABLE_END + CHECK_ERRORS + CLOSING
+        none, is_none = no_failures(), F.col("body").isNull()
+    else:
+        head, tail = shown(greeting(status), totals(), TABLE_START, DATASET_HEAD), TABLE_END + CLOSING
+        none, is_none = F.lit(NO_SUCCESS + CLOSING), F.coalesce("table_count", F.lit(0)) == 0
+    return notification(
+        groups, pages, routing, keys=["batch_id"], status=status, subject=run_subject(status, server, now),
+        head=head, tail=tail, none=none, is_none=is_none,
+    )
+
+
+def stage_pages(mismatched: DataFrame, page_rows: int = 1000) -> DataFrame:
+    row = html_row(
+        "table_name", "raw_source_rows", "raw_target_rows", "dq_source_rows", "dq_target_rows", "dq_rejected_rows",
+        "refined_source_rows", "refined_target_rows",
+    )
+    key = F.concat_ws("|", "object_id", row)
+    return paged_text(mismatched, ["batch_id", "source_id"], key=key, text=row, page_rows=page_rows)
+
+
+def stage_notification(
+    verdict: DataFrame, pages: DataFrame, routing: DataFrame, *, topic: str, status: str, server: str, now: dt.datetime
+) -> DataFrame:
+    """Count comparison reports per batch and source; sources without a known name have no body."""
+    names = F.create_map(*[F.lit(x) for pair in SOURCE_NAMES.items() for x in pair])
+    groups = verdict.withColumns({"topic": F.lit(topic), "_name": names[F.col("source_id").cast("int")]})
+    place = shown(F.col("_name"), " and  Batchid: ", F.col("batch_id"), "<br/><br/>")
+    state = F.when(F.col("tablecount") == 0, " DI vs DQ vs RF- count matched").otherwise(" DI vs DQ vs RF- count mismatched")
+    return notification(
+        groups, pages, routing, keys=["batch_id", "source_id"], status=status,
+        subject=shown("SourceID: ", F.col("source_id"), state, f", servername: {server} - {datetime_text(now)}"),
+        head=shown(STAGE_MISMATCH, place, TABLE_START, STAGE_HEAD),
+        none=shown(STAGE_MATCH, place, CLOSING), is_none=F.col("tablecount") == 0,
+    )
+
+
+def layer_pages(compared: DataFrame, entity: str, measure: str, page_rows: int = 1000) -> DataFrame:
+    """Table rows of one measure of ``layer_reconcile``, in pages."""
+    row = html_row(entity, *[f"{measure}_{c}" for c in ("rpt", "certified", "refined", "match")])
+    rows = compared.withColumn("measure", F.lit(measure))
+    return paged_text(rows, ["measure"], key=F.col(entity).cast("string"), text=row, page_rows=page_rows)
+
+
+def plain_notice(routing: DataFrame, *, topic: str, status: str, subject: str, body: str) -> DataFrame:
+    """A notice without detail rows to the recipients of a topic and status."""
+    chosen = routing.filter(same("topic", topic) & same("status", status))
+    return chosen.select("topic", "tolist", F.lit(subject).alias("subject"), F.lit(body).alias("body"))
+
+
+def failed_run_notice(routing: DataFrame, *, topic: str, status: str, source_id: int, server: str, now: dt.datetime) -> DataFrame:
+    """'Pipeline failed' for a source."""
+    subject = f"{topic} execution {status} status, servername: {server} - {datetime_text(now)}"
+    body = f"{HELLO}Pipeline failed for SourceID: {source_id} <br/><br/>{CLOSING}"
+    return plain_notice(routing, topic=topic, status=status, subject=subject, body=body)
+
+
+def deleted_files_notice(routing: DataFrame, *, topic: str, status: str, deleted: int, server: str, now: dt.datetime) -> DataFrame:
+    """How many delivered files were deleted after loading."""
+    subject = f"{topic} execution {status} status, servername: {server} - {datetime_text(now)}"
+    body = f"{HELLO}Please find {topic} execution {status} status  FilesDeleted: {deleted}<br/><br/>"
+    return plain_notice(routing, topic=topic, status=status, subject=subject, body=body)
+
+
 # ---------------------------------------------------------------- names and files
 
 

@@ -199,9 +199,13 @@ def _window(form: tuple[str, str], column: Column, lower: Column, upper: Column,
 
 
 def predicate_text(
-    column: Column, lower: Column, upper: Column, *, hist: bool, dialects: Mapping[str, int] = DIALECTS
+    column: Column, lower: Column, upper: Column, *, hist: bool, two_columns: bool = True,
+    dialects: Mapping[str, int] = DIALECTS,
 ) -> Column:
-    """The window in the words of the item's source; '' where a source or column has no rule."""
+    """The window in the words of the item's source; '' where a source or column has no rule.
+
+    ``two_columns`` lets a second change column widen historical windows; older loads do without.
+    """
     source, has_query = F.col("source_id"), F.col("source_query").isNotNull()
     form = lambda f, second=None: _window(f, column, lower, upper, second)
     char = source == dialects["char"]
@@ -221,7 +225,7 @@ def predicate_text(
     else:
         out = F.when(packed, form(PACKED))
     out = out.when(aliased & same("source_object_name", ALIAS_B_TABLE), form(CHAR_B))
-    if hist:
+    if hist and two_columns:
         second = F.col("source_filter_add")
         two = second.isNotNull() & ~F.coalesce(like("source_object_name", HISTORY_TABLES), F.lit(False))
         out = out.when(aliased & two, form(CHAR_TWO_A, second)).when(char & ~has_query & two, form(CHAR_TWO, second))
@@ -241,6 +245,7 @@ def window_text(
     last_run: Moment | None = None,
     hist: bool = False,
     history_keys: Column | None = None,
+    two_columns: bool = True,
     dialects: Mapping[str, int] = DIALECTS,
 ) -> DataFrame:
     """Adds ``source_filter_final``, the next query of every item in its source's own words.
@@ -251,7 +256,7 @@ def window_text(
     suffix = "_hist" if hist else ""
     full_load = F.col("is_full_load" + suffix)
     column = F.col("source_update_identifier" + suffix)
-    window = predicate_text(column, lower_bound(last_run), upper, hist=hist, dialects=dialects)
+    window = predicate_text(column, lower_bound(last_run), upper, hist=hist, two_columns=two_columns, dialects=dialects)
     text = F.concat(base_text(), where_text(full_load, codes), F.when(full_load == 0, window).otherwise(F.lit("")))
     if hist and history_keys is not None:
         with_slice = F.concat(text, fill(HISTORY, werks=codes["werks"], vbeln=history_keys))

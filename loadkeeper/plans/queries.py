@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadkeeper.functions import clock, text
 from loadkeeper.operators import batch, changes, gates, quality, recon, refresh, report, tables, window, worklist
-from loadkeeper.plans import worklists
+from loadkeeper.plans import lifecycle, worklists
 from loadkeeper.plans.extract import filter_codes, raw_extract
+from loadkeeper.sources import store
 from loadkeeper.sources.control import Tables
+from loadkeeper.sources.schemas import SCHEMAS
 
 # Tuesday evening in the east; Saturday afternoon in the east (UTC readings).
 NOW = "2024-01-03 03:00:00"
@@ -190,10 +194,10 @@ def two_column_window(t):
     return rows.groupBy("l_suppkey").agg(F.count("*").alias("n_rows"), F.sum("l_partkey").alias("sum_part"))
 
 
-def _extract(t, hist):
+def _extract(t, hist, two_columns=True):
     rows = raw_extract(
         t.control(), t.batches, packed_codes=t.packed_codes, segment_codes=t.segment_codes, history_keys=t.history_keys,
-        thresholds=t.thresholds, etl_start="2024-01-03 03:04:05.678", hist=hist,
+        thresholds=t.thresholds, etl_start="2024-01-03 03:04:05.678", hist=hist, two_columns=two_columns,
     )
     return rows.select(
         "batch_id", "job_object_id", "source_filter_final", "target_object_path_final", "threshold", "varCurrentRundt"
@@ -210,6 +214,11 @@ def window_query_text_hist(t):
     return _extract(t, True)
 
 
+@query
+def window_query_text_older(t):
+    return _extract(t, True, two_columns=False)
+
+
 @query
 def code_list_text(t):
     codes = filter_codes(t.packed_codes, t.segment_codes)
@@ -383,6 +392,40 @@ def batch_close(t):
     return rows.select("batch_id", clock.milli_text(F.col("batch_end_date")).alias("batch_end_date"), "batch_run_status")
 
 
+@query
+def batch_finish(t):
+    c = t.control()
+    closing = t.batches.select(
+        "batch_id", F.col("batch_start_date").alias("batch_end_date"), F.lit("done").alias("batch_log_message"),
+        F.when(F.col("batch_id") % 3 == 0, "Failed").otherwise("successfully completed").alias("batch_run_status"),
+    )
+    batches = t.batches.withColumns(
+        {"batch_end_date": F.lit(None).cast("timestamp_ntz"), "batch_log_message": F.lit(None).cast("string"),
+         "batch_run_status": F.lit("Active")}
+    )
+    rows = lifecycle.finish_batches(replace(c, batches=batches), closing, batch.expected_adhoc(F.lit(True)))
+    return rows.withColumns({c: clock.milli_text(F.col(c)) for c in ("batch_start_date", "batch_end_date")})
+
+
+@query
+def failure_rows(t):
+    failures = t.events.select(
+        "event_id", F.concat(F.lit("step "), F.repeat("event_type", 12)).alias("activity"),
+        F.lit(50010).alias("error_code"), F.repeat("props", 30).alias("error_message"),
+    )
+    rows = batch.failure_rows(failures, _datetime(NOW))
+    return rows.withColumn("log_date", clock.milli_text(F.col("log_date")))
+
+
+@query
+def audit_rows(t):
+    rows = store.conform(t.log.withColumn("log_id", F.lit(1)), SCHEMAS["audit_log"])
+    shown = rows.groupBy("batch_id", "status", "log_id", "query").agg(
+        F.sum("target_row_count").alias("target_row_count"), F.max("job_object_id").alias("job_object_id")
+    )
+    return shown
+
+
 @query
 def audit_fix(t):
     corrections = t.errors.select("source_id", "job_id", "job_object_id", "batch_id", F.lit("corrected").alias("status"))
@@ -438,8 +481,7 @@ def stage_verdict(t):
     return recon.stage_verdict(recon.stage_compare(t.stage_log, t.items, t.objects))
 
 
-@query
-def three_layer_recon(t):
+def _three_layers(t):
     rows = t.lineitem
     layers = {
         "rpt": rows,
@@ -454,6 +496,16 @@ def three_layer_recon(t):
     return recon.layer_reconcile(layers, ["l_suppkey"], measures, tolerance="1500")
 
 
+@query
+def three_layer_recon(t):
+    return _three_layers(t)
+
+
+@query
+def three_layer_report(t):
+    return report.layer_pages(_three_layers(t), "l_suppkey", "cum_acquisition_value", page_rows=40)
+
+
 @query
 def run_summary(t):
     return report.run_summary(t.log)
@@ -482,16 +534,13 @@ def failure_detail(t):
 
 @query
 def dataset_success(t):
-    log = t.log.withColumn("job_object_id", F.floor(F.col("job_object_id") / 7))
-    return report.dataset_success(log, t.datasets)
+    return report.dataset_success(_dataset_log(t.log), t.datasets)
 
 
 @query
 def dataset_failure(t):
-    log = t.log.withColumn("job_object_id", F.floor(F.col("job_object_id") / 7)).withColumn("source_id", F.lit(99))
-    errors = t.errors.withColumn("job_object_id", F.floor(F.col("job_object_id") / 7)).withColumn("source_id", F.lit(99))
     return report.dataset_failure(
-        t.datasets, log, errors, DATASET_BATCHES, source_id=99, months=refresh.from_month("2024-01-03 03:00:00")
+        t.datasets, _dataset_log(t.log), _dataset_log(t.errors), DATASET_BATCHES, source_id=99, months=refresh.from_month("2024-01-03 03:00:00")
     )
 
 
@@ -505,8 +554,8 @@ def notification_failed(t):
     groups = _topics(
         t.batches.select("batch_id", "source_id").join(t.items.select("source_id", "job_id").distinct(), "source_id")
     )
-    return report.notification(
-        groups, report.failure_pages(detail, page_rows=150), t.routing, status="failed", server="srv", now=_datetime(NOW)
+    return report.failure_notification(
+        groups, report.failure_pages(detail, page_rows=150), t.routing, server="srv", now=_datetime(NOW)
     )
 
 
@@ -514,14 +563,59 @@ def notification_failed(t):
 def notification_success(t):
     detail = report.success_detail(t.log, t.items, t.objects)
     groups = _topics(report.run_summary(t.log).filter("status = 'success'").drop("status"))
-    return report.notification(
-        groups, report.success_pages(detail, page_rows=200), t.routing, status="success", server="srv", now=_datetime(NOW)
+    return report.success_notification(
+        groups, report.success_pages(detail, page_rows=200), t.routing, server="srv", now=_datetime(NOW)
+    )
+
+
+@query
+def step_success_report(t):
+    return lifecycle.success_report(
+        t.control(), t.batches, t.routing, job_id=5, topic="step_5", server="srv", now=_datetime(NOW), layer="rpt", sequence=1
+    )
+
+
+@query
+def step_failure_report(t):
+    return lifecycle.failure_report(
+        t.control(), t.errors, t.batches, t.routing, job_id=7, topic="step_7", server="srv", now=_datetime("2024-01-02 03:00:00")
     )
 
 
-def _datetime(value: str):
-    import datetime as dt
+@query
+def stage_notification(t):
+    compared = recon.stage_compare(t.stage_log, t.items, t.objects)
+    pages = report.stage_pages(compared.filter("raw_dq_differ OR dq_refined_differ"), page_rows=300)
+    return report.stage_notification(
+        recon.stage_verdict(compared, t.batches), pages, t.routing, topic="step_3", status="failed", server="srv", now=_datetime(NOW)
+    )
+
+
+def _dataset_log(df):
+    """Log rows keyed by dataset entry: seven steps of an object stand for one entry."""
+    return df.withColumn("job_object_id", F.floor(F.col("job_object_id") / 7)).withColumn("source_id", F.lit(99).cast("bigint"))
 
+
+@query
+def dataset_notification_success(t):
+    log = _dataset_log(t.log)
+    groups = (
+        t.batches.select("batch_id").join(report.dataset_summary(log, t.datasets), "batch_id", "left")
+        .withColumns({"source_id": F.lit(99), "topic": F.lit("step_1")})
+    )
+    pages = report.dataset_pages(report.dataset_success(log, t.datasets), failed=False, page_rows=400)
+    return report.dataset_notification(groups, pages, t.routing, failed=False, server="srv", now=_datetime(NOW))
+
+
+@query
+def dataset_notification_failed(t):
+    detail = report.dataset_failure(t.datasets, _dataset_log(t.log), _dataset_log(t.errors), DATASET_BATCHES, source_id=99)
+    groups = t.batches.select("batch_id").withColumns({"source_id": F.lit(99), "topic": F.lit("step_1")})
+    pages = report.dataset_pages(detail, failed=True, page_rows=400)
+    return report.dataset_notification(groups, pages, t.routing, failed=True, server="srv", now=_datetime(NOW))
+
+
+def _datetime(value: str) -> dt.datetime:
     return dt.datetime.fromisoformat(value)
 
 
@@ -699,6 +793,20 @@ def upsert_rows(t):
     return _upsert(t)
 
 
+@query
+def upsert_history(t):
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    target = t.orders.filter("o_orderdate < TIMESTAMP_NTZ '1999-01-01 00:00:00'").select(
+        *columns, F.col("o_orderdate").alias("valid_from"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderdate")).alias("valid_to"),
+    )
+    new = t.orders.filter("o_orderdate >= TIMESTAMP_NTZ '1997-01-01 00:00:00'").withColumn(
+        "o_orderstatus", F.when(F.col("o_orderstatus") == "O", "F").otherwise(F.col("o_orderstatus"))
+    )
+    rows = quality.upsert_history(target, new.select(*columns), ["o_orderkey"], now=clock.wall(NOW))
+    return rows.withColumns({c: clock.milli_text(F.col(c)) for c in ("valid_from", "valid_to")})
+
+
 @query
 def upsert_counts(t):
     return quality.upsert_counts(_upsert(t))

@@ -6,9 +6,9 @@ dies leaves the previous version current. Nothing ever overwrites the files it r
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,11 +24,27 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+def with_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
+    """Default values for columns that are absent or NULL, as the table declares them."""
+    have = {c.lower() for c in df.columns}
+    return df.withColumns({c: F.coalesce(F.col(c), v) if c.lower() in have else v for c, v in defaults.items()})
+
+
 def append_log(rows: DataFrame, path: str, schema: StructType, partition_by: Sequence[str] = ()) -> None:
     """Appends typed rows to a log; ``partition_by`` lets readers prune by batch or day."""
     conform(rows, schema).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, partition_by: Sequence[str] = ()) -> None:
+    """Saves a catalog table bucketed and sorted by its join key.
+
+    Tables saved with the same key and number of buckets join and aggregate on it without a shuffle;
+    meant for the log and the work items once both are large.
+    """
+    writer = df.write.mode("error").bucketBy(buckets, key).sortBy(key)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+
+
 def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 

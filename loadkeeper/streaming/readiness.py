@@ -49,7 +49,7 @@ def watch_readiness(
         met = wanted.join(items.select(ITEM).distinct(), ITEM, "left_semi").select("dependency_id")
         known = rows.sparkSession.read.schema(MET).parquet(state).filter(F.col("epoch") < epoch)
         fresh = met.join(known.select("dependency_id").distinct(), "dependency_id", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{state}/epoch={epoch}")
+        fresh.coalesce(1).write.mode("overwrite").parquet(f"{state}/epoch={epoch}")
 
     writer = log.writeStream.foreachBatch(mark).option("checkpointLocation", f"{folder}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()

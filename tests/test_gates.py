@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,3 +210,45 @@ def test_recon_worklist_by_refresh_and_day(control, table):
 def test_nothing_keeps_the_columns(control):
     empty = worklist.nothing(control([]).items)
     assert empty.count() == 0 and "job_object_id" in empty.columns
+
+
+def test_finish_batches_rolls_up_only_completed_requests(control, table, rows):
+    import datetime as dt
+
+    from loadkeeper.operators import batch
+    from loadkeeper.plans import lifecycle
+
+    at = dt.datetime(2024, 1, 2)
+    c = control([ok(1, batch=6), ok(2, batch=6), ok(1, batch=7)])
+    state = c.batches.withColumns({"batch_end_date": F.lit(None).cast("timestamp_ntz"), "batch_log_message": F.lit(""), "batch_run_status": F.lit("Active")})
+    closing = table(
+        "batch_id bigint, batch_end_date timestamp_ntz, batch_log_message string, batch_run_status string",
+        (6, at, "m", "successfully completed"), (7, at, "m", "Successfully Completed"), (8, at, None, "Failed"),
+    )
+    expected = batch.expected_regular(F.lit(False), NOW)
+    got = lifecycle.finish_batches(replace(c, batches=state), closing, expected)
+    assert rows(got, "batch_id", "batch_run_status", "batch_log_message") == [
+        (1, "Active", ""), (6, "Successfully Completed", "m"), (7, "Partially Failed", "m"), (8, "Failed", None), (9, "Active", ""),
+    ]
+
+
+def test_late_failures_need_the_gate_table(control, table):
+    import datetime as dt
+
+    from loadkeeper.plans import lifecycle
+
+    errors = table("batch_id bigint, job_object_id bigint, source_id int, job_id int, error_log_id bigint, log_date timestamp_ntz")
+    routing = table("topic string, status string, tolist string", ("recon", "failed", "x"))
+    runs = table("batch_id bigint, source_id int", (7, 1))
+
+    def body(*log):
+        c = control(log)
+        items = c.items.withColumn(
+            "target_object_name", F.when(F.col("job_object_id") == 30, worklists.GATE_TARGET).otherwise(F.col("target_object_name"))
+        )
+        return lifecycle.failure_report(
+            replace(c, items=items), errors, runs, routing, job_id=7, topic="recon", server="s", now=dt.datetime(2024, 1, 2, 3)
+        ).first()["body"]
+
+    assert "There is no failure records" in body()
+    assert "<td>T11</td><td>Skipped</td><td></td></tr><tr><td>T12</td>" in body(ok(30, day="2024-01-01 23:00:00"))

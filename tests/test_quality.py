@@ -64,6 +64,28 @@ def test_upsert(table, rows):
     assert tuple(quality.upsert_counts(got).first()) == (1, 1)
 
 
+def test_row_history(table, rows):
+    t = lambda n: dt.datetime(2024, 1, n)
+    target = table(
+        "k int, v string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+        (1, "a", t(1), None), (2, "b", t(1), None), (3, "old", t(1), t(2)), (3, "c", t(2), None), (4, "gone", t(1), t(2)),
+    )
+    changes = table("k int, v string", (2, "B"), (3, "c"), (4, "back"), (5, "new"))
+    got = quality.upsert_history(target, changes, ["k"], now=F.lit("2024-01-09").cast("timestamp_ntz"))
+    assert rows(got) == [
+        (1, "a", t(1), None), (2, "B", t(9), None), (2, "b", t(1), t(9)), (3, "c", t(2), None), (3, "old", t(1), t(2)),
+        (4, "back", t(9), None), (4, "gone", t(1), t(2)), (5, "new", t(9), None),
+    ]
+
+
+def test_checked_rows_are_written_once(table, rows, tmp_path):
+    df = table("id int, v string", (1, "a"), (2, None), (3, "c"))
+    checked = quality.quality_errors(df, [Rule("v", nullable=False)])
+    good, bad, counts = quality.write_checked(checked, str(tmp_path / "out"))
+    assert rows(good) == [(1, "a"), (3, "c")] and rows(bad, "id", "dq_errors") == [(2, ["NullCheckError:v"])]
+    assert tuple(counts.first()) == (3, 2, 1)
+
+
 def test_delete_keeps_unknown(table, rows):
     df = table("k int, s string", (1, "D"), (2, None), (3, "x"))
     assert rows(quality.delete_rows(df, "s = 'D'"), "k") == [(2,), (3,)]

@@ -90,11 +90,64 @@ def test_notification_without_records(table):
     groups = table("batch_id bigint, source_id int, job_id int, topic string", (1, 2, 3, "Topic"))
     pages = table("batch_id bigint, source_id int, job_id int, page bigint, body string")
     routing = table("topic string, status string, tolist string", ("topic ", "FAILED", "x"), ("topic", "success", "y"))
-    row = report.notification(groups, pages, routing, status="failed", server="s", now=AT).first()
+    row = report.failure_notification(groups, pages, routing, server="s", now=AT).first()
     assert row["tolist"] == "x" and row["subject"] == "SourceID: 2 Topic execution failed status, servername: s - Jan  1 2024 12:00AM"
     assert row["body"].startswith("Hi Team, <br/><br/> There is no failure records") and row["body"].endswith("Data Team")
 
 
+def test_success_bodies_by_step(table):
+    detail = table(
+        """batch_id bigint, source_id int, job_id int, job_object_id bigint, table_name string, source_object_name string,
+        time_taken string, size_gb string, source_row_count int, target_row_count int, rejected_row_count int,
+        rejected_duplicate_count int, status string""",
+        *[(1, 1, j, 5, "T", "src", "00:00:01", "0.5", 3, None, 1, 2, "success") for j in (1, 2, 4)],
+    )
+    groups = table(
+        "batch_id bigint, source_id int, job_id int, topic string, table_count bigint, total_time string",
+        *[(1, 1, j, "t", 1, "00:01") for j in (1, 2, 4, 5)], (2, 1, 2, "t", None, None), (2, 1, 4, "t", None, None),
+    )
+    routing = table("topic string, status string, tolist string", ("t", "success", "x"))
+    got = {
+        (r["batch_id"], r["job_id"]): r["body"]
+        for r in report.success_notification(groups, report.success_pages(detail), routing, server="s", now=AT).collect()
+    }
+    assert got[1, 1].endswith("<th>Status</th></tr><tr/></table><br> Thanks, <br> Data Team")  # a NULL count empties the row
+    assert "SizeInGB" in got[1, 1] and "<tr/>" in got[1, 2] and "rejected_duplicate_count" in got[1, 2]
+    assert "<tr><td>T</td><td>00:00:01</td><td>3</td><td>0</td><td>success</td></tr>" in got[1, 4]
+    assert "Total table processed = 1<br/> Total execution time  &nbsp;= 00:01 (HH:MM)" in got[1, 4]
+    assert got[1, 5] is None  # counted, but without a row to show
+    assert "current execution -- SourceID: 1 , BatchID: 2<br/><br/><br> Thanks" in got[2, 2]
+    assert "current execution <br/><br/><br> Thanks" in got[2, 4]
+
+
+def test_stage_notification(table):
+    verdict = table("batch_id bigint, source_id int, tablecount bigint", (1, 1, 0), (1, 2, 1), (1, 9, 0))
+    pages = table("batch_id bigint, source_id int, page bigint, body string, n_rows bigint", (1, 2, 0, "<tr/>", 1))
+    routing = table("topic string, status string, tolist string", ("r", "failed", "x"))
+    got = {
+        r["source_id"]: r
+        for r in report.stage_notification(verdict, pages, routing, topic="R", status="failed", server="s", now=AT).collect()
+    }
+    assert "is matching" in got[1]["body"] and "Source : Oracle and  Batchid: 1" in got[1]["body"]
+    assert got[2]["subject"].startswith("SourceID: 2 DI vs DQ vs RF- count mismatched") and "<tr/></table>" in got[2]["body"]
+    assert got[9]["body"] is None  # a source without a known name
+
+
+def test_verdict_for_runs_without_rows(table, rows):
+    none = stage(table).filter("false")
+    runs = table("batch_id bigint, source_id int", (1, 1), (1, 1), (2, 1))
+    assert rows(recon.stage_verdict(none, runs)) == [(1, 1, 0, "count matched"), (2, 1, 0, "count matched")]
+
+
+def test_plain_notices(table):
+    routing = table("topic string, status string, tolist string", ("Run", "Failed ", "x"), ("run", "success", "y"))
+    row = report.failed_run_notice(routing, topic="run", status="failed", source_id=3, server="s", now=AT).first()
+    assert row["tolist"] == "x" and row["subject"] == "run execution failed status, servername: s - Jan  1 2024 12:00AM"
+    assert row["body"] == "Hi Team, <br/><br/> Pipeline failed for SourceID: 3 <br/><br/><br> Thanks, <br> Data Team"
+    row = report.deleted_files_notice(routing, topic="run", status="success", deleted=4, server="s", now=AT).first()
+    assert row["body"] == "Hi Team, <br/><br/> Please find run execution success status  FilesDeleted: 4<br/><br/>"
+
+
 def test_pages_hold_every_row_once(spark):
     rows = spark.range(1000).selectExpr("id % 2 AS g", "cast(id AS string) AS t")
     pages = paged_text(rows, ["g"], key=F.col("t"), text=F.col("t"), page_rows=50, sep=",").collect()

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from loadkeeper.operators.tables import update_rows
 from loadkeeper.session import shared_dir
@@ -47,6 +48,29 @@ def test_declared_formats(spark, table, tmp_path, rows):
         files.read_item(spark, {"source_format": "xlsx"}, str(tmp_path))
 
 
+def test_defaults_fill_absent_and_null(table, rows):
+    df = table("k int, d int", (1, None), (2, 5))
+    got = store.with_defaults(df, {"D": F.lit(7), "e": F.lit("x")})
+    assert rows(got) == [(1, 7, "x"), (2, 5, "x")]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    names = ("bucketed_log", "bucketed_items")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in names:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS loads LOCATION '{tmp_path}/loads'")
+            store.save_bucketed(spark.range(1000).withColumnRenamed("id", "job_object_id"), f"loads.{name}", "job_object_id", 4)
+        log, items = (spark.table(f"loads.{n}") for n in names)
+        joined = log.groupBy("job_object_id").count().join(items, "job_object_id")
+        assert joined.count() == 1000
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP DATABASE IF EXISTS loads CASCADE")
+
+
 def test_schemas():
     assert len(SCHEMAS["job_object_details"]) == 41 and len(SCHEMAS["audit_log"]) == 24
     assert len(SCHEMAS["job_object_details_audit"]) == 43 and len(SCHEMAS["recon_fa_sap_records"]) == 14

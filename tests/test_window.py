@@ -13,7 +13,7 @@ LAST = dt.datetime(2023, 12, 31, 6, 30, 59)
 UPPER = "2024-01-02 22:04:05"
 
 
-def text(table, spark, *, hist=False, codes=None, history=None, **fields):
+def text(table, spark, *, hist=False, codes=None, history=None, two_columns=True, **fields):
     values = dict(
         source_id=1, source_object_name="ap.Tab", source_query=None, source_filter=None, source_filter_add=None,
         source_update_identifier="upd", source_update_identifier_hist="upd", is_full_load=0, is_full_load_hist=0,
@@ -22,7 +22,7 @@ def text(table, spark, *, hist=False, codes=None, history=None, **fields):
     codes = codes if codes is not None else {n: F.lit(f"'{n}'") for n in ("vkorg", "werks")}
     df = window.window_text(
         table(ITEM, tuple(values.values())), codes, upper=wall(UPPER), hist=hist,
-        history_keys=None if history is None else F.lit(history),
+        history_keys=None if history is None else F.lit(history), two_columns=two_columns,
     )
     return df.first()["source_filter_final"]
 
@@ -86,6 +86,11 @@ def test_historical_two_columns(table, spark):
     assert got == f"Q WHERE ( {d} >=  '{LO}' or {c} >=  '{LO}') and {c} < '{HI}'"
 
 
+def test_older_loads_have_one_change_column(table, spark):
+    got = text(table, spark, hist=True, source_filter_add="crea", two_columns=False)
+    assert got == "SELECT * FROM AP.TAB WHERE " + char("", " ")
+
+
 def test_historical_slice(table, spark):
     got = text(table, spark, hist=True, source_id=2, source_object_name="x.vbrp", is_full_load_hist=1, history="'7'")
     assert got == (

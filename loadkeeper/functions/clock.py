@@ -84,10 +84,9 @@ def minute_floor(value: Moment) -> Column:
 
 
 def wall_seconds(value: Column | str) -> Column:
-    """Whole seconds on the wall clock since 1970; the difference of two counts boundaries."""
-    value = col(value)
-    days = F.datediff(value, F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+    """Whole seconds on the wall clock since year 1; the difference of two counts boundaries."""
+    since = col(value) - wall("0001-01-01 00:00:00")
+    return since.cast("interval second").cast("bigint")
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
@@ -96,16 +95,13 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
 
 
 def duration_text(start: Column | str, end: Column | str) -> Column:
-    """Elapsed time as HH:MM:SS, rounded to the second, modulo 24 hours."""
-    start, end = col(start), col(end)
-    fraction = F.extract(F.lit("SECOND"), end) % 1 - F.extract(F.lit("SECOND"), start) % 1
-    total = F.pmod(F.round(seconds_between(start, end) + fraction, 0).cast("bigint"), F.lit(86400))
-    parts = [F.floor(total / 3600), F.floor(total % 3600 / 60), total % 60]
-    return F.concat(
-        F.lpad(parts[0].cast("string"), 2, "0"), F.lit(":"),
-        F.lpad(parts[1].cast("string"), 2, "0"), F.lit(":"),
-        F.lpad(parts[2].cast("string"), 2, "0"),
-    )
+    """Elapsed time as HH:MM:SS, rounded to the second, modulo 24 hours.
+
+    The elapsed time is put on the clock face of a fixed day, half a second late; cutting the
+    fraction then rounds, and full days (also negative ones) fall away by themselves.
+    """
+    face = wall("1900-01-01 00:00:00") + (col(end) - col(start)) + F.expr("INTERVAL '0.5' SECOND")
+    return F.substring(face.cast("string"), 12, 8)
 
 
 def hours_minutes(minutes: Column) -> Column:

@@ -181,12 +181,12 @@ def filter_text(codes: Mapping[str, Column]) -> Column:
 
 def where_text(full_load: Column, codes: Mapping[str, Column]) -> Column:
     """The text between base query and window, by filter and load flag; no flag, no WHERE."""
-    bare = empty("source_filter")
-    return (
-        F.when((full_load == 0) & bare, F.lit(" WHERE "))
-        .when(full_load == 0, fill(" WHERE {f} and ", f=filter_text(codes)))
-        .when((full_load == 1) & ~bare, fill(" WHERE {f}", f=filter_text(codes)))
-        .otherwise(F.lit(""))
+    incremental, bare = F.coalesce(full_load == 0, F.lit(False)), empty("source_filter")
+    filtered = F.coalesce(full_load.isin(0, 1), F.lit(False)) & ~bare
+    return F.concat(
+        F.when(incremental | filtered, " WHERE ").otherwise(""),
+        F.when(filtered, filter_text(codes)).otherwise(""),
+        F.when(incremental & ~bare, " and ").otherwise(""),
     )
 
 

@@ -192,18 +192,18 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    @lru_cache(maxsize=None)  # noqa: B019
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        if name not in TEXTS:
-            return read(self.spark, self.folder, name)
+        table = self._derive(name) if name in TEXTS else read(self.spark, self.folder, name)
+        setattr(self, name, table)
+        return table
+
+    def _derive(self, name: str) -> DataFrame:
         text = render(TEXTS[name], SPARK)
-        if name in NEEDS:
-            for need in NEEDS[name]:
-                text = text.replace(f"FROM {need}", f"FROM {{{need}}}")
-            return self.spark.sql(text, **{need: getattr(self, need) for need in NEEDS[name]})
-        inputs = {t: getattr(self, t) for t in INPUTS if "{" + t + "}" in text}
+        for need in NEEDS.get(name, ()):
+            text = text.replace(f"FROM {need}", f"FROM {{{need}}}")
+        inputs = {t: getattr(self, t) for t in (*INPUTS, *NEEDS.get(name, ())) if "{" + t + "}" in text}
         return self.spark.sql(text, **inputs)
 
     def control(self, edges: str = "edges") -> Control:

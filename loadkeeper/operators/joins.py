@@ -36,7 +36,7 @@ def not_in(left: DataFrame, right: DataFrame, key: str, by: Sequence[str] = ())
 
 
 def spread_join(rows: DataFrame, groups: DataFrame, by: Sequence[str], *, salt: Column, how: str = "left") -> DataFrame:
-    """Rows with the columns of their group (one row per ``by`` in ``groups``).
+    """Rows joined with the rows of ``groups`` on ``by``, a key of few values.
 
     Every group row is repeated once per salt, so the rows of one hot group go to several tasks.
     """

@@ -12,6 +12,7 @@ from loadkeeper.functions.clock import duration_text, hours_minutes, seconds_bet
 from loadkeeper.functions.text import fold, replace_any_case, same
 from loadkeeper.operators.gates import ITEM, SUCCESS
 from loadkeeper.operators.joins import paged_text
+from loadkeeper.operators.worklist import for_runs
 
 RUN = ["batch_id", "source_id", "job_id"]
 
@@ -73,12 +74,10 @@ def failure_detail(items: DataFrame, objects: DataFrame, log: DataFrame, errors:
     'Failed' with an error row or a log row of the same source and step, else 'Skipped'. Logs are
     reduced to one row per run and item before the joins.
     """
-    due = (
-        items.filter(F.col("enabled") == 1)
-        .select(ITEM, "source_id", "job_id", "object_id", "target_object_name", "execution_sequence")
-        .join(runs.select("batch_id", "source_id").distinct(), "source_id")
-        .join(objects.select("object_id", "table_name"), "object_id")
+    chosen = items.filter(F.col("enabled") == 1).select(
+        ITEM, "source_id", "job_id", "object_id", "target_object_name", "execution_sequence"
     )
+    due = for_runs(chosen, runs).join(objects.select("object_id", "table_name"), "object_id")
     key = [*RUN, ITEM]
     # Both uses of the reduced log read the same aggregate, so the log is scanned and shuffled once.
     logged = log.groupBy(*key).agg(F.max(F.coalesce(same("status", SUCCESS), F.lit(False))).alias("_ok"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from loadkeeper.functions.clock import Moment, milli_text, wall
 from loadkeeper.functions.text import fold, in_names, like, replace_any_case, schema_part, table_part
+from loadkeeper.operators.joins import spread_join
 
 
 def star(items: DataFrame, sources: DataFrame, jobs: DataFrame, objects: DataFrame) -> DataFrame:
@@ -29,8 +30,12 @@ def star(items: DataFrame, sources: DataFrame, jobs: DataFrame, objects: DataFra
 
 
 def for_runs(items: DataFrame, runs: DataFrame) -> DataFrame:
-    """Every item once per requested run of its source."""
-    return items.join(runs.select("batch_id", "source_id").distinct(), "source_id")
+    """Every item once per requested run of its source.
+
+    A source may hold a large part of all items, so its items are spread over several tasks.
+    """
+    asked = runs.select("batch_id", "source_id").distinct()
+    return spread_join(items, asked, ["source_id"], salt=F.hash("job_object_id"), how="inner")
 
 
 def named(items: DataFrame, names: str | Sequence[str] | DataFrame | None, col: str = "table_name") -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadkeeper.functions.clock import duration_text, hours_minutes, seconds_between
-from loadkeeper.functions.text import fold, replace_any_case, same
+from loadkeeper.functions.text import fold, same
 from loadkeeper.operators.gates import ITEM, SUCCESS
-from loadkeeper.operators.joins import paged_text
+from loadkeeper.operators.joins import paged_text, spread_join
 from loadkeeper.operators.worklist import for_runs
 
 RUN = ["batch_id", "source_id", "job_id"]
@@ -280,10 +280,10 @@ def notification(
     which ``is_none`` holds get the short body; a group without rows otherwise has no body.
     """
     recipients = routing.filter(same("status", status)).select(fold("topic").alias("_topic"), "tolist")
+    reports = groups.join(pages, list(keys), "left").withColumn("_topic", fold("topic"))
+    # Often all groups share one topic, so the reports are spread by their key.
     return (
-        groups.join(pages, list(keys), "left")
-        .withColumn("_topic", fold("topic"))
-        .join(recipients, "_topic")
+        spread_join(reports, recipients, ["_topic"], salt=F.hash(*keys), how="inner")
         .select(
             *keys,
             F.coalesce("page", F.lit(0)).cast("bigint").alias("page"),

@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from loadkeeper.plans.oracles import SQL
+from loadkeeper.plans.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = "/root/testdata/sf0.001"
@@ -22,10 +24,11 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkeeper.llm import bpe, licenses, pii, simhash, sketch
+from loadkeeper.llm import bpe, licenses, lines, pii, simhash, sketch, toxicity
 from loadkeeper.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,19 @@ def op10_licenses(spark, folder):
         F.array_join(licenses.licences(F.col("ids")), ",").alias("licences"),
         F.size(F.filter("ids", lambda i: i == licenses.UNKNOWN)).cast("bigint").alias("n_unknown"),
     )
+
+
+@query
+def op7_toxicity(spark, folder):
+    labels = table(spark, folder, "labels")
+    rows = toxicity.scored(table(spark, folder, "documents"), labels).select("doc_id", "held_out", "score")
+    return rows.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op9_line_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    lengths = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("bigint").alias("n_lines"))
+    rows = lengths.join(lines.drops(docs), "doc_id", "left")
+    places = F.transform(F.coalesce("gone", F.array().cast("array<struct<place:int,line:bigint>>")), lambda g: g["place"])
+    return rows.select("doc_id", "n_lines", F.size(places).cast("bigint").alias("n_dropped"), F.array_join(places.cast("array<string>"), ",").alias("dropped"))

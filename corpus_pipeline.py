@@ -1,4 +1,7 @@
-"""The corpus pipeline: stages over documents, each on all that the one before has kept."""
+"""The corpus pipeline: stages over documents, each on all that the one before has kept.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
@@ -7,11 +10,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkeeper.llm import bpe, simhash
+from loadkeeper.llm import bpe, leaks, lines, simhash, toxicity
 from loadkeeper.llm.queries import tokenizer
 from loadkeeper.llm.shared import table
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: The toxicity score from which a document goes: likelier toxic than not.
+REJECTED = 0.5
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose toxicity score reaches REJECTED."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return docs.withColumn("_score", toxicity.score(F.col("text"), model)).filter(F.col("_score") < REJECTED).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of lines that are near duplicates the first stays; n_chars follows the text. Documents left without lines go."""
+    kept = lines.dedup(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +35,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that hold a benchmark item."""
+    return leaks.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): the ids of every document and the text they stand for."""
     path, pattern = tokenizer()
@@ -26,8 +47,14 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", bpe.decode(F.col("ids"), path).cast("string").alias("decoded"))
 
 
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", near_duplicates), ("tokens", tokens)]
-#: The stages learn from labels, hash and compare sets of words: beyond SQL. Tests hold them against brute force.
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxic),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("tokens", tokens),
+]
+#: The stages learn from labels, hash, and compare sets of lines and words: beyond SQL. Tests hold them against brute force.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkeeper.llm import bpe, licenses, lines, pii, simhash, sketch, toxicity
+from loadkeeper.llm import bpe, leaks, licenses, lines, pii, simhash, sketch, toxicity, urls
 from loadkeeper.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,17 @@ def op9_line_dedup(spark, folder):
     rows = lengths.join(lines.drops(docs), "doc_id", "left")
     places = F.transform(F.coalesce("gone", F.array().cast("array<struct<place:int,line:bigint>>")), lambda g: g["place"])
     return rows.select("doc_id", "n_lines", F.size(places).cast("bigint").alias("n_dropped"), F.array_join(places.cast("array<string>"), ",").alias("dropped"))
+
+
+#: The rules of the page filter.
+PAGE_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+@query
+def op3_url_filter(spark, folder):
+    return urls.judge(table(spark, folder, "pages").select("page_id", "url"), PAGE_RULES)
+
+
+@query
+def op5_decontamination(spark, folder):
+    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

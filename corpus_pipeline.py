@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loadkeeper.llm import bpe, leaks, lines, simhash, toxicity
 from loadkeeper.llm.queries import tokenizer
-from loadkeeper.llm.shared import table
+from loadkeeper.llm.shared import cut, table
 
 #: The toxicity score from which a document goes: likelier toxic than not.
 REJECTED = 0.5
@@ -61,6 +61,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, over the documents of a folder."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkeeper.llm import bpe, leaks, licenses, lines, pii, simhash, sketch, toxicity, urls
+from loadkeeper.llm import bpe, katz, leaks, licenses, lines, pii, simhash, sketch, toxicity, urls
 from loadkeeper.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,8 @@ def op3_url_filter(spark, folder):
 @query
 def op5_decontamination(spark, folder):
     return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_language_model(spark, folder):
+    return katz.score(table(spark, folder, "documents").select("doc_id", "text"), katz.learned_rows)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkeeper.llm.shared import lower_ascii, shingle_hashes, words_of
+from loadkeeper.llm.shared import cut, lower_ascii, shingle_hashes, words_of
 
 SIZE, WIDTH = 128, 5
 #: Ids of one window task; levels of windows over windows, each over as many of the level below.
@@ -105,11 +105,13 @@ def edited(docs: DataFrame) -> DataFrame:
     text is an empty one. A single document follows itself.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(NULL_KEY)).alias("key"), text.alias("text"))
+    rows = docs.select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("key"), text.alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    unique = rows.groupBy("key", "h").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("n"))
+    # used twice with the same columns, so the texts are shuffled once
+    unique = rows.groupBy("key", "h").agg(F.first("text").alias("text"))
+    times = rows.groupBy("key", "h").agg(F.count("*").alias("n"))
     nodes = rows.select("key", "h", F.floor(F.char_length("text") / 2).cast("int").alias("half")).distinct()
-    nodes = nodes.select(F.struct("key", "h", "half").alias("at"))
+    nodes = cut(nodes.select(F.struct("key", "h", "half").alias("at")))
     links = successors(nodes).select(
         F.col("at.key").alias("of_key"), F.col("at.h").alias("of_h"), F.col("at.half").alias("half"),
         F.col("next.key").alias("key"), F.col("next.h").alias("h"),
@@ -120,9 +122,10 @@ def edited(docs: DataFrame) -> DataFrame:
     )
     half = F.floor(F.char_length("text") / 2).cast("int")
     kept = F.substring("text", F.lit(1), F.char_length("text") - half)
-    whole = unique.join(starts, ["key", "h"]).withColumn("edited", F.concat(kept, "start"))
+    whole = unique.join(starts, ["key", "h"]).join(times, ["key", "h"]).withColumn("edited", F.concat(kept, "start"))
     copies = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
-    return copies.select("doc_id", "text", "edited", "next_sketch")
+    doc_id = F.when(F.col("key") != NULL_KEY, F.col("key"))
+    return copies.select(doc_id.alias("doc_id"), "text", "edited", "next_sketch")
 
 
 def as_text(column: Column) -> Column:

@@ -60,6 +60,12 @@ def code4(value: Column | str) -> Column:
     return F.right(F.concat(F.lit("0000"), shown), F.lit(4))
 
 
+def code_key(value: Column | str) -> Column:
+    """The comparison key of a numeric code: up to four characters padded, wider ones as they are."""
+    digits = col(value).cast("string")
+    return F.when(F.length(digits) > 4, digits).otherwise(F.lpad(digits, 4, "0"))
+
+
 def entries(value: Column | str) -> Column:
     """The entries of a comma list, untrimmed; NULL has none, '' has one empty entry."""
     return F.split(col(value), ",")
@@ -91,11 +97,10 @@ def table_part(value: Column | str) -> Column:
     return F.regexp_replace(col(value), r"^[^.]*\.", "")
 
 
-def camel_case(value: Column | str, max_chars: int | None = 2000) -> Column:
+def camel_case(value: Column | str, max_chars: int | None = None) -> Column:
     """First letter of every blank-separated word in upper case, the rest in lower case.
 
-    Inner blanks stay, trailing blanks go. ``max_chars`` is the declared result width of the
-    function this mirrors; None keeps the whole text. Case maps letter by letter: a letter whose
+    Inner blanks stay, trailing blanks go. ``max_chars`` cuts the result to a width. Case maps letter by letter: a letter whose
     upper case is two letters stays as it is.
     """
 

@@ -45,13 +45,18 @@ def batch_decision(batches: DataFrame, requests: DataFrame) -> DataFrame:
 def open_batches(batches: DataFrame, requests: DataFrame, *, start: Moment, trigger_id: str | None = None) -> DataFrame:
     """The batch table after the requests: resumed batches Active, new ones added.
 
-    New ids lie above every old id and are unique; as with identity columns, gaps may occur.
+    Several requests for one source are one: a re-run if any of them is, with the largest status text asked for. New ids
+    follow the largest old one in the order of the sources, so the same requests give the same ids.
     """
-    decided = batch_decision(batches, requests)
+    asked = requests.groupBy("source_id").agg(F.max("is_rerun").alias("is_rerun"), F.max("requested_status").alias("requested_status"))
+    decided = batch_decision(batches, asked)
     resumed = decided.filter("decision = 'resume'").select("batch_id", F.lit(ACTIVE).alias("batch_run_status"))
     top = batches.agg(F.coalesce(F.max("batch_id"), F.lit(0))).scalar()
-    added = decided.filter("decision = 'new'").select(
-        (top + 1 + F.monotonically_increasing_id()).alias("batch_id"),
+    new = decided.filter("decision = 'new'")
+    # one id for each source, so the list is as short as the table of sources
+    sources = new.agg(F.sort_array(F.collect_set("source_id"))).scalar()
+    added = new.select(
+        (top + F.array_position(sources, F.col("source_id"))).cast("bigint").alias("batch_id"),
         "source_id",
         wall(start).alias("batch_start_date"),
         F.lit(ACTIVE).alias("batch_run_status"),
@@ -118,23 +123,32 @@ def close_batches(batches: DataFrame, closing: DataFrame) -> DataFrame:
     return update_rows(batches, closing, "batch_id")
 
 
-def fix_status(log: DataFrame, corrections: DataFrame) -> DataFrame:
-    """The log with the status of the corrected rows replaced; the key is the full four-part key."""
+def fix_status(log: DataFrame, corrections: DataFrame, *, order: str | None = None) -> DataFrame:
+    """The log with the status of the corrected rows replaced; the key is the full four-part key.
+
+    Of several corrections of one key the last by ``order`` counts. Without an order they have to agree.
+    """
     key = ["source_id", "job_id", ITEM, "batch_id"]
-    return update_rows(log, corrections.groupBy(*key).agg(F.max("status").alias("status")), key)
+    if order is not None:
+        last = F.max(F.struct(F.col(order).alias("at"), "status"))["status"]
+    else:
+        conflict = F.raise_error(F.lit("corrections of one log row differ; give their order")).cast("string")
+        last = F.when(F.min("status") == F.max("status"), F.max("status")).when(F.count("status") > 0, conflict)
+    return update_rows(log, corrections.groupBy(*key).agg(last.alias("status")), key)
 
 
-def failure_rows(failures: DataFrame, now: dt.datetime) -> DataFrame:
+def failure_rows(failures: DataFrame, now: dt.datetime, *, widths: tuple[int, int, int] | None = None) -> DataFrame:
     """Error rows for failed runs of the library itself.
 
     ``failures`` has activity, error_code, error_message and any of source_id, job_id, batch_id.
-    Fields are cut to the widths of the failure handler; the log date has no time of day.
+    The log date has no time of day. ``widths`` cuts activity, code and message to a table's widths.
     """
+    cut = lambda c, i: c if widths is None else F.substring(c, 1, widths[i])
     return failures.withColumns(
         {
-            "activity": F.substring("activity", 1, 50),
-            "error_code": F.substring(F.col("error_code").cast("string"), 1, 100),
-            "error_message": F.substring("error_message", 1, 250),
+            "activity": cut(F.col("activity"), 0),
+            "error_code": cut(F.col("error_code").cast("string"), 1),
+            "error_message": cut(F.col("error_message"), 2),
             "error_type": F.lit("TechnicalError"),
             "error_subtype": F.lit("LogicalError"),
             "log_date": F.to_date(wall(now)).cast("timestamp_ntz"),

@@ -184,8 +184,9 @@ def drain_days(batches: DataFrame) -> DataFrame:
     """
     open_batch = F.when(fold("batch_run_status") != DONE.lower(), 1)
     return (
-        batches.groupBy(F.to_date("trigger_time").alias("trigger_day"), "pipeline_name")
-        .agg(F.count(open_batch).alias("open_batches"))
+        batches.groupBy(F.to_date("trigger_time").alias("trigger_day"), fold("pipeline_name").alias("_name"))
+        .agg(F.min("pipeline_name").alias("pipeline_name"), F.count(open_batch).alias("open_batches"))
+        .drop("_name")
         .withColumn("drained", F.col("open_batches") == 0)
     )
 

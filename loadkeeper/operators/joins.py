@@ -1,4 +1,4 @@
-"""Set tests on keys that behave like SQL's NOT IN, and text pages of bounded size."""
+"""Set tests on keys that behave like SQL's NOT IN, and the rows of a group as text."""
 
 from __future__ import annotations
 
@@ -51,18 +51,26 @@ def page_of(key: Column, pages: Column) -> Column:
 
 
 def paged_text(
-    rows: DataFrame, group: Sequence[str], *, key: Column, text: Column, page_rows: int, sep: str = ""
+    rows: DataFrame, group: Sequence[str], *, key: Column, text: Column, page_rows: int | None = None, sep: str = ""
 ) -> DataFrame:
-    """The rows of every group joined to text, in pages of about ``page_rows`` rows.
+    """The rows of every group joined to one text, in key order; ``page`` is 0.
 
-    A group up to ``page_rows`` gives one page, number 0. Larger groups are spread over pages by a
-    hash of the key, so no task ever holds a whole large group and no row is left out. Rows are in
-    key order within a page.
+    A group's text is one value whatever its size. With ``page_rows`` a group comes in pages of about that many rows
+    instead: a row's page follows from its key's hash and, for equal rows, its number among them, so
+    equal rows spread like others. Equal rows are counted before anything is shuffled by group.
     """
     group = list(group)
     rows = rows.select(*group, key.alias("_key"), text.alias("_text"))
-    sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / F.lit(page_rows)).alias("_pages"))
-    paged = spread_join(rows, sizes, group, salt=F.hash("_key")).withColumn("page", page_of(F.col("_key"), F.col("_pages")))
+    equal = rows.groupBy(*group, "_key", "_text").agg(F.count("*").alias("_n"))
+    if page_rows is None:
+        listed = F.sort_array(F.collect_list(F.struct("_key", "_text", "_n")))
+        repeated = F.flatten(F.transform(listed, lambda r: F.array_repeat(r["_text"], r["_n"].cast("int"))))
+        whole = equal.groupBy(*group).agg(F.array_join(repeated, sep).alias("body"), F.sum("_n").alias("n_rows"))
+        return whole.select(*group, F.lit(0).cast("bigint").alias("page"), "body", "n_rows")
+    sizes = equal.groupBy(*group).agg(F.ceil(F.sum("_n") / F.lit(page_rows)).alias("_pages"))
+    copies = equal.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)))
+    page = F.pmod(page_of(F.col("_key"), F.col("_pages")) + F.col("_copy"), F.col("_pages"))
+    paged = spread_join(copies, sizes, group, salt=F.hash("_key", "_copy")).withColumn("page", page)
     listed = F.sort_array(F.collect_list(F.struct("_key", "_text")))
     return paged.groupBy(*group, "page").agg(
         F.array_join(F.transform(listed, lambda r: r["_text"]), sep).alias("body"),

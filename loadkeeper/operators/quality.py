@@ -12,8 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_COLUMNS = 10_000
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -35,9 +33,7 @@ class Rule:
 
 def rules_from(mapping: DataFrame) -> list[Rule]:
     """Rules of the active rows of a column mapping table, for one loaded table."""
-    rows = mapping.filter("upper(actv_flg) = 'Y'").limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} mapped columns; select the rows of one table")
+    rows = mapping.filter("upper(actv_flg) = 'Y'").collect()
     on = lambda r, flag: r[flag] == 1
     rules = [
         Rule(
@@ -77,7 +73,7 @@ def quality_errors(df: DataFrame, rules: Sequence[Rule], *, check_types: bool =
         if r.range_expression:
             found.append(_failed(~F.expr(r.range_expression), "RangeError", r.column))
         if r.alphanumeric:
-            found.append(_failed(~c.cast("string").rlike("^[A-Za-z0-9]+$"), "TypeCheckError", f"{r.column} alphanumeric"))
+            found.append(_failed(~c.cast("string").rlike(r"\A[A-Za-z0-9]+\z"), "TypeCheckError", f"{r.column} alphanumeric"))
     group = [r.column for r in rules if r.null_combination]
     if group:
         all_null = F.lit(True)
@@ -167,11 +163,12 @@ def map_columns(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def upsert(target: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """The target after inserting new keys and overwriting known ones, with ``action`` per row.
 
-    ``changes`` holds one row per key (see ``keep_first``). Actions: insert, update, same, keep.
+    Of several changes of one key the smallest row counts, compared column by column (see
+    ``keep_first`` for another choice). Actions: insert, update, same, keep.
     """
     rest = [c for c in target.columns if c not in key]
     old = target.select(*key, F.struct(*rest).alias("_old"))
-    new = changes.select(*key, F.struct(*rest).alias("_new"))
+    new = changes.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_new"))
     action = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "keep")
@@ -198,13 +195,14 @@ def upsert_history(
 ) -> DataFrame:
     """The target with row history: changed rows are closed at ``now`` and follow as new open rows.
 
-    ``target`` carries the validity columns; open rows have a NULL end. Closed rows pass through.
+    ``target`` carries the validity columns; open rows have a NULL end. Closed rows pass through. Of
+    several changes of one key the smallest row counts.
     """
     rest = [c for c in changes.columns if c not in key]
     closed = target.filter(F.col(valid_to).isNotNull())
     current = target.filter(F.col(valid_to).isNull())
     old = current.select(*key, F.struct(*rest).alias("_old"), F.col(valid_from).alias("_since"))
-    new = changes.select(*key, F.struct(*rest).alias("_new"))
+    new = changes.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_new"))
     changed = F.col("_new").isNotNull() & ~F.col("_old").eqNullSafe(F.col("_new"))
     end = F.when(changed, now)
     # A changed row leaves two versions, the closed old one and the open new one.

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadkeeper.functions.text import fold
+
 STAGES = ("raw", "dq", "refined")
 COUNTS = ("source_rows", "target_rows", "rejected_rows")
 
@@ -41,9 +43,9 @@ def stage_compare(
     """Counts of the three first layers side by side, one row per batch, source and object.
 
     The raw layer leads: objects without a raw row do not show. The second and third layer add up
-    per source name, so an object read under two names shows one row per name.
+    per source name, without case and trailing blanks, so an object read under two names shows one row per name.
     """
-    per_item = stage_counts(log, items).filter(F.col("job_id").isin(*stages))
+    per_item = stage_counts(log, items).filter(F.col("job_id").isin(*stages)).withColumn("_name", fold("source_object_name"))
     key = ["batch_id", "source_id", "object_id"]
 
     def layer(step: int, tag: str, by: Sequence[str]) -> DataFrame:
@@ -52,7 +54,7 @@ def stage_compare(
         return sums.drop(*by)
 
     raw, dq, refined = (
-        layer(step, tag, by) for step, tag, by in zip(stages, STAGES, ([], ["source_object_name"], ["source_object_name"]))
+        layer(step, tag, by) for step, tag, by in zip(stages, STAGES, ([], ["_name"], ["_name"]))
     )
     compared = raw.join(dq, key, "left").join(refined, key, "left").join(objects.select("object_id", "table_name"), "object_id")
     counts = [f"{tag}_{c}" for tag in STAGES for c in COUNTS]

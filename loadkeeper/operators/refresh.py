@@ -93,7 +93,7 @@ def quarters(config: DataFrame) -> DataFrame:
     A quarter without any config row gives no plan; one whose rows are all disabled gives an empty one.
     """
     number = F.expr("try_cast(quarter_name AS bigint)")
-    enabled_name = F.when(F.col("enabled"), F.col("quarter_name"))
+    enabled_name = F.when(F.col("enabled"), fold("quarter_name"))
     limits = config.groupBy("datasetid").agg(F.countDistinct(enabled_name).alias("_limit"))
     return (
         config.select("datasetid", number.alias("quarter"))
@@ -137,10 +137,10 @@ def entry_text() -> Column:
     return F.to_json(F.struct(F.col("table_name").alias("table"), partition))
 
 
-def full_payload(entries: DataFrame, config: DataFrame, *, by: Sequence[str] = (), max_objects: int = 5000) -> DataFrame:
+def full_payload(entries: DataFrame, config: DataFrame, *, by: Sequence[str] = (), max_objects: int | None = None) -> DataFrame:
     """The refresh request per batch, dataset and sequence (and quarter, with ``by``).
 
-    A dataset with more than ``max_objects`` entries gets several requests, numbered by ``page``.
+    One request holds all entries. With ``max_objects`` it is split into pages of about that many.
     """
     group = [*PLAN, *by]
     pages = paged_text(entries, group, key=entry_text(), text=entry_text(), page_rows=max_objects, sep=",")
@@ -153,14 +153,14 @@ def full_payload(entries: DataFrame, config: DataFrame, *, by: Sequence[str] = (
     )
 
 
-def calculate_payload(entries: DataFrame, *, max_objects: int = 5000) -> DataFrame:
+def calculate_payload(entries: DataFrame, *, max_objects: int | None = None) -> DataFrame:
     """The recalculation request per batch, dataset and sequence."""
     text = F.to_json(F.struct(F.col("table_name").alias("table")))
     pages = paged_text(entries, PLAN, key=text, text=text, page_rows=max_objects, sep=",")
     return pages.select(*PLAN, "page", F.concat(F.lit(CALCULATE), "body", F.lit(CLOSE)).alias("final_body_recalc"))
 
 
-def quarter_plan(config: DataFrame, batches: Sequence[int], *, max_objects: int = 5000) -> DataFrame:
+def quarter_plan(config: DataFrame, batches: Sequence[int], *, max_objects: int | None = None) -> DataFrame:
     """One refresh request per dataset, sequence and quarter, with an empty object list where a
     quarter has config rows but none of them is enabled for the sequence."""
     requests = full_payload(quarter_entries(config, batches), config, by=["quarter"], max_objects=max_objects)

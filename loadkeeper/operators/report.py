@@ -71,21 +71,22 @@ def first_errors(errors: DataFrame, key: Sequence[str]) -> DataFrame:
 def failure_detail(items: DataFrame, objects: DataFrame, log: DataFrame, errors: DataFrame, runs: DataFrame) -> DataFrame:
     """Enabled items of every run that have no success row, with their class and first error.
 
-    'Failed' with an error row or a log row of the same source and step, else 'Skipped'. Logs are
-    reduced to one row per run and item before the joins.
+    'Failed' with an error row or a log row of the same source and step, else 'Skipped'. The log is
+    scanned once and reduced to one row per batch and item, with the few sources and steps it was logged under.
     """
     chosen = items.filter(F.col("enabled") == 1).select(
         ITEM, "source_id", "job_id", "object_id", "target_object_name", "execution_sequence"
     )
     due = for_runs(chosen, runs).join(objects.select("object_id", "table_name"), "object_id")
     key = [*RUN, ITEM]
-    # Both uses of the reduced log read the same aggregate, so the log is scanned and shuffled once.
-    logged = log.groupBy(*key).agg(F.max(F.coalesce(same("status", SUCCESS), F.lit(False))).alias("_ok"))
-    done = logged.filter("_ok").select("batch_id", ITEM)
-    known = F.col("_error").isNotNull() | F.col("_ok").isNotNull()
+    place = F.struct(F.col("source_id").cast("bigint").alias("source_id"), F.col("job_id").cast("bigint").alias("job_id"))
+    logged = log.groupBy("batch_id", ITEM).agg(
+        F.max(F.coalesce(same("status", SUCCESS), F.lit(False))).alias("_ok"), F.collect_set(place).alias("_places")
+    )
+    known = F.col("_error").isNotNull() | F.coalesce(F.array_contains("_places", place), F.lit(False))
     return (
-        due.join(done, ["batch_id", ITEM], "left_anti")
-        .join(logged, key, "left")
+        due.join(logged, ["batch_id", ITEM], "left")
+        .filter(~F.coalesce("_ok", F.lit(False)))
         .join(first_errors(errors, key), key, "left")
         .select(
             *key,
@@ -273,7 +274,7 @@ def notification(
     groups: DataFrame, pages: DataFrame, routing: DataFrame, *, keys: Sequence[str], status: str,
     subject: Column, head: Column, none: Column, is_none: Column, tail: str = TABLE_END + CLOSING,
 ) -> DataFrame:
-    """Topic, recipients, subject and body per group; long reports come in several pages.
+    """Topic, recipients, subject and body per group.
 
     ``groups`` has the keys, the topic and what the texts name. ``pages`` is ``paged_text`` over the
     detail rows of each group. Recipients come from ``routing`` by topic and status. Groups for
@@ -311,7 +312,7 @@ def success_head() -> Column:
     return F.when(F.col("job_id").isin(1, 3), SIZE_HEAD).when(F.col("job_id") == 2, QUALITY_HEAD).otherwise(COUNT_HEAD)
 
 
-def success_pages(detail: DataFrame, page_rows: int = 1000) -> DataFrame:
+def success_pages(detail: DataFrame, page_rows: int | None = None) -> DataFrame:
     row = success_row()
     key = F.concat_ws("|", F.col(ITEM).cast("string"), row)
     return paged_text(detail, RUN, key=key, text=row, page_rows=page_rows)
@@ -332,7 +333,7 @@ def success_notification(
     )
 
 
-def failure_pages(detail: DataFrame, page_rows: int = 1000) -> DataFrame:
+def failure_pages(detail: DataFrame, page_rows: int | None = None) -> DataFrame:
     row = html_row("table_name", "is_failed", "error_log_id")
     return paged_text(detail, RUN, key=F.col(ITEM).cast("string"), text=row, page_rows=page_rows)
 
@@ -348,7 +349,7 @@ def failure_notification(
     )
 
 
-def dataset_pages(detail: DataFrame, *, failed: bool, page_rows: int = 1000) -> DataFrame:
+def dataset_pages(detail: DataFrame, *, failed: bool, page_rows: int | None = None) -> DataFrame:
     last = ("is_failed", "error_log_id") if failed else ("time_taken",)
     row = html_row("id", "domain_name", "table_name", "partition_name", *last)
     return paged_text(detail, ["batch_id"], key=F.concat_ws("|", "id", row), text=row, page_rows=page_rows)
@@ -371,7 +372,7 @@ def dataset_notification(
     )
 
 
-def stage_pages(mismatched: DataFrame, page_rows: int = 1000) -> DataFrame:
+def stage_pages(mismatched: DataFrame, page_rows: int | None = None) -> DataFrame:
     row = html_row(
         "table_name", "raw_source_rows", "raw_target_rows", "dq_source_rows", "dq_target_rows", "dq_rejected_rows",
         "refined_source_rows", "refined_target_rows",
@@ -396,8 +397,8 @@ def stage_notification(
     )
 
 
-def layer_pages(compared: DataFrame, entity: str, measure: str, page_rows: int = 1000) -> DataFrame:
-    """Table rows of one measure of ``layer_reconcile``, in pages."""
+def layer_pages(compared: DataFrame, entity: str, measure: str, page_rows: int | None = None) -> DataFrame:
+    """Table rows of one measure of ``layer_reconcile``."""
     row = html_row(entity, *[f"{measure}_{c}" for c in ("rpt", "certified", "refined", "match")])
     rows = compared.withColumn("measure", F.lit(measure))
     return paged_text(rows, ["measure"], key=F.col(entity).cast("string"), text=row, page_rows=page_rows)
@@ -480,8 +481,8 @@ def arrival_verdict(files: DataFrame) -> DataFrame:
     return counts.withColumn("verdict", verdict).withColumn("subject", subjects[F.col("verdict")])
 
 
-def arrival_message(files: DataFrame, page_rows: int = 1000) -> DataFrame:
-    """The verdict's message; unexpected names are listed in pages."""
+def arrival_message(files: DataFrame, page_rows: int | None = None) -> DataFrame:
+    """The verdict's message, with the unexpected names."""
     verdict = arrival_verdict(files)
     fixed = F.create_map(*[F.lit(x) for k, (_, text) in ARRIVAL.items() if text for x in (k, text + ARRIVAL_CLOSING)])
     plain = verdict.filter("verdict <> 'name issue'").select(

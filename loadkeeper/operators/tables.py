@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 def update_rows(table: DataFrame, changes: DataFrame, key: Sequence[str] | str) -> DataFrame:
     """``table`` with the non-key columns of ``changes`` put in where the key matches.
 
-    A NULL in the change is written as NULL; NULL key parts match nothing. ``changes`` holds one row
-    per key.
+    A NULL in the change is written as NULL; NULL key parts match nothing. Of several changes of one
+    key the largest row counts, compared column by column.
     """
     key = [key] if isinstance(key, str) else list(key)
     new = [c for c in changes.columns if c not in key]
-    marked = changes.select(*key, *[F.col(c).alias(f"_new_{c}") for c in new], F.lit(True).alias("_hit"))
+    one = changes.groupBy(*key).agg(F.max(F.struct(*new)).alias("_new")) if new else changes.select(*key).distinct()
+    marked = one.select(*key, *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in new], F.lit(True).alias("_hit"))
     joined = table.join(marked, key, "left")
     return joined.select(
         *[

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType
 
 from loadkeeper.functions.clock import EASTERN, Moment, local, wall, wall_text
-from loadkeeper.functions.text import code4, col, empty, fill, fold, like, replace_any_case, same
+from loadkeeper.functions.text import code4, code_key, col, empty, fill, fold, like, replace_any_case, same
 from loadkeeper.operators.joins import not_in
 from loadkeeper.operators.worklist import lower_bound
 
@@ -89,9 +90,17 @@ def with_threshold(items: DataFrame, thresholds: DataFrame) -> DataFrame:
 def _bound(df: DataFrame, column: str, value: dt.datetime | str | None) -> Column:
     if value is None:
         raise ValueError(f"no bound given for the window on {column}")
-    at = dt.datetime.fromisoformat(value) if isinstance(value, str) else value
-    text = at.replace(second=0, microsecond=0).isoformat(sep=" ")
-    return F.lit(text).cast(df.schema[column].dataType)
+    at = (dt.datetime.fromisoformat(value) if isinstance(value, str) else value).replace(second=0, microsecond=0)
+    kind = df.schema[column].dataType
+    if isinstance(kind, DateType):
+        # a day is at its midnight: it has reached a bound within a day only from the next day on
+        at += dt.timedelta(days=at.time() > dt.time.min)
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz" if isinstance(kind, StringType) else kind)
+
+
+def _moment(df: DataFrame, column: str) -> Column:
+    """The bare column; text as a timestamp."""
+    return F.col(column).try_cast("timestamp_ntz") if isinstance(df.schema[column].dataType, StringType) else F.col(column)
 
 
 def window_filter(df: DataFrame, column: str, lower, upper, extra_col: str | None = None) -> DataFrame:
@@ -101,21 +110,22 @@ def window_filter(df: DataFrame, column: str, lower, upper, extra_col: str | Non
     cutting the column and lets the file scan skip row groups. With ``extra_col`` a row also counts
     when only that second column has reached the lower bound.
     """
-    value = F.col(column)
+    value = _moment(df, column)
     started = value >= _bound(df, column, lower)
     if extra_col is not None:
-        started = started | (F.col(extra_col) >= _bound(df, extra_col, lower))
+        started = started | (_moment(df, extra_col) >= _bound(df, extra_col, lower))
     return df.filter(started & (value < _bound(df, column, upper)))
 
 
 def code_semi(df: DataFrame, codes: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
     """Rows whose code columns are all in the code table; ``pairs`` maps data column to code column.
 
-    This is the form of a code filter that grows with the table: a join, no inlined list.
+    This is the form of a code filter that grows with the table: a join, no inlined list. Codes of up to
+    four characters are padded on both sides; a wider one matches itself only.
     """
     for data_col, code_col in pairs.items():
-        keys = codes.select(code4(code_col).alias("_code")).filter("_code IS NOT NULL").distinct()
-        df = df.withColumn("_code", code4(data_col)).join(keys, "_code", "left_semi").drop("_code")
+        keys = codes.select(code_key(code_col).alias("_code")).filter("_code IS NOT NULL").distinct()
+        df = df.withColumn("_code", code_key(data_col)).join(keys, "_code", "left_semi").drop("_code")
     return df
 
 
@@ -142,20 +152,18 @@ def with_history(
 # ---------------------------------------------------------------- query text
 
 
-def code_texts(codes: DataFrame, names: Sequence[str], *, pad: bool = True, max_codes: int = 100_000) -> dict[str, Column]:
+def code_texts(codes: DataFrame, names: Sequence[str], *, pad: bool = True) -> dict[str, Column]:
     """The codes of every named column as one quoted comma text, as scalars; NULL without codes.
 
-    Text is for lists that a database accepts inline. One row past ``max_codes`` is read to raise an
-    error; longer lists go through ``code_semi`` or ``with_history``, which join. All columns come
-    from one pass over the table.
+    Text is for lists that a database accepts inline; ``code_semi`` and ``with_history`` join
+    instead. All columns come from one pass over the table.
     """
     shown = {n: code4(n) if pad else F.col(n).cast("string") for n in names}
-    rows = codes.select(*[c.alias(n) for n, c in shown.items()]).limit(max_codes + 1)
-    too_many = F.raise_error(F.lit(f"more than {max_codes} code rows; join the code table instead")).cast("string")
+    rows = codes.select(*[c.alias(n) for n, c in shown.items()])
 
     def listed(n: str) -> Column:
         quoted = F.concat(F.lit("'"), F.array_join(F.sort_array(F.collect_list(n)), "','"), F.lit("'"))
-        return F.when(F.count("*") > max_codes, too_many).when(F.count(n) > 0, quoted)
+        return F.when(F.count(n) > 0, quoted)
 
     texts = rows.agg(F.struct(*[listed(n).alias(n) for n in names])).scalar()
     return {n: texts[n] for n in names}

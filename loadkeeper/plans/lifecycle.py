@@ -7,12 +7,23 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadkeeper.functions.clock import local_day
+from loadkeeper.functions.clock import Moment, local_day
 from loadkeeper.functions.text import like, same
 from loadkeeper.operators import batch, gates, report
 from loadkeeper.plans.worklists import GATE_TARGET, Control
 
 
+def gate_refreshed(c: Control, now: Moment, gate_target: str = GATE_TARGET) -> Column:
+    """Whether the gate table was logged yesterday, on the server's clock: what closing a batch goes by."""
+    return gates.logged_yesterday(c.log, c.items, gate_target, local_day(now, "UTC"))
+
+
+def close_batches(c: Control, closing: DataFrame, *, now: Moment, adhoc: bool = False, gate_target: str = GATE_TARGET) -> DataFrame:
+    """``finish_batches`` with the items a complete batch contains worked out from the gate and the day."""
+    refreshed = gate_refreshed(c, now, gate_target)
+    return finish_batches(c, closing, batch.expected_adhoc(refreshed) if adhoc else batch.expected_regular(refreshed, now))
+
+
 def finish_batches(c: Control, closing: DataFrame, expected: Column) -> DataFrame:
     """The batch table after the closing requests.
 
@@ -50,7 +61,7 @@ def sequence_text(sequence: int | None) -> str:
 
 def success_report(
     c: Control, runs: DataFrame, routing: DataFrame, *, job_id: int, topic: str, server: str, now: dt.datetime,
-    layer: str | None = None, sequence: int | None = None, page_rows: int = 1000,
+    layer: str | None = None, sequence: int | None = None, page_rows: int | None = None,
 ) -> DataFrame:
     """What succeeded in one step. Steps from 4 on total only log rows of their chosen items."""
     items = chosen_items(c, job_id, layer, sequence)
@@ -65,7 +76,7 @@ def success_report(
 
 def failure_report(
     c: Control, errors: DataFrame, runs: DataFrame, routing: DataFrame, *, job_id: int, topic: str, server: str,
-    now: dt.datetime, layer: str | None = None, sequence: int | None = None, page_rows: int = 1000,
+    now: dt.datetime, layer: str | None = None, sequence: int | None = None, page_rows: int | None = None,
     gate_target: str = GATE_TARGET,
 ) -> DataFrame:
     """What failed or was skipped in one step.
@@ -75,8 +86,7 @@ def failure_report(
     items = chosen_items(c, job_id, layer, sequence)
     detail = report.failure_detail(items, c.objects, c.log, errors, runs)
     if job_id in (6, 7):
-        day = local_day(now, "UTC")
-        detail = detail.filter(gates.logged_yesterday(c.log, c.items, gate_target, day))
+        detail = detail.filter(gate_refreshed(c, now, gate_target))
     return report.failure_notification(
         run_groups(runs, job_id, topic), report.failure_pages(detail, page_rows), routing, server=server, now=now,
         tail=sequence_text(sequence),

@@ -310,7 +310,7 @@ def refresh_flag(t):
 
 @query
 def load_mode(t):
-    refreshed = gates.logged_yesterday(t.log, t.items, worklists.GATE_TARGET, clock.local_day(NOW))
+    refreshed = gates.all_refreshed_yesterday(t.log, t.items, clock.local_day(NOW))
     return t.items.filter("job_id = 5").select(
         "job_object_id",
         worklists.full_load_flag(refreshed, clock.is_weekend(NOW)).alias("weekday_flag"),
@@ -348,7 +348,7 @@ def _rollup(t, expected):
 
 
 def _refreshed(t, now):
-    return gates.logged_yesterday(t.log, t.items, worklists.GATE_TARGET, clock.local_day(now))
+    return lifecycle.gate_refreshed(t.control(), now)
 
 
 @query
@@ -413,7 +413,7 @@ def failure_rows(t):
         "event_id", F.concat(F.lit("step "), F.repeat("event_type", 12)).alias("activity"),
         F.lit(50010).alias("error_code"), F.repeat("props", 30).alias("error_message"),
     )
-    rows = batch.failure_rows(failures, _datetime(NOW))
+    rows = batch.failure_rows(failures, _datetime(NOW), widths=(50, 100, 250))
     return rows.withColumn("log_date", clock.milli_text(F.col("log_date")))
 
 
@@ -428,8 +428,11 @@ def audit_rows(t):
 
 @query
 def audit_fix(t):
-    corrections = t.errors.select("source_id", "job_id", "job_object_id", "batch_id", F.lit("corrected").alias("status"))
-    fixed = batch.fix_status(t.log, corrections)
+    corrections = t.errors.select(
+        "source_id", "job_id", "job_object_id", "batch_id", F.coalesce("error_subtype", F.lit("corrected")).alias("status"),
+        F.struct("log_date", "error_log_id").alias("at"),
+    )
+    fixed = batch.fix_status(t.log, corrections, order="at")
     return fixed.groupBy("batch_id", "job_id", "status").agg(F.count("*").alias("n_rows"))
 
 
@@ -555,7 +558,7 @@ def notification_failed(t):
         t.batches.select("batch_id", "source_id").join(t.items.select("source_id", "job_id").distinct(), "source_id")
     )
     return report.failure_notification(
-        groups, report.failure_pages(detail, page_rows=150), t.routing, server="srv", now=_datetime(NOW)
+        groups, report.failure_pages(detail), t.routing, server="srv", now=_datetime(NOW)
     )
 
 
@@ -564,7 +567,7 @@ def notification_success(t):
     detail = report.success_detail(t.log, t.items, t.objects)
     groups = _topics(report.run_summary(t.log).filter("status = 'success'").drop("status"))
     return report.success_notification(
-        groups, report.success_pages(detail, page_rows=200), t.routing, server="srv", now=_datetime(NOW)
+        groups, report.success_pages(detail), t.routing, server="srv", now=_datetime(NOW)
     )
 
 
@@ -585,7 +588,7 @@ def step_failure_report(t):
 @query
 def stage_notification(t):
     compared = recon.stage_compare(t.stage_log, t.items, t.objects)
-    pages = report.stage_pages(compared.filter("raw_dq_differ OR dq_refined_differ"), page_rows=300)
+    pages = report.stage_pages(compared.filter("raw_dq_differ OR dq_refined_differ"))
     return report.stage_notification(
         recon.stage_verdict(compared, t.batches), pages, t.routing, topic="step_3", status="failed", server="srv", now=_datetime(NOW)
     )
@@ -603,7 +606,7 @@ def dataset_notification_success(t):
         t.batches.select("batch_id").join(report.dataset_summary(log, t.datasets), "batch_id", "left")
         .withColumns({"source_id": F.lit(99), "topic": F.lit("step_1")})
     )
-    pages = report.dataset_pages(report.dataset_success(log, t.datasets), failed=False, page_rows=400)
+    pages = report.dataset_pages(report.dataset_success(log, t.datasets), failed=False)
     return report.dataset_notification(groups, pages, t.routing, failed=False, server="srv", now=_datetime(NOW))
 
 
@@ -611,7 +614,7 @@ def dataset_notification_success(t):
 def dataset_notification_failed(t):
     detail = report.dataset_failure(t.datasets, _dataset_log(t.log), _dataset_log(t.errors), DATASET_BATCHES, source_id=99)
     groups = t.batches.select("batch_id").withColumns({"source_id": F.lit(99), "topic": F.lit("step_1")})
-    pages = report.dataset_pages(detail, failed=True, page_rows=400)
+    pages = report.dataset_pages(detail, failed=True)
     return report.dataset_notification(groups, pages, t.routing, failed=True, server="srv", now=_datetime(NOW))
 
 
@@ -649,7 +652,7 @@ def file_arrival(t):
 
 @query
 def arrival_message(t):
-    return report.arrival_message(_files(t), page_rows=100)
+    return report.arrival_message(_files(t))
 
 
 # ---------------------------------------------------------------- dataset refresh
@@ -717,7 +720,7 @@ def recalc_payload(t):
 
 @query
 def camel_case(t):
-    return t.documents.select("doc_id", text.camel_case("text", max_chars=None).alias("camel"))
+    return t.documents.select("doc_id", text.camel_case("text").alias("camel"))
 
 
 DOCUMENT_RULES = [

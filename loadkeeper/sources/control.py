@@ -79,7 +79,7 @@ TEXTS = {
     "batches": """
         SELECT b AS batch_id, (b - 1) % 5 + 1 AS source_id,
           [ts 2024-01-01 04:00:00] + CAST(floor((b - 1) / 5) AS INT) * INTERVAL '1' DAY AS batch_start_date
-        FROM (SELECT [each 1..10] AS b) numbers""",
+        FROM (SELECT DISTINCT o_orderkey % 10 + 1 AS b FROM {orders}) runs""",
     "history": """
         SELECT o_orderkey AS batch_id, o_orderkey % 5 + 1 AS source_id, o_orderdate AS batch_start_date,
           o_orderdate AS trigger_time, CASE WHEN o_orderkey % 3 = 0 THEN 'main' ELSE 'side_' || o_orderpriority END

@@ -11,12 +11,13 @@ from loadkeeper.functions.text import same
 from loadkeeper.operators.gates import ITEM, SEQUENCE, SUCCESS, active_edges
 from loadkeeper.session import shared_dir
 
-MET = "dependency_id BIGINT, epoch BIGINT"
+MET = "batch_id BIGINT, dependency_id BIGINT, epoch BIGINT"
 
 
-def met_so_far(spark: SparkSession, state: str) -> DataFrame:
-    """Edges met by any micro-batch so far."""
-    return spark.read.schema(MET).parquet(state).select("dependency_id").distinct()
+def met_so_far(spark: SparkSession, state: str, latest: DataFrame) -> DataFrame:
+    """Edges met so far in the batches of ``latest`` (batch_id), as they are when this is read."""
+    met = spark.read.schema(MET).parquet(state)
+    return met.join(latest.select("batch_id").distinct(), "batch_id", "left_semi").select("dependency_id").distinct()
 
 
 def readiness(edges: DataFrame, met: DataFrame) -> DataFrame:
@@ -31,25 +32,26 @@ def readiness(edges: DataFrame, met: DataFrame) -> DataFrame:
 
 
 def watch_readiness(
-    log: DataFrame, edges: DataFrame, latest: DataFrame, *, folder: str | None = None, available_now: bool = True
+    log: DataFrame, edges: DataFrame, *, folder: str | None = None, name: str = "log", available_now: bool = True
 ) -> StreamingQuery:
-    """Follows a streamed log and keeps the met edges under ``folder``/met, one folder per epoch.
+    """Follows a streamed log and keeps the edges met, by batch, under ``folder``/met, one folder per epoch.
 
     An epoch that is retried overwrites its own folder, so a lost executor or a restart leaves the
-    state exact. Only edges not met before are written: the state never outgrows the edge table.
+    state exact. Only what was not met before is written: the state has at most one row per batch and edge.
+    Which batches count is decided when the state is read. Streams of different logs need different names.
     """
     spark = edges.sparkSession
-    folder = folder or f"{shared_dir(spark)}/readiness"
+    folder = folder or f"{shared_dir(spark)}/readiness/{name}"
     state = f"{folder}/met"
-    spark.createDataFrame([], "dependency_id BIGINT").write.mode("overwrite").parquet(f"{state}/epoch=-1")
+    spark.createDataFrame([], "batch_id BIGINT, dependency_id BIGINT").write.mode("overwrite").parquet(f"{state}/epoch=-1")
     wanted = active_edges(edges).select(F.col("dependency_id").cast("bigint"), F.col("dependent_job_object_id").alias(ITEM))
 
     def mark(rows: DataFrame, epoch: int) -> None:
-        items = rows.filter(same("status", SUCCESS)).join(latest.select("batch_id"), "batch_id", "left_semi")
-        met = wanted.join(items.select(ITEM).distinct(), ITEM, "left_semi").select("dependency_id")
+        items = rows.filter(same("status", SUCCESS)).select(F.col("batch_id").cast("bigint"), ITEM).distinct()
+        met = wanted.join(items, ITEM).select("batch_id", "dependency_id")
         known = rows.sparkSession.read.schema(MET).parquet(state).filter(F.col("epoch") < epoch)
-        fresh = met.join(known.select("dependency_id").distinct(), "dependency_id", "left_anti")
-        fresh.coalesce(1).write.mode("overwrite").parquet(f"{state}/epoch={epoch}")
+        fresh = met.join(known.drop("epoch").distinct(), ["batch_id", "dependency_id"], "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{state}/epoch={epoch}")
 
     writer = log.writeStream.foreachBatch(mark).option("checkpointLocation", f"{folder}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()

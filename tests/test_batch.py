@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadkeeper.operators import batch, tables
+from loadkeeper.plans import lifecycle
+from loadkeeper.plans.worklists import GATE_TARGET, Control
 
 AT = dt.datetime(2024, 1, 2, 3, 4, 5, 678000)
 BATCHES = "batch_id bigint, source_id int, batch_start_date timestamp_ntz, batch_run_status string, trigger_id string"
@@ -92,8 +94,46 @@ def test_guarded_watermark_compares_text(table, rows):
     assert rows(failed, "job_object_id", "error_message") == [(i, "Source and target count mismatch") for i in (2, 3)]
 
 
-def test_failure_rows_are_cut(table):
+def test_failure_rows_are_whole_unless_widths_are_given(table):
     failure = table("activity string, error_code int, error_message string", ("a" * 80, 50010, "m" * 400))
-    row = batch.failure_rows(failure, AT).first()
+    whole = batch.failure_rows(failure, AT).first()
+    assert (len(whole["activity"]), len(whole["error_message"]), whole["error_code"]) == (80, 400, "50010")
+    row = batch.failure_rows(failure, AT, widths=(50, 100, 250)).first()
     assert (len(row["activity"]), len(row["error_message"]), row["error_code"]) == (50, 250, "50010")
     assert (row["error_type"], row["error_subtype"], row["log_date"]) == ("TechnicalError", "LogicalError", dt.datetime(2024, 1, 2))
+
+
+def test_repeated_requests_open_one_batch_with_the_same_id(table, rows):
+    batches = table(BATCHES, (5, 1, AT, "Successfully Completed", None))
+    requests = table("source_id int, is_rerun int, requested_status string", (2, 0, "Active"), (1, 0, "Active"), (1, 0, "active"), (9, 0, "Active"))
+    opened = batch.open_batches(batches, requests, start=AT)
+    assert rows(opened.filter("batch_id > 5"), "batch_id", "source_id") == [(6, 1), (7, 2), (8, 9)]
+    assert rows(opened) == rows(batch.open_batches(batches, requests.repartition(3, "is_rerun"), start=AT))
+
+
+def test_a_repeated_change_leaves_one_row(table, rows):
+    t = table("k int, v string, w int", (1, "a", 1), (2, "b", 2))
+    got = tables.update_rows(t, table("k int, v string, w int", (1, "x", 9), (1, "y", 3), (1, None, 4)), "k")
+    assert rows(got) == [(1, "y", 3), (2, "b", 2)]
+
+
+def test_corrections_have_an_order_or_agree(table, rows):
+    ddl = "source_id int, job_id int, job_object_id bigint, batch_id bigint, status string"
+    log = table(ddl, (1, 1, 1, 1, "running"), (1, 1, 2, 1, "running"))
+    twice = table(f"{ddl}, at int", (1, 1, 1, 1, "success", 1), (1, 1, 1, 1, "failed", 2))
+    assert rows(batch.fix_status(log, twice, order="at"), "job_object_id", "status") == [(1, "failed"), (2, "running")]
+    agreed = twice.filter("at = 1").unionByName(twice.filter("at = 1")).drop("at")
+    assert rows(batch.fix_status(log, agreed), "job_object_id", "status") == [(1, "success"), (2, "running")]
+    with pytest.raises(Exception, match="give their order"):
+        batch.fix_status(log, twice.drop("at")).collect()
+
+
+def test_the_gate_of_a_closing_batch_goes_by_the_servers_day(table):
+    control = Control(
+        items=table("job_object_id bigint, target_object_name string", (1, GATE_TARGET)), sources=None, jobs=None, objects=None,
+        log=table("job_object_id bigint, log_date timestamp_ntz", (1, dt.datetime(2024, 1, 2, 5))), batches=None, edges=None,
+    )
+    # 3 January on the server, still the 2nd in the east
+    seen = table("x int", (1,)).select(lifecycle.gate_refreshed(control, "2024-01-03 03:00:00").alias("g")).first()["g"]
+    before = table("x int", (1,)).select(lifecycle.gate_refreshed(control, "2024-01-02 23:00:00").alias("g")).first()["g"]
+    assert seen and not before

@@ -143,10 +143,10 @@ def test_drain_ignores_null_status_and_other_days(table, rows):
     at = dt.datetime.fromisoformat("2024-01-02 08:00:00")
     batches = table(
         "trigger_time timestamp_ntz, pipeline_name string, batch_run_status string",
-        (at, "a", "successfully completed "), (at, "a", None), (at, "b", "Active"), (at.replace(day=1), "a", "Failed"),
+        (at, "a", "successfully completed "), (at, "A ", None), (at, "b", "Active"), (at, "B ", "Active"), (at.replace(day=1), "a", "Failed"),
     )
     got = rows(gates.drain_state(batches, NOW), "pipeline_name", "open_batches", "drained")
-    assert got == [("a", 0, True), ("b", 1, False)]
+    assert got == [("A ", 0, True), ("B ", 2, False)]
 
 
 def flags(spark, table, items, log):

@@ -92,6 +92,14 @@ def test_pages_of_a_hot_group(no_broadcast, spark):
     assert sorted(int(x) for p in pages for x in p["body"].split(",")) == list(range(6_000))
 
 
+def test_pages_of_equal_rows(no_broadcast, spark):
+    rows = spark.range(20_000).select(F.lit(1).alias("g"), F.lit("same").alias("t"))
+    pages = paged_text(rows, ["g"], key=F.col("t"), text=F.col("t"), page_rows=100, sep=",").collect()
+    assert max(p["n_rows"] for p in pages) == 100 and sum(p["n_rows"] for p in pages) == 20_000
+    (whole,) = paged_text(rows, ["g"], key=F.col("t"), text=F.col("t"), sep=",").collect()
+    assert whole["n_rows"] == 20_000 and whole["body"] == ",".join(["same"] * 20_000) and whole["page"] == 0
+
+
 def test_duplicates_of_a_hot_key(no_broadcast, spark):
     rows = spark.range(9_000).select(
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), (F.col("id") % 100).alias("o"), (F.col("id") % 7).alias("v")

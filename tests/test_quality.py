@@ -122,3 +122,23 @@ def test_name_checks(table):
     checks.check_names("", known, "t")
     raises("Please pass correct table names , issue table names are: c,d", checks.check_names, "d,a,c", known, "t")
     raises("Please pass correct table names , issue table names are: ", checks.check_names, "a,a", known, "t")
+
+
+def test_alphanumeric_sees_line_ends(table, rows):
+    df = table("v string", ("abc",), ("abc\n",), ("a b",), ("",), (None,))
+    ok, _ = quality.quality_split(df, [Rule("v", alphanumeric=True)])
+    assert rows(ok) == [("abc",), (None,)]
+
+
+def test_repeated_changes_leave_one_row(table, rows):
+    target, ddl = table("k int, v string", (1, "a"), (2, "b")), "k int, v string"
+    assert rows(quality.upsert(target, table(ddl, (1, "y"), (1, "x"), (3, "n"), (3, "n")), ["k"])) == [(1, "x", "update"), (2, "b", "keep"), (3, "n", "insert")]
+    history = table("k int, v string, valid_from timestamp_ntz, valid_to timestamp_ntz", (1, "a", dt.datetime(2024, 1, 1), None))
+    got = quality.upsert_history(history, table(ddl, (1, "y"), (1, "x")), ["k"], now=F.lit("2024-02-01").cast("timestamp_ntz"))
+    assert rows(got, "k", "v") == [(1, "a"), (1, "x")]
+
+
+def test_null_combination(table, rows):
+    df = table("a int, b int", (None, None), (1, None), (None, 2))
+    _, bad = quality.quality_split(df, [Rule("a", null_combination=True), Rule("b", null_combination=True)])
+    assert rows(bad) == [(None, None, ["NullCheckError:a+b"])]

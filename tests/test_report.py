@@ -49,6 +49,13 @@ def test_an_object_read_under_two_names_shows_per_name(table, rows):
     assert rows(recon.stage_verdict(got), "tablecount", "verdict") == [(1, "count mismatched")]
 
 
+def test_spellings_of_a_name_are_one(table, rows):
+    items = [(1, 1, 1, 1, 1, "abc", "t", 1), (2, 1, 2, 1, 1, "Abc", "t", 1), (4, 1, 2, 1, 1, "abc ", "t", 1), (3, 1, 3, 1, 1, "abc", "t", 1)]
+    got = stage(table, (1, 1, 10, 10, 0), (1, 2, 6, 6, 0), (1, 4, 4, 4, 0), (1, 3, 10, 10, 0), items=items)
+    assert rows(got, "raw_target_rows", "dq_target_rows", "refined_target_rows") == [(10, 10, 10)]
+    assert rows(recon.stage_verdict(got), "tablecount") == [(0,)]
+
+
 def test_layers_match_within_tolerance(table, rows):
     layer = lambda *r: table("e string, m decimal(38,7)", *r)
     from decimal import Decimal as D

@@ -14,19 +14,21 @@ def schema(table, ddl):
 def test_readiness_turns_true_as_rows_arrive(spark, table, tmp_path, rows):
     logs, folder = str(tmp_path / "log"), str(tmp_path / "state")
     edges = table(EDGES, (1, 1, 4, 1, 1, 3, 50, True), (2, 1, 4, 2, 1, 3, 51, True), (3, 2, 4, 3, 1, 3, 51, True), (4, 2, 4, 3, 1, 3, 99, False))
-    latest = table("source_id int, batch_id bigint", (1, 7))
 
-    def arrive(*new):
+    def arrive(*new, batch=7):
         table(LOG, *new).write.mode("append").parquet(logs)
         stream = readiness.log_stream(spark, logs, schema(table, LOG), files_per_batch=1)
-        readiness.watch_readiness(stream, edges, latest, folder=folder).awaitTermination()
-        return rows(readiness.readiness(edges, readiness.met_so_far(spark, f"{folder}/met")), "source_id", "expected", "done", "ready")
+        readiness.watch_readiness(stream, edges, folder=folder).awaitTermination()
+        met = readiness.met_so_far(spark, f"{folder}/met", table("source_id int, batch_id bigint", (1, batch)))
+        return rows(readiness.readiness(edges, met), "source_id", "expected", "done", "ready")
 
     assert arrive((7, 50, "failed"), (6, 51, "success")) == [(1, 2, 0, False), (2, 1, 0, False)]
     assert arrive((7, 50, "Success"), (7, 50, "success")) == [(1, 2, 1, False), (2, 1, 0, False)]
     assert arrive((7, 51, "success"), (7, 50, "success")) == [(1, 2, 2, True), (2, 1, 1, True)]
     state = spark.read.parquet(f"{folder}/met")
-    assert state.count() == state.select("dependency_id").distinct().count() == 3
+    assert state.count() == state.select("batch_id", "dependency_id").distinct().count() == 5
+    # the next day's batch starts from nothing
+    assert arrive((8, 51, "success"), batch=8) == [(1, 2, 1, False), (2, 1, 1, True)]
 
 
 def test_ingest_reads_every_file_once(spark, table, tmp_path):

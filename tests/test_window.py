@@ -110,8 +110,6 @@ def test_code_texts(spark, table):
     assert code(spark, table, 7, 12345, None, 3) == ("'000*','0003','0007'", None)
     assert code(spark, table) == (None, None)
     assert code(spark, table, None) == (None, None)
-    with pytest.raises(Exception, match="join the code table"):
-        code(spark, table, 1, 2, 3, max_codes=2)
 
 
 def test_bounds(one):
@@ -163,3 +161,19 @@ def test_threshold_defaults_to_zero(table, rows):
     items = table("table_name string", ("A ",), ("b",))
     got = window.with_threshold(items, table("table_name string, threshold int", ("a", 5)))
     assert rows(got, "table_name", "threshold") == [("A ", 5), ("b", 0)]
+
+
+def test_window_on_days_and_texts(table, rows):
+    days = [dt.date(2024, 1, d) for d in (4, 5, 6, 19, 20, 21)]
+    df = table("d date, s string", *((d, d.isoformat() + " 06:30:59") for d in days), (None, "no time"))
+    kept = window.window_filter(df, "d", "2024-01-05 06:30:00", "2024-01-20 18:45:00")
+    assert rows(kept, "d") == [(d,) for d in sorted(days[2:5], key=repr)]
+    assert rows(window.window_filter(df, "d", "2024-01-05 00:00:00", "2024-01-20 00:00:00"), "d") == [(d,) for d in sorted(days[1:4], key=repr)]
+    texts = window.window_filter(df, "s", "2024-01-05 06:30:00", "2024-01-20 06:30:00")
+    assert rows(texts, "d") == [(d,) for d in sorted(days[1:4], key=repr)]
+
+
+def test_wide_codes_match_themselves_only(table, rows):
+    df = table("c bigint", (12345,), (67890,), (7,), (8,), (None,))
+    codes = table("code string", ("67890",), ("0007",), ("99999",))
+    assert rows(window.code_semi(df, codes, {"c": "code"})) == [(67890,), (7,)]

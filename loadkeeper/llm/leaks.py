@@ -90,8 +90,10 @@ def _matches(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     earlier = F.lit(False)
     for b in range(BLOCKS):
         earlier = earlier | (F.col("block") > b) & (F.bit_count(_block(F.col("fp"), b).bitwiseXOR(_block(F.col("item_fp"), b))) <= FLIPS)
-    pairs = pairs.filter(~earlier).select("doc_id", "item_id", "start", "n", "window", "distance")
-    exact = pairs.join(items.select("item_id", "hashes"), "item_id").withColumn("similarity", weighted_jaccard(F.col("window"), F.col("hashes")))
+    pairs = pairs.filter(~earlier).select("doc_id", "item_id", "item_fp", "start", "n", "window", "distance")
+    wanted = items.select(F.col("item_id").alias("wanted_id"), F.col("n").alias("wanted_n"), F.col("fp").alias("wanted_fp"), "hashes").distinct()
+    same = F.col("item_id").eqNullSafe(F.col("wanted_id")) & (F.col("n") == F.col("wanted_n")) & (F.col("item_fp") == F.col("wanted_fp"))
+    exact = pairs.join(wanted, same).withColumn("similarity", weighted_jaccard(F.col("window"), F.col("hashes")))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n", "distance")).alias("best")
     rows = exact.filter(F.col("similarity") >= SIMILARITY).groupBy("doc_id", "item_id").agg(best)
     return rows.select("doc_id", "item_id", "best.similarity", (-F.col("best.before")).alias("start"), F.col("best.n").alias("n_words"), "best.distance")

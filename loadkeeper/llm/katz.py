@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,17 +41,32 @@ WORD_PART, PAIR_PART = 1 << 26, 1 << 23
 HOT = 1024
 #: The hashes that stand for the end and the start of a text.
 END, START = np.uint64(0xEF46DB3751D8E999), np.uint64(0x9E3779B185EBCA87)
-BLOCKS = "block bigint, docs binary, missing binary, train binary, lengths binary, tokens binary, vocabulary binary"
+BLOCKS = "block bigint, docs binary, missing binary, train binary, lengths binary, tokens binary, spread binary, vocabulary binary"
 BACK = "block bigint, kind int, part int, a binary, b binary, c binary, context bigint, n array<bigint>, s double"
+PAIRS = "part int, block bigint, one binary, other binary, counts binary, seconds binary, hot binary"
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
 def _pack(values: np.ndarray, kind: str) -> bytes:
-    return zlib.compress(values.astype(kind).tobytes(), 1)
+    """An array, compressed with all first bytes before all second ones and so on: high bytes are mostly zero."""
+    width = np.dtype(kind).itemsize
+    return zstandard.ZstdCompressor(level=1).compress(values.astype(kind).view("u1").reshape(-1, width).T.tobytes())
 
 
 def _unpack(packed: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), kind)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "u1")
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
+
+
+def _steps(values: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Ascending runs of values as steps from one to the next; a run's first value stays."""
+    return np.where(new, values, np.diff(values, prepend=0))
+
+
+def _from_steps(steps: np.ndarray, new: np.ndarray) -> np.ndarray:
+    total = np.cumsum(steps)
+    starts = np.flatnonzero(new)
+    return total - np.repeat(total[starts] - steps[starts], np.diff(np.append(starts, len(steps))))
 
 
 def _table(rows: list[dict], schema: pa.Schema) -> pa.Table:
@@ -62,8 +78,11 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in ddl.split(", ")])
 
 
-def blocks(docs: DataFrame, learned: Callable[[int], bool]) -> DataFrame:
-    """The texts of docs(doc_id, text) as blocks of word numbers; a text is never split."""
+def blocks(docs: DataFrame, learned: Callable[[int], bool], parts: int) -> DataFrame:
+    """The texts of docs(doc_id, text) as blocks of word numbers; a text is never split.
+
+    ``vocabulary`` has the hash of each word of a block, the most frequent first, ``spread`` its part of the table of words.
+    """
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -78,6 +97,7 @@ def blocks(docs: DataFrame, learned: Callable[[int], bool]) -> DataFrame:
             order = np.argsort(-counts, kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
+            words = np.append(vocabulary[order], START)
             train = np.array([i is not None and learned(i) for i in ids])
             return pa.RecordBatch.from_pylist(
                 [
@@ -88,7 +108,8 @@ def blocks(docs: DataFrame, learned: Callable[[int], bool]) -> DataFrame:
                         "train": _pack(train, "u1"),
                         "lengths": _pack(np.array(lengths), "<i8"),
                         "tokens": _pack(rank[numbers], "<u4"),
-                        "vocabulary": np.append(vocabulary[order], START).astype("<u8").tobytes(),
+                        "spread": _pack(words % np.uint64(parts), "<u4"),
+                        "vocabulary": words.astype("<u8").tobytes(),
                     }
                 ],
                 schema,
@@ -116,7 +137,8 @@ class Block:
 
     def __init__(self, row: dict):
         self.number = row["block"]
-        self.vocabulary = np.frombuffer(row["vocabulary"], "<u8")
+        self.spread = _unpack(row["spread"], "<u4").astype(np.int64)
+        self.size = len(self.spread)
         self.tokens = _unpack(row["tokens"], "<u4").astype(np.int64)
         self.lengths = _unpack(row["lengths"], "<i8")
         self.train = _unpack(row["train"], "u1").astype(bool)
@@ -126,21 +148,21 @@ class Block:
 
     def word_counts(self) -> np.ndarray:
         """How often each word of the vocabulary occurs in training texts; for the start mark, the texts."""
-        out = np.bincount(self.tokens[self.trained], minlength=len(self.vocabulary))
+        out = np.bincount(self.tokens[self.trained], minlength=self.size)
         out[-1] = self.train.sum()
         return out
 
-    def word_parts(self, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-        part = (self.vocabulary % np.uint64(parts)).astype(np.int64)
-        return _by_part(part, parts)
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """First and second word of the distinct pairs, their training counts, and each token's pair."""
-        before = np.roll(self.tokens, 1)
-        before[self.starts] = len(self.vocabulary) - 1
-        both, numbers = np.unique(before * len(self.vocabulary) + self.tokens, return_inverse=True)
-        counts = np.bincount(numbers, weights=self.trained, minlength=len(both)).astype(np.int64)
-        return both // len(self.vocabulary), both % len(self.vocabulary), counts, numbers
+    def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First and second word of the distinct pairs, their training counts, and each token's pair; in the order of the words' numbers."""
+        order = np.argsort(numbers)
+        place = np.empty_like(order)
+        place[order] = np.arange(self.size)
+        tokens = place[self.tokens]
+        before = np.roll(tokens, 1)
+        before[self.starts] = place[-1]
+        both, at = np.unique(before * self.size + tokens, return_inverse=True)
+        counts = np.bincount(at, weights=self.trained, minlength=len(both)).astype(np.int64)
+        return order[both // self.size], order[both % self.size], counts, at
 
 
 def _by_part(part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -198,10 +220,10 @@ def _words_back(coded: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row)
-                counts = block.word_counts()
+                counts, vocabulary = block.word_counts(), np.frombuffer(row["vocabulary"], "<u8")
                 rows = [
-                    {"part": p, "block": block.number, "words": block.vocabulary[at].tobytes(), "counts": _pack(counts[at], "<u4")}
-                    for p, at in block.word_parts(parts)
+                    {"part": p, "block": block.number, "words": vocabulary[at].tobytes(), "counts": _pack(counts[at], "<u4")}
+                    for p, at in _by_part(block.spread, parts)
                 ]
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([("part", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())]))
 
@@ -225,9 +247,9 @@ def _words_back(coded: DataFrame, parts: int) -> DataFrame:
 
 def _numbered(block: Block, back: list[dict], parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Number and total count of each word of a block."""
-    numbers, counts = np.zeros(len(block.vocabulary), np.int64), np.zeros(len(block.vocabulary), np.int64)
+    numbers, counts = np.zeros(block.size, np.int64), np.zeros(block.size, np.int64)
     own = {r["part"]: r for r in back if r["kind"] == 0}
-    for p, at in block.word_parts(parts):
+    for p, at in _by_part(block.spread, parts):
         numbers[at], counts[at] = _unpack(own[p]["a"], "<u8"), _unpack(own[p]["b"], "<u8")
     return numbers, counts
 
@@ -241,9 +263,9 @@ def _pair_parts(one: np.ndarray, other: np.ndarray, hot: np.ndarray, parts: int)
 
 def _ordered(block: Block, numbers: np.ndarray, counts: np.ndarray, words: Words, parts: int):
     """A block's pairs in the order in which parts see them: by first word, then second. Also each token's pair."""
-    first, second, own, at = block.pairs()
+    first, second, own, at = block.pairs(numbers)
     hot = counts[first] * HOT >= max(words.total, 1)
-    return first, second, own, at, _pair_parts(numbers[first], numbers[second], hot, parts)
+    return first, second, own, at, hot, _pair_parts(numbers[first], numbers[second], hot, parts)
 
 
 def _pairs_back(coded: DataFrame, back: DataFrame, words: Words, parts: int) -> DataFrame:
@@ -253,21 +275,26 @@ def _pairs_back(coded: DataFrame, back: DataFrame, words: Words, parts: int) ->
     def sent(left: pa.Table, right: pa.Table) -> pa.Table:
         block, rows = Block(left.to_pylist()[0]), []
         numbers, counts = _numbered(block, right.to_pylist(), words.parts)
-        first, second, own, _, part = _ordered(block, numbers, counts, words, parts)
+        first, second, own, _, hot, part = _ordered(block, numbers, counts, words, parts)
         for p, at in _by_part(part, parts):
-            one, other = first[at], second[at]
+            one, other = numbers[first[at]], numbers[second[at]]
+            new = np.append(True, np.diff(one) != 0)
             rows.append(
                 {
-                    "part": p, "block": block.number, "one": _pack(numbers[one], "<u8"), "other": _pack(numbers[other], "<u8"),
-                    "counts": _pack(own[at], "<u4"), "seconds": _pack(counts[other], "<u8"), "firsts": _pack(counts[one], "<u8"),
+                    "part": p, "block": block.number, "one": _pack(np.diff(one, prepend=0), "<i8"), "other": _pack(_steps(other, new), "<i8"),
+                    "counts": _pack(own[at], "<u4"), "seconds": _pack(counts[second[at]], "<u8"), 
+                    "hot": _pack(hot[at], "u1"),
                 }
             )
-        return _table(rows, _schema("part int, block bigint, one binary, other binary, counts binary, seconds binary, firsts binary"))
+        return _table(rows, _schema(PAIRS))
 
     def totalled(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         cat = lambda c, kind: np.concatenate([_unpack(r[c], kind) for r in rows]).astype(np.int64)
-        one, other, lengths = cat("one", "<u8"), cat("other", "<u8"), [len(_unpack(r["one"], "<u8")) for r in rows]
+        steps = [_unpack(r["one"], "<i8") for r in rows]
+        news = [np.append(True, x[1:] != 0) for x in steps]
+        one = np.concatenate([np.cumsum(x) for x in steps])
+        other = np.concatenate([_from_steps(_unpack(r["other"], "<i8"), new) for r, new in zip(rows, news)])
         order = np.lexsort((other, one))
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(one[order]) != 0) | (np.diff(other[order]) != 0)
@@ -281,22 +308,26 @@ def _pairs_back(coded: DataFrame, back: DataFrame, words: Words, parts: int) ->
         sums = np.add.reduceat(np.where(seen, words.probability(cat("seconds", "<u8")[lead]), 0.0), starts)
         run_of = np.searchsorted(contexts[starts], one)
         out, first = [], 0
-        for r, n in zip(rows, lengths):
-            mine = slice(first, first + n)
-            first += n
-            own = run_of[mine]
-            own = own[np.append(True, np.diff(own) != 0)]
+        for r, new in zip(rows, news):
+            mine = slice(first, first + len(new))
+            first += len(new)
+            own, found = run_of[mine][new], totals[at[mine]]
+            # a block needs the sums only of first words that it has in pairs never seen
+            wanted = np.logical_or.reduceat(found == 0, np.flatnonzero(new))
             out.append(
-                {"block": r["block"], "kind": 2, "part": r["part"], "a": _pack(totals[at[mine]], "<u8"), "b": _pack(runs[own].reshape(-1), "<u4"), "c": _pack(sums[own], "<f8")}
-            )
-        hot = cat("firsts", "<u8")[lead][starts] * HOT >= max(words.total, 1)
+                {
+                    "block": r["block"], "kind": 2, "part": r["part"], "a": _pack(found, "<u8"), "b": _pack(runs[own].T.reshape(-1), "<u4"),
+                    "c": _pack(np.where(wanted, sums[own], 0.0), "<f8"),
+                }
+            )
+        hot = cat("hot", "u1")[lead][starts] == 1
         for i in np.flatnonzero(hot):
             out.append({"kind": 3, "context": int(contexts[starts[i]]), "n": runs[i].tolist(), "s": float(sums[i])})
         out.append({"kind": 4, "part": rows[0]["part"], "n": _counted(totals[seen])})
         return _table(out, _schema(BACK))
 
     pairs = coded.groupBy("block").cogroup(back.groupBy("block"))
-    sent_pairs = pairs.applyInArrow(sent, "part int, block bigint, one binary, other binary, counts binary, seconds binary, firsts binary")
+    sent_pairs = pairs.applyInArrow(sent, PAIRS)
     return sent_pairs.groupBy("part").applyInArrow(totalled, BACK)
 
 
@@ -304,13 +335,13 @@ def _scored(coded: DataFrame, back: DataFrame, words: Words, parts: int, factors
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         block, rows = Block(left.to_pylist()[0]), right.to_pylist()
         numbers, counts = _numbered(block, rows, words.parts)
-        first, second, _, at, part = _ordered(block, numbers, counts, words, parts)
+        first, second, _, at, _, part = _ordered(block, numbers, counts, words, parts)
         totals, runs, sums = np.zeros(len(first), np.int64), np.zeros((len(first), TURING)), np.zeros(len(first))
         own = {r["part"]: r for r in rows if r["kind"] == 2}
         for p, places in _by_part(part, parts):
             run = np.cumsum(np.append(False, np.diff(first[places]) != 0))
             totals[places] = _unpack(own[p]["a"], "<u8")
-            runs[places] = _unpack(own[p]["b"], "<u4").reshape(-1, TURING)[run]
+            runs[places] = _unpack(own[p]["b"], "<u4").reshape(TURING, -1).T[run]
             sums[places] = _unpack(own[p]["c"], "<f8")[run]
         for number, (n, s) in hot.items():
             places = np.flatnonzero(numbers[first] == number)
@@ -342,10 +373,11 @@ def score(docs: DataFrame, learned: Callable[[int], bool]) -> DataFrame:
 
     ``learned`` says of a doc_id whether the model learns from it. ``base_score`` is the sum of the base-10 logarithms of (c + 1) / (N + V + 1).
     """
-    coded = blocks(docs, learned)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts, pair_parts = size // WORD_PART + 1, size // PAIR_PART + 1
+    coded = blocks(docs, learned, parts)
     back = cut(_words_back(coded, parts))
+    coded = coded.drop("vocabulary")
     sums = [F.sum(F.get("n", F.lit(i))) for i in range(TURING + 3)]
     total, distinct, *counts = (x or 0 for x in back.filter("kind = 1").agg(*sums).first())
     words = Words(total, distinct, counts, parts)

@@ -137,13 +137,19 @@ def entry_text() -> Column:
     return F.to_json(F.struct(F.col("table_name").alias("table"), partition))
 
 
-def full_payload(entries: DataFrame, config: DataFrame, *, by: Sequence[str] = (), max_objects: int | None = None) -> DataFrame:
+def full_payload(
+    entries: DataFrame, config: DataFrame, *, by: Sequence[str] = (), max_objects: int | None = None, asked: DataFrame | None = None
+) -> DataFrame:
     """The refresh request per batch, dataset and sequence (and quarter, with ``by``).
 
-    One request holds all entries. With ``max_objects`` it is split into pages of about that many.
+    ``asked`` has the batches, datasets and sequences to answer; one without entries gets a request with an empty
+    list. Without it only those with entries get one. One request holds all entries. With ``max_objects`` it is split into pages of about that many.
     """
     group = [*PLAN, *by]
     pages = paged_text(entries, group, key=entry_text(), text=entry_text(), page_rows=max_objects, sep=",")
+    if asked is not None:
+        pages = asked.select(*group).distinct().join(pages, group, "left")
+        pages = pages.withColumns({"page": F.coalesce("page", F.lit(0).cast("bigint")), "body": F.coalesce("body", F.lit(""))})
     parallel = F.concat(F.lit(FULL_PARALLEL), F.col("maxparallelism"), F.lit(FULL_PARALLEL_REST))
     # A missing setting takes the plain form, like the setting 'NA'.
     head = F.when(fold("maxparallelism") != NO_PARALLEL, parallel).otherwise(F.lit(FULL_PLAIN))

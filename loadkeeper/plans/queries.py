@@ -343,6 +343,11 @@ def batch_decision(t):
     )
 
 
+@query
+def batch_open(t):
+    return batch.open_batches(t.history, _requests(t), start=NOW).select("batch_id", "source_id", "batch_run_status")
+
+
 def _rollup(t, expected):
     return batch.batch_rollup(t.batches, t.log, t.items, expected)
 
@@ -392,9 +397,8 @@ def batch_close(t):
     return rows.select("batch_id", clock.milli_text(F.col("batch_end_date")).alias("batch_end_date"), "batch_run_status")
 
 
-@query
-def batch_finish(t):
-    c = t.control()
+def _closing(t):
+    """The control tables with open batches, and the requests to close them."""
     closing = t.batches.select(
         "batch_id", F.col("batch_start_date").alias("batch_end_date"), F.lit("done").alias("batch_log_message"),
         F.when(F.col("batch_id") % 3 == 0, "Failed").otherwise("successfully completed").alias("batch_run_status"),
@@ -403,7 +407,19 @@ def batch_finish(t):
         {"batch_end_date": F.lit(None).cast("timestamp_ntz"), "batch_log_message": F.lit(None).cast("string"),
          "batch_run_status": F.lit("Active")}
     )
-    rows = lifecycle.finish_batches(replace(c, batches=batches), closing, batch.expected_adhoc(F.lit(True)))
+    return replace(t.control(), batches=batches), closing
+
+
+@query
+def batch_close_rollup(t):
+    c, closing = _closing(t)
+    return lifecycle.close_batches(c, closing, now=NOW).select("batch_id", "batch_log_message", "batch_run_status")
+
+
+@query
+def batch_finish(t):
+    c, closing = _closing(t)
+    rows = lifecycle.finish_batches(c, closing, batch.expected_adhoc(F.lit(True)))
     return rows.withColumns({c: clock.milli_text(F.col(c)) for c in ("batch_start_date", "batch_end_date")})
 
 
@@ -699,6 +715,12 @@ def refresh_payload(t):
     return refresh.full_payload(entries, t.datasets)
 
 
+@query
+def refresh_payload_asked(t):
+    entries = refresh.plan_entries(t.datasets, t.log, DATASET_BATCHES, mode="partition", partition="2023-7")
+    return refresh.full_payload(entries, t.datasets, asked=refresh.for_batches(t.datasets, DATASET_BATCHES))
+
+
 @query
 def refresh_payload_paged(t):
     entries = refresh.plan_entries(t.datasets, t.log, DATASET_BATCHES)

@@ -242,6 +242,9 @@ def shown(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+# The wording of the next four texts, of stage subjects and of the two notices below.
+
+
 def greeting(status: str, tail: Column | str = "") -> Column:
     return shown(
         "Hi Team, <br/><br/> Please find ", F.col("topic"), f" execution {status} status for sourceid: ",
@@ -296,30 +299,37 @@ def notification(
     )
 
 
-def success_row() -> Column:
-    """The success row of a step: sizes for steps 1 and 3, rejects for step 2, counts for the rest."""
+def success_row(recon_rejects: bool = False) -> Column:
+    """The success row of a step: sizes for steps 1 and 3, rejects for step 2, counts for the rest.
+
+    With ``recon_rejects`` step 7 also shows its rejected rows; one without a rejected count is an empty row.
+    """
     zero = lambda c: F.coalesce(c, F.lit(0))
+    counted = ("table_name", "time_taken", zero("source_row_count"), zero("target_row_count"), "status")
     common = ("table_name", "time_taken", "size_gb", "source_row_count", "target_row_count", "status")
     rejects = ("rejected_row_count", "rejected_duplicate_count", "status")
     return (
         F.when(F.col("job_id").isin(1, 3), html_row(*common))
         .when(F.col("job_id") == 2, html_row("source_object_name", *common[1:-1], *rejects))
-        .otherwise(html_row("table_name", "time_taken", zero("source_row_count"), zero("target_row_count"), "status"))
+        .when(F.lit(recon_rejects) & (F.col("job_id") == 7), html_row(*counted, "rejected_row_count"))
+        .otherwise(html_row(*counted))
     )
 
 
-def success_head() -> Column:
-    return F.when(F.col("job_id").isin(1, 3), SIZE_HEAD).when(F.col("job_id") == 2, QUALITY_HEAD).otherwise(COUNT_HEAD)
+def success_head(recon_rejects: bool = False) -> Column:
+    head = F.when(F.col("job_id").isin(1, 3), SIZE_HEAD).when(F.col("job_id") == 2, QUALITY_HEAD)
+    return head.when(F.lit(recon_rejects) & (F.col("job_id") == 7), RECON_HEAD).otherwise(COUNT_HEAD)
 
 
-def success_pages(detail: DataFrame, page_rows: int | None = None) -> DataFrame:
-    row = success_row()
+def success_pages(detail: DataFrame, page_rows: int | None = None, *, recon_rejects: bool = False) -> DataFrame:
+    row = success_row(recon_rejects)
     key = F.concat_ws("|", F.col(ITEM).cast("string"), row)
     return paged_text(detail, RUN, key=key, text=row, page_rows=page_rows)
 
 
 def success_notification(
-    groups: DataFrame, pages: DataFrame, routing: DataFrame, *, server: str, now: dt.datetime, tail: Column | str = ""
+    groups: DataFrame, pages: DataFrame, routing: DataFrame, *, server: str, now: dt.datetime, tail: Column | str = "",
+    recon_rejects: bool = False,
 ) -> DataFrame:
     """Success reports; ``groups`` has the run keys, topic, table_count and total_time."""
     none = F.when(
@@ -328,7 +338,7 @@ def success_notification(
     ).otherwise(NO_SUCCESS + CLOSING)
     return notification(
         groups, pages, routing, keys=RUN, status=SUCCESS, subject=run_subject(SUCCESS, server, now),
-        head=shown(greeting(SUCCESS, tail), totals(), TABLE_START, success_head()),
+        head=shown(greeting(SUCCESS, tail), totals(), TABLE_START, success_head(recon_rejects)),
         none=none, is_none=F.coalesce("table_count", F.lit(0)) == 0,
     )
 

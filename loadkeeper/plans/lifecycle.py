@@ -61,7 +61,7 @@ def sequence_text(sequence: int | None) -> str:
 
 def success_report(
     c: Control, runs: DataFrame, routing: DataFrame, *, job_id: int, topic: str, server: str, now: dt.datetime,
-    layer: str | None = None, sequence: int | None = None, page_rows: int | None = None,
+    layer: str | None = None, sequence: int | None = None, page_rows: int | None = None, recon_rejects: bool = False,
 ) -> DataFrame:
     """What succeeded in one step. Steps from 4 on total only log rows of their chosen items."""
     items = chosen_items(c, job_id, layer, sequence)
@@ -70,8 +70,10 @@ def success_report(
     summary = report.run_summary(counted, by=report.RUN)
     groups = run_groups(runs, job_id, topic).join(summary, report.RUN, "left")
     detail = report.success_detail(log, items, c.objects)
-    pages = report.success_pages(detail, page_rows)
-    return report.success_notification(groups, pages, routing, server=server, now=now, tail=sequence_text(sequence))
+    pages = report.success_pages(detail, page_rows, recon_rejects=recon_rejects)
+    return report.success_notification(
+        groups, pages, routing, server=server, now=now, tail=sequence_text(sequence), recon_rejects=recon_rejects
+    )
 
 
 def failure_report(

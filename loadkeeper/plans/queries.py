@@ -594,6 +594,13 @@ def step_success_report(t):
     )
 
 
+@query
+def recon_success_report(t):
+    return lifecycle.success_report(
+        t.control(), t.batches, t.routing, job_id=7, topic="step_7", server="srv", now=_datetime(NOW), recon_rejects=True
+    )
+
+
 @query
 def step_failure_report(t):
     return lifecycle.failure_report(

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadkeeper.llm import bpe, katz, leaks, licenses, lines, pii, simhash, sketch, toxicity, urls
+from loadkeeper.llm.oracles import SQL
 from loadkeeper.llm.shared import table
 
+__all__ = ["QUERIES", "SQL"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -29,7 +29,7 @@ def test_every_kind_of_character(theirs):
 def test_every_token_is_reached():
     own = bpe.Encoder(*tokenizer())
     for rank, token in enumerate(bpe.read_ranks(tokenizer()[0])):
-        assert own.pieces.encode("".join(map(own.letters.__getitem__, token)), out_type=int) == [rank]
+        assert own.pieces.encode("".join(map(own.letters.get, token)), out_type=int) == [rank]
 
 
 def test_odd_rows(odd, theirs):
@@ -47,6 +47,15 @@ def test_nothing(nothing):
     assert nothing.select(bpe.encode(F.col("text"), path, pattern)).collect() == []
 
 
+def test_what_is_remembered_is_bounded(theirs, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    own = bpe.Encoder(*tokenizer())
+    for i in range(40):
+        text = f"some words {i} " + "long" * (20 + i) + f" and number {i * 977}"
+        assert own.ids(text) == theirs.encode_ordinary(text)
+        assert len(own) < 70 and max(map(len, own)) <= bpe.LONGEST
+
+
 def test_a_broken_rank_file(tmp_path):
     (tmp_path / "ranks").write_bytes(b"YQ== 0\nYQ== 1\n")
     with pytest.raises(ValueError):

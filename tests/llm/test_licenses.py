@@ -1,9 +1,10 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from loadkeeper.llm import licenses
-from loadkeeper.llm.queries import QUERIES
+from loadkeeper.llm.queries import QUERIES, SQL
 from tests.llm.conftest import FOLDER, ODD
 
 
@@ -73,3 +74,12 @@ def test_query(spark, sample):
         assert (r["sentences"], r["licences"], r["n_unknown"]) == (",".join(ids), ",".join(found), ids.count("?"))
     plan = df._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow", "Exchange"))
+
+
+def test_the_same_in_sql(spark, sample, rows):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    expected = con.sql(SQL["op10_licenses"])
+    df = QUERIES["op10_licenses"](spark, FOLDER)
+    assert df.columns == expected.columns and rows(df) == sorted(expected.fetchall(), key=repr)

@@ -127,6 +127,7 @@ def decode(ids: Column, path: str) -> Column:
     def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = read_ranks(path)
         for lists in batches:
-            yield pa.array((b"".join(map(tokens.__getitem__, x.values.to_pylist() if x.is_valid else ())) for x in lists), pa.binary())
+            numbers = (x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else () for x in lists)
+            yield pa.array((b"".join(map(tokens.__getitem__, n)) for n in numbers), pa.binary())
 
     return joined(ids)

@@ -7,9 +7,9 @@ the first line stays, by doc_id and place, and the others go.
 
 Candidates are lines that agree in all ROWS minima of one of BANDS bands: a pair at the threshold is
 missed with probability (1 - 0.8 ** 4) ** 10, half a percent; one above it far more rarely. Every
-candidate is verified on the exact sets. Within a band's bucket each line is first held against the
-bucket's smallest one; then only lines of different components are paired, so a large group of
-copies costs as many comparisons as it has lines. Equal lines are one from the start.
+candidate is verified on the exact sets, all lines of a band's bucket at once, as a product of
+matrices; only as many links leave a bucket as connect its lines. Large buckets are split into parts,
+each two of which are compared by a task of their own. Equal lines are one from the start.
 
 Rows without a doc_id are not compared and keep all lines, null and empty texts have no lines. Rows
 of the same doc_id count as one document. Other columns pass through, whatever their names.
@@ -31,8 +31,9 @@ from loadkeeper.llm.shared import cut
 SHINGLE, SIMILARITY = 8, 0.8
 BANDS, ROWS = 10, 4
 BLANKS = " \t\r\x0b\x0c"
-#: Bytes of text whose shingles are hashed at a time; bounds the memory of a worker.
-CHUNK = 1 << 18
+#: Bytes of text whose shingles are hashed at a time, so many of which are sent on together, lines of a bucket that are
+#: compared in one group, and shingles of a group that are counted at a time; they bound the memory of a worker.
+CHUNK, TOGETHER, PART, COLUMNS = 1 << 16, 8, 256, 4096
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -42,10 +43,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _factors() -> tuple[np.ndarray, np.ndarray]:
-    """An odd factor and a summand for each minimum, the same ones every time."""
-    seeds = _mixed(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
-    return (seeds[::2] | np.uint64(1)).astype(np.uint32), (seeds[1::2] >> np.uint64(32)).astype(np.uint32)
+def _orders() -> list[tuple[np.uint32, np.uint32]]:
+    """A mask and an odd factor for each minimum, the same ones every time: each pair orders the values in its own way."""
+    seeds = _mixed(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64)).astype(np.uint32)
+    return list(zip(seeds[::2], seeds[1::2] | np.uint32(1)))
 
 
 def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,39 +64,86 @@ def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def band_keys(lines: list[bytes]) -> np.ndarray:
     """The BANDS band values of each line, one row per line."""
-    factors, summands = _factors()
-    values, starts = shingles(lines)
+    padded = [line.ljust(SHINGLE, b"\0") for line in lines]
+    text = b"".join(padded)
+    values = np.ndarray((len(text) - SHINGLE + 1,), "<u8", text, strides=(1,)).copy()
     hashed = (_mixed(values) >> np.uint64(32)).astype(np.uint32)
-    least = np.stack([np.minimum.reduceat(hashed * a + b, starts) for a, b in zip(factors, summands)], axis=1)
+    # each line's shingles, then the few that reach into the next line, whose minima are left out
+    lengths = np.fromiter(map(len, padded), np.int64, len(padded))
+    starts = np.cumsum(lengths) - lengths
+    places = np.stack([starts, starts + lengths - (SHINGLE - 1)], axis=1).reshape(-1)[:-1]
+    ordered, least = np.empty_like(hashed), np.empty((BANDS * ROWS, len(lines)), np.uint32)
+    for i, (mask, factor) in enumerate(_orders()):
+        np.bitwise_xor(hashed, mask, out=ordered)
+        np.multiply(ordered, factor, out=ordered)
+        least[i] = np.minimum.reduceat(ordered, places)[::2]
     keys = np.tile(np.arange(BANDS, dtype=np.uint64), (len(lines), 1))
     for row in range(ROWS):
-        keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, row::ROWS].astype(np.uint64) + np.uint64(1))
+        keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[row::ROWS].T.astype(np.uint64) + np.uint64(1))
     return keys
 
 
 def jaccard(one: bytes, other: bytes) -> float:
     """The exact similarity of two lines' shingle sets."""
-    a, b = (np.unique(shingles([x])[0]) for x in (one, other))
-    shared = len(np.intersect1d(a, b, assume_unique=True))
+    padded = (x.ljust(SHINGLE, b"\0") for x in (one, other))
+    a, b = (set(np.ndarray((len(x) - SHINGLE + 1,), "<u8", x, strides=(1,)).tolist()) for x in padded)
+    shared = len(a & b)
     return shared / (len(a) + len(b) - shared)
 
 
+def similar(lines: list[bytes]) -> np.ndarray:
+    """For some lines, which pairs of them reach the threshold: an exact matrix, built from the shingles that several lines have."""
+    values, starts = shingles(lines)
+    own = np.repeat(np.arange(len(lines)), np.diff(np.append(starts, len(values))))
+    names, numbers = np.unique(values, return_inverse=True)
+    cells = np.unique(numbers * len(lines) + own)
+    names, own = cells // len(lines), cells % len(lines)
+    sizes = np.bincount(own, minlength=len(lines))
+    often = np.bincount(names)
+    order = np.cumsum(often > 1) - 1
+    kept = often[names] > 1
+    names, own = order[names[kept]], own[kept]
+    shared = np.zeros((len(lines), len(lines)), np.float32)
+    columns = int(order[-1]) + 1
+    for first in range(0, columns, COLUMNS):
+        part = slice(*np.searchsorted(names, (first, first + COLUMNS)))
+        held = np.zeros((len(lines), min(COLUMNS, columns - first)), np.float32)
+        held[own[part], names[part] - first] = 1
+        shared += held @ held.T
+    return shared >= SIMILARITY * (sizes[:, None] + sizes[None, :] - shared) - 1e-4
+
+
+def forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs that connect what a matrix of pairs connects: one less than the members of each component."""
+    open_, out = np.ones(len(near), bool), []
+    for start in range(len(near)):
+        queue = [start] if open_[start] else []
+        open_[start] = False
+        while queue:
+            one = queue.pop()
+            for other in np.flatnonzero(near[one] & open_):
+                open_[other] = False
+                queue.append(other)
+                out.append((one, other))
+    return out
+
+
 def _bands(docs: DataFrame) -> DataFrame:
     """(band, line): the band values of the distinct lines of each batch of documents; ``line`` is the line's hash."""
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
-        def rows(lines: dict[int, bytes]) -> pa.RecordBatch:
-            hashes = np.fromiter(lines, np.uint64, len(lines))
-            keys = band_keys(list(lines.values()))
+        def rows(done: list[tuple[list[int], np.ndarray]]) -> pa.RecordBatch:
+            hashes = np.concatenate([np.array(h, np.uint64) for h, _ in done])
+            keys = np.concatenate([k for _, k in done])
             return pa.RecordBatch.from_arrays(
                 [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(hashes, BANDS).view(np.int64))], names=["band", "line"]
             )
 
         for batch in batches:
             seen: set[int] = set()
-            part, size = {}, 0
+            done, part, size = [], {}, 0
             for text in batch["text"].cast(pa.binary()):
                 for line in (text.as_py() or b"").split(b"\n"):
                     line = line.strip(BLANKS.encode())
@@ -105,10 +153,15 @@ def _bands(docs: DataFrame) -> DataFrame:
                         part[key] = line.lower()
                         size += len(line)
                         if size >= CHUNK:
-                            yield rows(part)
+                            done.append((list(part), band_keys(list(part.values()))))
                             part, size = {}, 0
+                if len(done) >= TOGETHER:
+                    yield rows(done)
+                    done = []
             if part:
-                yield rows(part)
+                done.append((list(part), band_keys(list(part.values()))))
+            if done:
+                yield rows(done)
 
     return docs.select("text").mapInArrow(banded, "band bigint, line bigint")
 
@@ -120,47 +173,60 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "place", F.xxhash64("text").alias("line"), "text")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs(a, b) of lines whose exact similarity reaches the threshold; texts(line, text) has every line of them."""
+def _verified(members: DataFrame) -> DataFrame:
+    """(a, b): links between the lines of each group of members(band, low, high, line, text), enough to connect all that are similar."""
+
+    def linked(lines: dict[int, bytes]) -> list[tuple[int, int]]:
+        names, texts = list(lines), list(lines.values())
+        if len(names) == 2:
+            return [tuple(names)] if jaccard(*texts) >= SIMILARITY else []
+        return [(names[a], names[b]) for a, b in forest(similar(texts))]
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, lines = None, {}
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            keys = zip(*(batch[c].to_pylist() for c in ("band", "low", "high")))
+            for key, line, text in zip(keys, batch["line"].to_pylist(), batch["text"].cast(pa.binary())):
+                if key != group:
+                    out += linked(lines) if len(lines) > 1 else []
+                    group, lines = key, {}
+                lines[line] = text.as_py().lower()
+            yield made(out)
+        yield made(linked(lines) if len(lines) > 1 else [])
 
-    @F.arrow_udf("double")
-    def similarity(ones: pa.Array, others: pa.Array) -> pa.Array:
-        both = zip(ones.cast(pa.binary()), others.cast(pa.binary()))
-        return pa.array([jaccard(a.as_py().lower(), b.as_py().lower()) for a, b in both], pa.float64())
+    def made(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    one = texts.select(F.col("line").alias("a"), F.col("text").alias("one"))
-    other = texts.select(F.col("line").alias("b"), F.col("text").alias("other"))
-    joined = pairs.join(one, "a").join(other, "b")
-    return joined.filter(similarity("one", "other") >= SIMILARITY).select("a", "b")
+    keys = ("band", "low", "high")
+    return members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(links, "a bigint, b bigint")
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """(line, root): the lines of docs(doc_id, text) that have near duplicates, each with its component."""
-    buckets = _bands(docs.filter("doc_id IS NOT NULL")).repartition("band")
-    least = buckets.groupBy("band").agg(F.min("line").alias("least"), F.max("line").alias("most")).filter("least < most")
-    members = cut(buckets.join(least, "band").select("band", "line", "least").distinct())
+    """(node, root): the hashes of the lines of docs(doc_id, text) that have near duplicates, each with its component."""
+    # the filter keeps nothing out; with it both uses of the bands are one shuffle
+    buckets = _bands(docs.filter("doc_id IS NOT NULL")).filter("band IS NOT NULL").repartition("band").distinct()
+    sums = [F.bit_xor(c).alias(f"sum{i}") for i, c in enumerate((F.col("line"), F.xxhash64("line")))]
+    sized = buckets.groupBy("band").agg(F.count("*").alias("n"), *sums).filter("n > 1")
+    # buckets of the same lines are looked into once
+    chosen = sized.groupBy("n", "sum0", "sum1").agg(F.min("band").alias("band")).select("band", "n")
+    members = cut(buckets.join(chosen, "band"))
     involved = members.select("line").distinct()
     held = bloom.build(involved, "line")
     texts = occurrences(docs).select("line", "text").filter(bloom.may_hold(held, F.col("line")))
     texts = texts.join(involved, "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
-    texts = cut(texts)
-    stars = members.filter("line <> least").select(F.col("least").alias("a"), F.col("line").alias("b")).distinct()
-    links = cut(_verified(stars, texts))
-    roots = cut(components(links))
-    rooted = members.join(roots.withColumnRenamed("node", "line"), "line", "left").withColumn("root", F.coalesce("root", "line"))
-    mixed = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    rest = cut(rooted.join(mixed, "band").select("band", "line", "least", "root"))
-    one, other = rest.alias("one"), rest.alias("other")
-    apart = (F.col("one.band") == F.col("other.band")) & (F.col("one.line") < F.col("other.line")) & (F.col("one.root") != F.col("other.root"))
-    new = apart & (F.col("one.line") != F.col("one.least"))
-    pairs = one.join(other, new).select(F.col("one.line").alias("a"), F.col("other.line").alias("b")).distinct()
-    return components(links.unionByName(_verified(pairs, texts)))
+    # a large bucket becomes groups of two of its parts, so that any two lines meet in one
+    parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
+    members = members.withColumn("own", F.pmod(F.xxhash64("line"), parts).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    met = members.select("band", "line", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    return components(_verified(met.join(cut(texts), "line")).distinct())
 
 
 def drops(docs: DataFrame) -> DataFrame:
     """(doc_id, gone): for each document that loses lines, array<struct<place, line>> of them by place."""
     docs = docs.select("doc_id", "text")
-    found = occurrences(docs).select("doc_id", "place", "line")
+    found = cut(occurrences(docs).select("doc_id", "place", "line"))
     firsts = found.groupBy("line").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
     roots = classes(docs).withColumnRenamed("node", "line")
     known = firsts.join(roots, "line", "left").filter("n > 1 OR root IS NOT NULL")

@@ -10,9 +10,11 @@ longest wins. What they judge labels the tree, which judges the rest:
 - From the root on, the children of a node are counted. Where most of many children are seen hardly more than
   once, the segment is variable, and they become one wildcard.
 - Children whose share of blocked labels does not differ significantly from that of their siblings are
-  merged; both need LEAST labels, so a branch without labels never inherits those of a sibling.
-- A template is blocked if its share of blocked labels, smoothed towards the overall share, reaches
-  PURITY; otherwise it is allowed.
+  merged; both need LEAST labels.
+- A template's share of blocked labels is smoothed towards that of its parent branch, this towards its own, up to the
+  host, and on over the host's parent domains to the overall share; so a branch without labels has the share of what is
+  around it. On the way to a template a label counts once, on the lowest level that holds it. A template is
+  blocked if the share reaches PURITY and is above the overall one; otherwise it is allowed.
 
 The tree is built over distinct shapes with counts, so a host with a third of all pages shrinks before any join, and
 the nodes of a level are aggregated over all tasks. A template has DEPTH segments; what lies deeper is one
@@ -91,6 +93,41 @@ def _grown(tree: DataFrame, level: int) -> DataFrame:
     return cut(tree.filter(F.size("segments") <= level).unionByName(longer))
 
 
+def _domains(host: Column) -> Column:
+    """array<string>: the domains above a host, the widest first; none for a number address."""
+    names = F.split(host, "\\.", -1)
+    above = F.transform(F.sequence(F.size(names), F.lit(2), F.lit(-1)), lambda k: F.array_join(F.slice(names, k, F.size(names)), "."))
+    return F.when((F.size(names) > 1) & ~host.rlike("^[0-9.]+(:[0-9]+)?$"), above).otherwise(F.array().cast("array<string>"))
+
+
+def _smoothed(tree: DataFrame, prior: float) -> DataFrame:
+    """(host, template, purity) for every template of tree(host, template, labels, blocked)."""
+    sums = [F.sum(c).alias(c) for c in ("labels", "blocked")]
+    judged = cut(tree.groupBy("host", "template").agg(*sums))
+    hosts = judged.groupBy("host").agg(*sums)
+    above = hosts.select("host", "labels", "blocked", F.posexplode(_domains(F.col("host"))).alias("level", "domain"))
+    # a domain's labels are those of all hosts under it, and of the host of its own name
+    own = hosts.select("labels", "blocked", F.explode(F.concat(_domains(F.col("host")), F.array("host"))).alias("domain"))
+    domains = above.select("host", "level", "domain").join(cut(own.groupBy("domain").agg(*sums)), "domain")
+    step = F.struct("level", "labels", "blocked")
+    domains = domains.groupBy("host").agg(F.sort_array(F.collect_list(step)).alias("domains"))
+    names = F.split("template", "/", -1)
+    starts = F.transform(F.sequence(F.lit(1), F.size(names)), lambda k: F.array_join(F.slice(names, 1, k), "/"))
+    rows = judged.select("host", "template", "labels", "blocked", F.posexplode(starts).alias("level", "branch"))
+    branches = rows.groupBy("host", "branch").agg(*sums)
+    steps = rows.select("host", "template", "level", "branch").join(cut(branches), ["host", "branch"])
+    steps = steps.groupBy("host", "template").agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    way = F.concat(F.coalesce("domains", F.array().cast("array<struct<level:int,labels:bigint,blocked:bigint>>")), F.col("steps"))
+    less = lambda s, i, c: s[c] - F.coalesce(F.get(way, i + 1)[c], F.lit(0))
+    alone = F.transform(way, lambda s, i: F.struct(less(s, i, "labels").alias("labels"), less(s, i, "blocked").alias("blocked")))
+
+    def nearer(share: Column, s: Column) -> Column:
+        return F.when(s["labels"] > 0, (s["blocked"] + SMOOTHING * share) / (s["labels"] + SMOOTHING)).otherwise(share)
+
+    rows = steps.join(domains, "host", "left")
+    return rows.select("host", "template", F.aggregate(alone, F.lit(float(prior)), nearer).alias("purity"))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, segments, template, purity, blocks) for every shape of pages(host, path, verdict); a null verdict is no label."""
     labels, blocked = F.count("verdict"), F.count(F.when(F.col("verdict") == "block", 1))
@@ -100,9 +137,7 @@ def templates(pages: DataFrame) -> DataFrame:
     for level in range(overall["depth"] or 0):
         tree = _grown(tree, level)
     prior = overall["blocked"] / overall["labels"] if overall["labels"] else 0.0
-    judged = tree.groupBy("host", "template").agg(F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked"))
-    purity = (F.col("blocked") + F.lit(SMOOTHING * prior)) / (F.col("labels") + F.lit(SMOOTHING))
-    judged = cut(judged.select("host", "template", purity.alias("purity")))
+    judged = cut(_smoothed(tree, prior))
     return cut(tree.join(judged, ["host", "template"]).select("host", "segments", "template", "purity", ((F.col("purity") >= PURITY) & (F.col("purity") > prior)).alias("blocks")))
 
 

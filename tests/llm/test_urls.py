@@ -67,6 +67,21 @@ def test_pure_templates_are_rejected_and_similar_ones_merged(table):
     assert {t for t, _ in alike.values()} == {"/{same}/{n}"}
 
 
+def test_pages_without_a_rule_are_judged_by_what_is_around_them(table):
+    rules = (("bad.com/x/", "block"), ("a.spam.org/", "block"), ("good.com/", "allow"), ("10.0.0.1/x/", "block"))
+    labelled = [f"http://{host}/{i}" for host in ("bad.com/x", "a.spam.org/y", "good.com/x", "10.0.0.1/x") for i in range(40)]
+    labelled += [f"http://good.com/{k}/{i}" for k in "abc" for i in range(40)]
+    open_ = {"http://bad.com/y/1": "block", "http://b.spam.org/z": "block", "http://10.0.0.1/": "block", "http://10.1.0.1/x/1": "allow"}
+    open_ |= {"http://new.com/x/1": "allow", "http://new.net/x/1": "allow"}
+    df = table("page_id bigint, url string", *enumerate([*labelled, *open_]))
+    got = {r["page_id"]: r for r in urls.judge(df, rules).collect()}
+    for i, (url, verdict) in enumerate(open_.items(), len(labelled)):
+        assert (got[i]["rule"], got[i]["verdict"]) == (None, verdict), url
+    # each label once: the 160 under com that are not of bad.com, then the 40 of bad.com
+    com = (0 + 5 * 120 / 280) / (160 + 5)
+    assert abs(got[len(labelled)]["purity"] - (40 + 5 * com) / 45) < 1e-12
+
+
 def test_deep_paths_and_nothing(table):
     deep = "/a" * 50
     got = judged(table, [], [deep])

@@ -1,8 +1,10 @@
 """Licence scans: normalised sentences to sentence identifiers, identifier sequences to ordered rules.
 
-A text is cut into sentences at line ends and at full stops followed by white space. A sentence is
+A text is cut into lines, and these at full stops followed by white space. Such a piece is
 normalised to its letters and digits, words separated by one space, all in lower case; inner full stops of
-version numbers stay. A sentence known to a licence text gets its identifier; one that is not known but speaks
+version numbers stay. A piece is a sentence of its own, unless it and the next ones are together a known sentence that
+was wrapped over lines, of which the longest counts; full stops, blank lines and lines of signs alone end a sentence. Signs before a
+line, as in comments, do not matter, nor do the marks of a list. A sentence known to a licence text gets its identifier; one that is not known but speaks
 of licensing counts as unknown. The identifiers of a text, in order, form a sequence, on which the
 rules are tried in their order; what a rule has matched is taken out, so a general rule after a
 special one does not match it again, and a text can have several licences.
@@ -50,6 +52,7 @@ SENTENCES = {
     "licensed under the gnu lesser general public license version 3": "LGPL3Short",
     "licensed under the gnu affero general public license version 3": "AGPL3Short",
     "this source code form is subject to the terms of the mozilla public license v 2.0": "MPL2Head",
+    "this source code form is subject to the terms of the mozilla public license v": "MPL2Head",
     "licensed under the mozilla public license version 2.0": "MPL2Head",
     "licensed under cc by 4.0": "CCBY4",
     "licensed under cc by sa 4.0": "CCBYSA4",
@@ -99,7 +102,10 @@ RULES = (
 # Every known sentence has one of these in it, and so has a sentence that counts as unknown.
 CUES = ("licens", "copyright", "permission", "redistribut", "warrant", "free software", "unencumbered", "rights reserved")
 UNKNOWN = "?"
-ENDS, OTHERS = "\\n|\\.[^a-z0-9\\s]*\\s", "[^a-z0-9.]+"
+STOPS, OTHERS = "\\.[^a-z0-9\\s]*\\s|\n\n+", "[^a-z0-9.]+"
+MARK = "^([0-9]{1,2}|[a-z]|i{2,3}) (?=redistribution|neither |the )"
+# All known sentences, each between line ends: what a sentence starts with is found by one search.
+ALL = "\n" + "\n".join(SENTENCES) + "\n"
 
 
 def _speaks(text: Column) -> Column:
@@ -114,13 +120,37 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(sentence, OTHERS, " "), "(^|\\s)\\.+|\\.+($|\\s)", " "))
 
 
+def _named(lines: Column) -> Column:
+    """array<string>: the identifiers of the sentences that some normalised lines without a full stop hold."""
+    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
+    none = F.array().cast("array<string>")
+    opens = lambda s: F.contains(F.lit(ALL), F.concat(F.lit("\n"), s, F.lit(" ")))
+    state = lambda ids, last, begun: F.struct(ids.alias("ids"), last.alias("last"), begun.alias("begun"))
+
+    def step(now, line):
+        # begun: the lines since the possible start of a known sentence; last: what they are by now
+        named = F.try_element_at(known, line)
+        own = F.when(named.isNotNull(), F.array(named)).when(_speaks(line), F.array(F.lit(UNKNOWN))).otherwise(none)
+        longer, ids = F.concat(now["begun"], F.lit(" "), line), F.concat(now["ids"], now["last"])
+        whole, goes_on = F.try_element_at(known, longer), (now["begun"] != "") & (line != "")
+        return (
+            F.when(goes_on & whole.isNotNull(), state(now["ids"], F.array(whole), longer))
+            .when(goes_on & opens(longer), state(now["ids"], F.concat(now["last"], own), longer))
+            .when((line != "") & opens(line), state(ids, own, line))
+            .otherwise(state(F.concat(ids, own), none, F.lit("")))
+        )
+
+    return F.aggregate(lines, state(none, none, F.lit("")), step, lambda s: F.concat(s["ids"], s["last"]))
+
+
 def sentence_ids(text: Column) -> Column:
     """array<string>: the identifiers of a text's known sentences in order, ? for an unknown one."""
     lower = F.lower(F.coalesce(text, F.lit("")))
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    plain = lambda s: F.regexp_replace(normalised(s), " +", " ")
-    named = F.transform(F.filter(F.split(lower, ENDS), lambda s: _speaks(plain(s))), lambda s: F.coalesce(F.try_element_at(known, plain(s)), F.lit(UNKNOWN)))
-    return F.when(_speaks(lower) | F.contains(lower, F.lit("free")) | F.contains(lower, F.lit("rights")), named).otherwise(F.array().cast("array<string>"))
+    plain = lambda s: F.regexp_replace(F.regexp_replace(normalised(s), " +", " "), MARK, "")
+    may_speak = lambda s: _speaks(s) | F.contains(s, F.lit("free")) | F.contains(s, F.lit("rights"))
+    named = lambda s: _named(F.transform(F.split(s, "\n"), plain))
+    found = F.flatten(F.transform(F.filter(F.split(lower, STOPS), may_speak), named))
+    return F.when(may_speak(lower), found).otherwise(F.array().cast("array<string>"))
 
 
 def licences(ids: Column) -> Column:

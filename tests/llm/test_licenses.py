@@ -59,6 +59,79 @@ def test_sentences_are_normalised_and_speak_of_licences():
     assert named <= set(licenses.SENTENCES.values())
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+(2) Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+GPL = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details."""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License."""
+ISC = """// Permission to use, copy, modify, and/or distribute this software for any
+// purpose with or without fee is hereby granted, provided that the above
+// copyright notice and this permission notice appear in all copies."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this"""
+WRAPPED = {
+    MIT: ("MITGrant,MITNotice,MITWarranty", "MIT"),
+    BSD: ("BSDGrant,BSDSource,BSDBinary", "BSD-2-Clause"),
+    GPL: ("GPL3Later,GNUWarranty,GPLSee", "GPL-3.0-or-later"),
+    GPL.replace("sion 3", "sion 2").replace("\n", "\r\n"): ("GPL2Later,GNUWarranty,GPLSee", "GPL-2.0-or-later"),
+    APACHE: ("Apache2Head,Apache2Use,Apache2Copy,?,Apache2Warranty,Apache2See", "Apache-2.0"),
+    ISC: ("ISCGrant", "ISC"),
+    MPL: ("MPL2Head", "MPL-2.0"),
+    "Licensed under the\nLicensed under the\nMIT License": ("?,MITShort", "MIT"),
+    "Licensed under the\n\nMIT License": ("?,?", ""),
+    "licensed under the. MIT License\nAll rights\nreserved": ("?,?,AllRights", "all rights reserved"),
+}
+
+
+def test_wrapped_texts(table):
+    df = table("text string", *((t,) for t in WRAPPED)).withColumn("ids", licenses.sentence_ids(F.col("text")))
+    for r in df.withColumn("found", licenses.licences(F.col("ids"))).collect():
+        assert (",".join(r["ids"]), ",".join(r["found"])) == WRAPPED[r["text"]], r["text"]
+
+
+def test_every_sentence_wrapped_at_every_width(table):
+    import textwrap
+
+    rows = [(f"{mark} " + f"\n{mark} ".join(textwrap.wrap(s, n)), i) for s, i in licenses.SENTENCES.items() for mark in ("", " *") for n in (20, 30, 72, 1000)]
+    got = table("text string, id string", *rows).select("id", licenses.sentence_ids(F.col("text")).alias("ids")).collect()
+    assert all(r["ids"] == [r["id"]] for r in got)
+
+
 def test_odd_rows(odd, nothing):
     got = odd.select(licenses.sentence_ids(F.col("text")).alias("ids")).collect()
     assert len(got) == len(ODD) and all(r["ids"] == [] for r in got)

@@ -6,8 +6,9 @@ version numbers stay. A piece is a sentence of its own, unless it and the next o
 was wrapped over lines, of which the longest counts; full stops, blank lines and lines of signs alone end a sentence. Signs before a
 line, as in comments, do not matter, nor do the marks of a list. A sentence known to a licence text gets its identifier; one that is not known but speaks
 of licensing counts as unknown. The identifiers of a text, in order, form a sequence, on which the
-rules are tried in their order; what a rule has matched is taken out, so a general rule after a
-special one does not match it again, and a text can have several licences.
+rules are tried in their order. A rule matches its identifiers in their order, whatever stands between them; what it
+has matched is taken out, as often as it occurs, and what stands between stays. So a general rule after a
+special one does not match the same again, and a text can have several licences.
 
 Only built-in functions are used, row by row, without a shuffle. Null, empty and blank texts have no
 sentences, no licence and no unknown sentences. Repeated rows get equal results; all functions work on one column.
@@ -25,6 +26,7 @@ SENTENCES = {
     "you may not use this file except in compliance with the license": "Apache2Use",
     "you may obtain a copy of the license at": "Apache2Copy",
     "you may obtain a copy of the license at http www apache org licenses license 2.0": "Apache2Copy",
+    "you may obtain a copy of the license at http www.apache.org licenses license 2.0": "Apache2Copy",
     "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "Apache2Warranty",
     "see the license for the specific language governing permissions and limitations under the license": "Apache2See",
     "released under the mit license": "MITShort",
@@ -36,6 +38,10 @@ SENTENCES = {
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "BSDGrant",
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "BSDSource",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "BSDBinary",
+    **{
+        f"nor the names of {whose} may be used to endorse or promote products derived from this software without specific prior written permission": "BSDEndorse"
+        for whose in ("its contributors", "their contributors", "any contributors", "other contributors", "the contributors", "contributors")
+    },
     "licensed under the bsd license": "BSDShort",
     "released under the bsd license": "BSDShort",
     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISCGrant",
@@ -47,6 +53,30 @@ SENTENCES = {
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "GPL2Later",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "GPL3Later",
     "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version": "LGPL21Later",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "LGPL3Later",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3.0 of the license or at your option any later version": "LGPL3Later",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version": "LGPL21Later",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "LGPL3Later",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "AGPL3Later",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation version 3": "AGPL3Short",
+    "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "GNUWarranty",
+    "see the gnu lesser general public license for more details": "GPLSee",
+    "see the gnu affero general public license for more details": "GPLSee",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v1.0 which accompanies this distribution and is available at http www.eclipse.org legal epl v10.html": "EPL1Head",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v1.0": "EPL1Head",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at https www.eclipse.org legal epl 2.0": "EPL2Head",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at http www.eclipse.org legal epl 2.0": "EPL2Head",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0": "EPL2Head",
+    "licensed under the eclipse public license version 1.0": "EPL1Head",
+    "licensed under the eclipse public license version 2.0": "EPL2Head",
+    "this software is provided as is without any express or implied warranty": "ZlibWarranty",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "ZlibGrant",
+    "licensed under the zlib license": "ZlibShort",
+    "released under the zlib license": "ZlibShort",
+    "distributed under the boost software license version 1.0": "BSLShort",
+    "licensed under the boost software license version 1.0": "BSLShort",
+    "boost software license version 1.0": "BSLShort",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "BSLGrant",
     "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "GNUWarranty",
     "see the gnu general public license for more details": "GPLSee",
     "licensed under the gnu lesser general public license version 3": "LGPL3Short",
@@ -66,7 +96,7 @@ SENTENCES = {
     "this is free and unencumbered software released into the public domain": "Unlicense",
     "all rights reserved": "AllRights",
 }
-# The rules in their order; identifiers stand between commas, * is any identifiers between.
+# The rules in their order; the identifiers of a rule come in this order, with any others between.
 RULES = (
     ("Apache-2.0", "Apache2Head,Apache2Use,Apache2Copy,Apache2Warranty,Apache2See"),
     ("Apache-2.0", "Apache2Head,Apache2Use"),
@@ -74,8 +104,15 @@ RULES = (
     ("Apache-2.0", "ApacheShort2"),
     ("MIT", "MITGrant,MITNotice,MITWarranty"),
     ("MIT", "MITGrant,MITNotice"),
+    ("MIT", "MITGrant,MITWarranty"),
+    ("MIT", "MITGrant"),
     ("MIT", "MITShort"),
+    ("BSD-3-Clause", "BSDGrant,BSDSource,BSDBinary,BSDEndorse"),
+    ("BSD-3-Clause", "BSDGrant,BSDEndorse"),
     ("BSD-2-Clause", "BSDGrant,BSDSource,BSDBinary"),
+    ("BSD", "BSDGrant,BSDSource"),
+    ("BSD", "BSDGrant"),
+    ("BSD", "BSDSource"),
     ("BSD", "BSDShort"),
     ("ISC", "ISCGrant"),
     ("ISC", "ISCShort"),
@@ -83,12 +120,25 @@ RULES = (
     ("GPL-3.0-or-later", "GPL3Later"),
     ("GPL-2.0-or-later", "GPL2Later,GNUWarranty,GPLSee"),
     ("GPL-2.0-or-later", "GPL2Later"),
+    ("LGPL-3.0-or-later", "LGPL3Later,GNUWarranty,GPLSee"),
+    ("LGPL-3.0-or-later", "LGPL3Later"),
+    ("LGPL-2.1-or-later", "LGPL21Later,GNUWarranty,GPLSee"),
     ("LGPL-2.1-or-later", "LGPL21Later"),
+    ("AGPL-3.0-or-later", "AGPL3Later,GNUWarranty,GPLSee"),
+    ("AGPL-3.0-or-later", "AGPL3Later"),
     ("GPL-3.0", "GPL3Short"),
     ("GPL-2.0", "GPL2Short"),
     ("LGPL-3.0", "LGPL3Short"),
     ("AGPL-3.0", "AGPL3Short"),
     ("MPL-2.0", "MPL2Head"),
+    ("EPL-1.0", "EPL1Head"),
+    ("EPL-2.0", "EPL2Head"),
+    ("Zlib", "ZlibWarranty,ZlibGrant"),
+    ("Zlib", "ZlibGrant"),
+    ("Zlib", "ZlibShort"),
+    ("BSL-1.0", "BSLShort,BSLGrant"),
+    ("BSL-1.0", "BSLGrant"),
+    ("BSL-1.0", "BSLShort"),
     ("CC-BY-4.0", "CCBY4"),
     ("CC-BY-SA-4.0", "CCBYSA4"),
     ("CC-BY-NC-4.0", "CCBYNC4"),
@@ -104,6 +154,8 @@ CUES = ("licens", "copyright", "permission", "redistribut", "warrant", "free sof
 UNKNOWN = "?"
 STOPS, OTHERS = "\\.[^a-z0-9\\s]*\\s|\n\n+", "[^a-z0-9.]+"
 MARK = "^([0-9]{1,2}|[a-z]|i{2,3}) (?=redistribution|neither |the )"
+# The third clause of BSD names a holder, who may be anyone: of the sentence counts what comes after.
+HOLDER = "^.*\\bnor(?= the names? of\\b| the names?$| the$|$)"
 # All known sentences, each between line ends: what a sentence starts with is found by one search.
 ALL = "\n" + "\n".join(SENTENCES) + "\n"
 
@@ -121,16 +173,17 @@ def normalised(sentence: Column) -> Column:
 
 
 def _named(lines: Column) -> Column:
-    """array<string>: the identifiers of the sentences that some normalised lines without a full stop hold."""
+    """array<string>: the identifiers of the sentences that some lines (line, plain) without a full stop hold."""
     known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
     none = F.array().cast("array<string>")
     opens = lambda s: F.contains(F.lit(ALL), F.concat(F.lit("\n"), s, F.lit(" ")))
     state = lambda ids, last, begun: F.struct(ids.alias("ids"), last.alias("last"), begun.alias("begun"))
 
-    def step(now, line):
+    def step(now, given):
+        line = given["line"]
         # begun: the lines since the possible start of a known sentence; last: what they are by now
         named = F.try_element_at(known, line)
-        own = F.when(named.isNotNull(), F.array(named)).when(_speaks(line), F.array(F.lit(UNKNOWN))).otherwise(none)
+        own = F.when(named.isNotNull(), F.array(named)).when(_speaks(given["plain"]), F.array(F.lit(UNKNOWN))).otherwise(none)
         longer, ids = F.concat(now["begun"], F.lit(" "), line), F.concat(now["ids"], now["last"])
         whole, goes_on = F.try_element_at(known, longer), (now["begun"] != "") & (line != "")
         return (
@@ -148,20 +201,34 @@ def sentence_ids(text: Column) -> Column:
     lower = F.lower(F.coalesce(text, F.lit("")))
     plain = lambda s: F.regexp_replace(F.regexp_replace(normalised(s), " +", " "), MARK, "")
     may_speak = lambda s: _speaks(s) | F.contains(s, F.lit("free")) | F.contains(s, F.lit("rights"))
-    named = lambda s: _named(F.transform(F.split(s, "\n"), plain))
+    after = lambda s: F.when(F.contains(s, F.lit(" nor")), F.regexp_replace(s, HOLDER, "nor")).otherwise(s)
+    lines = lambda s: F.transform(F.transform(F.split(s, "\n"), plain), lambda p: F.struct(after(p).alias("line"), p.alias("plain")))
+    named = lambda s: _named(lines(s))
     found = F.flatten(F.transform(F.filter(F.split(lower, STOPS), may_speak), named))
     return F.when(may_speak(lower), found).otherwise(F.array().cast("array<string>"))
 
 
 def licences(ids: Column) -> Column:
     """array<string>: the licences of a sequence of identifiers, each once, in the order of the rules."""
-    rules = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(f",{sequence},").alias("sequence")) for name, sequence in RULES))
-    start = F.struct(F.concat(F.lit(","), F.array_join(ids, ","), F.lit(",")).alias("left"), F.array().cast("array<string>").alias("found"))
+    codes = {name: n for n, name in enumerate(sorted({i for _, sequence in RULES for i in sequence.split(",")}))}
+    coded = F.create_map(*(F.lit(x) for name, n in codes.items() for x in (name, n << 32)))
+    sequences = [F.array(*(F.lit(codes[i]).cast("bigint") for i in sequence.split(","))) for _, sequence in RULES]
+    rules = F.array(*(F.struct(F.lit(name).alias("name"), sequence.alias("sequence")) for (name, _), sequence in zip(RULES, sequences)))
+    # an identifier's code and its place in one number, so no two are equal
+    left = F.filter(F.transform(ids, lambda i, at: F.try_element_at(coded, i) + at), lambda x: x.isNotNull())
+    start = F.struct(left.alias("left"), F.array().cast("array<string>").alias("found"))
+
+    def matched(left, sequence):
+        """What a rule matches, one time after the other."""
+        met = lambda seen, x: F.call_function("shiftright", x, F.lit(32)) == F.get(sequence, seen["n"] % F.size(sequence))
+        add = lambda seen, x: F.when(met(seen, x), F.struct((seen["n"] + 1).alias("n"), F.array_append(seen["own"], x).alias("own"))).otherwise(seen)
+        none = F.struct(F.lit(0).alias("n"), F.array().cast("array<bigint>").alias("own"))
+        return F.aggregate(left, none, add, lambda seen: F.slice(seen["own"], 1, seen["n"] - seen["n"] % F.size(sequence)))
 
     def step(state, rule):
-        left = F.replace(F.replace(state["left"], rule["sequence"], F.lit(",")), rule["sequence"], F.lit(","))
-        matched = F.struct(left.alias("left"), F.array_append(state["found"], rule["name"]).alias("found"))
-        return F.when(F.contains(state["left"], rule["sequence"]), matched).otherwise(state)
+        without = lambda own: F.struct(F.array_except(state["left"], own).alias("left"), F.array_append(state["found"], rule["name"]).alias("found"))
+        after = lambda own: F.when(F.size(own) > 0, without(own)).otherwise(state)
+        return F.transform(F.array(matched(state["left"], rule["sequence"])), after)[0]
 
     found = F.aggregate(rules, start, step, lambda s: F.array_distinct(s["found"]))
-    return F.when(F.size(ids) == 0, F.array().cast("array<string>")).otherwise(found)
+    return F.when(F.exists(ids, lambda i: i != UNKNOWN), found).otherwise(F.array().cast("array<string>"))

@@ -132,6 +132,54 @@ def test_every_sentence_wrapped_at_every_width(table):
     assert all(r["ids"] == [r["id"]] for r in got)
 
 
+ENDORSE = """
+3. Neither the name of Foo, Inc. nor the
+   names of its contributors may be used to endorse or promote products
+   derived from this software without specific prior written permission."""
+EXTRA = "\n\nThis extra sentence of ours speaks of a license.\n\n"
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:"""
+FULL = {
+    MIT.replace("\n\n", EXTRA): "MIT",
+    MIT.split("\n\n")[0]: "MIT",
+    BSD + ENDORSE: "BSD-3-Clause",
+    BSD + EXTRA + ENDORSE.replace("Foo, Inc.", "the copyright holder"): "BSD-3-Clause",
+    BSD + ENDORSE.replace("Foo, Inc. nor the\n   names", "the University of\n   X nor the names"): "BSD-3-Clause",
+    BSD + ENDORSE + "\n\n" + BSD: "BSD-3-Clause,BSD-2-Clause",
+    BSD.replace("2. R", "2. Also r"): "BSD-2-Clause",
+    BSD.split("(2)")[0]: "BSD",
+    GPL.replace("GNU General", "GNU Lesser General"): "LGPL-3.0-or-later",
+    GPL.replace("GNU General", "GNU Affero General"): "AGPL-3.0-or-later",
+    GPL.replace(" *\n", " *\n * Some extra license words.\n *\n"): "GPL-3.0-or-later",
+    ZLIB: "Zlib",
+    "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)": "BSL-1.0",
+    "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/": "EPL-2.0",
+}
+
+
+def test_full_texts_with_other_sentences_between(table):
+    df = table("text string", *((t,) for t in FULL)).withColumn("found", licenses.licences(licenses.sentence_ids(F.col("text"))))
+    for r in df.collect():
+        assert ",".join(r["found"]) == FULL[r["text"]], r["text"]
+
+
+def test_rules_take_out_what_they_match(table):
+    bsd = ["BSDGrant", "BSDSource", "BSDBinary"]
+    rows = [
+        (["GPL2Later", "?", "GPL3Later", "x", "GNUWarranty", "GPLSee", "?"], ["GPL-3.0-or-later", "GPL-2.0-or-later"]),
+        ([*bsd, "?", *bsd, "BSDEndorse"], ["BSD-3-Clause", "BSD-2-Clause"]),
+        (["MITNotice", "?", "MITWarranty"], []),
+        (["AllRights"] * 3000 + ["ISCGrant"], ["ISC", "all rights reserved"]),
+        (None, []),
+    ]
+    got = table("ids array<string>, want array<string>", *rows).select("want", licenses.licences(F.col("ids")).alias("f")).collect()
+    assert all(r["f"] == r["want"] for r in got)
+
+
 def test_odd_rows(odd, nothing):
     got = odd.select(licenses.sentence_ids(F.col("text")).alias("ids")).collect()
     assert len(got) == len(ODD) and all(r["ids"] == [] for r in got)

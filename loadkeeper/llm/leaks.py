@@ -2,9 +2,9 @@
 
 Words are runs of letters and digits in lower case, so case and punctuation do not matter. Shingles are runs of five
 words; an item of one to four words is one shingle, and so are the windows it is compared with. An item's window
-has as many words as the item. A window can only be similar to an item if both share a
-shingle, and that shingle says where in the document the window begins; so windows are taken at the places where a
-document's shingle occurs in any item, as long as the item it occurs in.
+has as many words as the item. A window of w shingles that reaches SIMILARITY with an item of s shares at least
+SIMILARITY (w + s) / (1 + SIMILARITY) places with it. So of all windows of an item's length, wherever they begin, those are
+taken in which so many places hold shingles of items of this length, at whatever place of the item.
 
 Each window and item gets a 64-bit SimHash of its shingles. The fingerprint has 8 blocks of 8 bits; of two
 fingerprints that differ in at most 23 bits, one block differs in at most 2, so items are entered under
@@ -60,26 +60,44 @@ def _near_values(value: Column) -> Column:
     return F.array(*(value.bitwiseXOR(F.lit(m).cast("bigint")) for m in near))
 
 
-def _windows(docs: DataFrame, items: DataFrame, width: int, most: int) -> DataFrame:
-    """(doc_id, row, start, n, window): the places of docs(doc_id, text) where an item's shingle says an item of n words may lie."""
-    grams = items.select("n", F.posexplode("hashes").alias("at", "h")).distinct()
+def _starts(places: Column, total: Column, size: Column) -> Column:
+    """array<int>: where windows of ``size`` shingles begin that hold enough of some ascending places to reach SIMILARITY."""
+    window = F.least(size, total)
+    enough = F.ceil(SIMILARITY / (1 + SIMILARITY) * (window + size) - 1e-9).cast("int")
+
+    def begins(j: Column) -> Column:
+        # windows with the places from j - enough + 1 to j in them, less those of the places one before
+        low = F.greatest(F.lit(0), F.get(places, j) - window + 1, F.get(places, j - enough) + 1)
+        high = F.least(F.get(places, j - enough + 1), total - window)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    ends = F.when(F.size(places) >= enough, F.sequence(enough - 1, F.size(places) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.flatten(F.transform(ends, begins))
+
+
+def _windows(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """(doc_id, row, start, n, window): the windows of docs(doc_id, text) that hold enough shingles of items of n words."""
+    grams = items.select("n", F.explode("hashes").alias("h")).distinct()
     held = bloom.build(grams, "h")
-    hashed = docs.select("doc_id", F.xxhash64("text").alias("row"), shingle_hashes(folded_words(F.col("text")), width).alias("hashes"))
-    found = hashed.select("doc_id", "row", F.size("hashes").alias("total"), "hashes", F.posexplode("hashes").alias("place", "h"))
-    found = found.filter(bloom.may_hold(held, F.col("h")))
-    first = F.greatest(F.col("place") - (most - 1), F.lit(0))
-    around = F.slice("hashes", first + 1, F.lit(2 * most - 1))
-    found = found.select("doc_id", "row", "total", "place", "h", first.alias("first"), around.alias("around"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    hashes = shingle_hashes(folded_words(F.col("text")), width).alias("hashes")
+    hashed = rows.select("doc_id", "row", hashes)
+    found = hashed.select("doc_id", "row", F.size("hashes").alias("total"), F.posexplode("hashes").alias("place", "h"))
+    met = found.filter(bloom.may_hold(held, F.col("h"))).join(grams, "h")
+    places = met.groupBy("doc_id", "row", "n", "total").agg(F.sort_array(F.collect_set("place")).alias("places"))
     size = F.col("n") - (width - 1)
-    start = F.greatest(F.lit(0), F.least(F.col("place") - F.col("at"), F.col("total") - size))
-    met = found.join(grams, "h").select("doc_id", "row", "n", start.alias("start"), F.slice("around", start - F.col("first") + 1, size).alias("window"))
-    return met.groupBy("doc_id", "row", "n", "start").agg(F.first("window").alias("window"))
+    taken = places.select("doc_id", "row", "n", _starts(F.col("places"), F.col("total"), size).alias("starts"))
+    taken = cut(taken.filter(F.size("starts") > 0))
+    # few documents are left, whose words are cut again instead of being carried along
+    texts = rows.filter(bloom.may_hold(bloom.build(taken, "row"), F.col("row"))).groupBy("row").agg(F.first("text").alias("text"))
+    open_ = taken.join(texts.select("row", hashes), "row")
+    begun = open_.select("doc_id", "row", "n", "hashes", F.explode("starts").alias("start"))
+    return begun.select("doc_id", "row", "n", "start", F.slice("hashes", F.col("start") + 1, size).alias("window"))
 
 
 def _matches(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     """(doc_id, item_id, similarity, start, n_words, distance) for items(item_id, n, hashes, fp) of one shingle width."""
-    most = items.agg(F.max(F.size("hashes"))).first()[0] or 1
-    windows = cut(_windows(docs, items, width, most)).withColumn("fp", simhash(F.col("window")))
+    windows = cut(_windows(docs, items, width)).withColumn("fp", simhash(F.col("window")))
     blocks = lambda c: F.array(*(F.struct(F.lit(b).alias("block"), _block(c, b).alias("value")) for b in range(BLOCKS)))
     looked = windows.withColumn("at", F.explode(blocks(F.col("fp")))).select("*", "at.block", "at.value").drop("at")
     entered = items.select("item_id", F.col("n").alias("item_n"), F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"))).alias("at"))

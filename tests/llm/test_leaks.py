@@ -56,6 +56,33 @@ def test_planted_passages(table):
     assert set(got) == set(expected) and all(abs(got[k] - x) < 1e-9 for k, x in expected.items())
 
 
+def test_parts_in_another_order_in_the_middle_of_a_document(table):
+    dice = random.Random(7)
+    text = lambda n: [f"{dice.choice('bdfgk')}{dice.choice('aeiou')}{dice.randrange(60)}" for _ in range(n)]
+    items = [(i, " ".join(text(n))) for i, n in enumerate([16, 40, 48, 59, 59])]
+    docs = []
+    for i, item in items:
+        w, at = item.split(), len(item.split()) // 2
+        docs += [(i, " ".join(text(70) + w[at:] + w[:at] + text(70))), (10 + i, " ".join(text(30) + w[-15:] + w[:-15]))]
+        docs += [(20 + i, " ".join(w[:5] + text(40) + w[5:] + text(3))), (30 + i, " ".join(w[at:] + text(1) + w[:at] + text(9)))]
+    got = found(leaks.leaks(table("doc_id bigint, text string", *docs, *docs[:2]), table("item_id bigint, text string", *items)))
+    expected = by_hand(docs, items)
+    assert got.keys() == expected.keys() and {(3, 3), (4, 4), (13, 3)} <= got.keys()
+    assert all(abs(got[k] - x) < 1e-9 for k, x in expected.items())
+
+
+def test_starts_are_those_of_all_windows_with_enough_places(table):
+    dice, rows = random.Random(8), []
+    for k in range(200):
+        total, size = dice.randrange(1, 40), dice.randrange(1, 25)
+        rows.append((k, total, size, sorted(dice.sample(range(total), dice.randrange(total + 1)))))
+    df = table("k int, total int, size int, places array<int>", *rows)
+    for r in df.withColumn("starts", leaks._starts(F.col("places"), F.col("total"), F.col("size"))).collect():
+        window = min(r["size"], r["total"])
+        held = [sum(s <= p < s + window for p in r["places"]) for s in range(r["total"] - window + 1)]
+        assert r["starts"] == [s for s, x in enumerate(held) if x / (window + r["size"] - x) >= leaks.SIMILARITY]
+
+
 def test_fingerprints_within_the_radius_always_share_a_block(table):
     dice = random.Random(5)
     for _ in range(300):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkeeper.llm import bpe, katz, leaks, licenses, lines, pii, simhash, sketch, toxicity, urls
+from loadkeeper.llm import bpe, katz, leaks, licenses, lines, pii, resample, rules, simhash, sketch, spelling, toxicity, urls
 from loadkeeper.llm.oracles import SQL
 from loadkeeper.llm.shared import table
 
@@ -120,3 +120,24 @@ def op5_decontamination(spark, folder):
 @query
 def op8_language_model(spark, folder):
     return katz.score(table(spark, folder, "documents").select("doc_id", "text"), katz.learned_rows)
+
+
+@query
+def op11_spelling_variants(spark, folder):
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+@query
+def op12_quality_rules(spark, folder):
+    counts = table(spark, folder, "documents").select("doc_id", rules.measures(F.col("text")).alias("counts"))
+    judged = counts.select("doc_id", "counts.*", rules.failed(F.col("counts")).alias("failed"))
+    base = F.arrays_overlap("failed", F.array(*map(F.lit, rules.BASE)))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base.alias("base_failed"), (F.size("failed") == 0).alias("kept"), F.array_join("failed", ",").alias("failed"),
+    )
+
+
+@query
+def op13_resampling(spark, folder):
+    return resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

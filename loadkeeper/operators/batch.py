@@ -42,8 +42,8 @@ def batch_decision(batches: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
-def open_batches(batches: DataFrame, requests: DataFrame, *, start: Moment, trigger_id: str | None = None) -> DataFrame:
-    """The batch table after the requests: resumed batches Active, new ones added.
+def opening(batches: DataFrame, requests: DataFrame, *, start: Moment, trigger_id: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """What the requests lead to: (batch_id, batch_run_status) of resumed batches, and the new batches.
 
     Several requests for one source are one: a re-run if any of them is, with the largest status text asked for. New ids
     follow the largest old one in the order of the sources, so the same requests give the same ids.
@@ -62,6 +62,12 @@ def open_batches(batches: DataFrame, requests: DataFrame, *, start: Moment, trig
         F.lit(ACTIVE).alias("batch_run_status"),
         F.lit(trigger_id).cast("string").alias("trigger_id"),
     )
+    return resumed, added
+
+
+def open_batches(batches: DataFrame, requests: DataFrame, *, start: Moment, trigger_id: str | None = None) -> DataFrame:
+    """The batch table after the requests: resumed batches Active, new ones added."""
+    resumed, added = opening(batches, requests, start=start, trigger_id=trigger_id)
     return update_rows(batches, resumed, "batch_id").unionByName(added, allowMissingColumns=True).select(*batches.columns)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 from loadkeeper.functions import clock, text
 from loadkeeper.operators import batch, changes, gates, quality, recon, refresh, report, tables, window, worklist
-from loadkeeper.plans import lifecycle, worklists
+from loadkeeper.plans import journal, lifecycle, worklists
 from loadkeeper.plans.extract import filter_codes, raw_extract
+from loadkeeper.session import scratch_dir
 from loadkeeper.sources import store
 from loadkeeper.sources.control import Tables
 from loadkeeper.sources.schemas import SCHEMAS
@@ -429,7 +431,7 @@ def failure_rows(t):
         "event_id", F.concat(F.lit("step "), F.repeat("event_type", 12)).alias("activity"),
         F.lit(50010).alias("error_code"), F.repeat("props", 30).alias("error_message"),
     )
-    rows = batch.failure_rows(failures, _datetime(NOW), widths=(50, 100, 250))
+    rows = batch.failure_rows(failures, _datetime(NOW))
     return rows.withColumn("log_date", clock.milli_text(F.col("log_date")))
 
 
@@ -452,6 +454,135 @@ def audit_fix(t):
     return fixed.groupBy("batch_id", "job_id", "status").agg(F.count("*").alias("n_rows"))
 
 
+# ---------------------------------------------------------------- logs with several writers
+
+
+def _scratch(t):
+    """A folder of this query's own, in the one all executors share."""
+    return f"{scratch_dir(t.spark)}/journals/{uuid.uuid4().hex}"
+
+
+def _twice(commit):
+    """A driver that is lost after its commit does the same again."""
+    commit()
+    commit()
+
+
+def _appended(t, part="true"):
+    """The sample log as an audit ledger, in three commits, each of them repeated."""
+    log = journal.audit_log(t.spark, _scratch(t))
+    for k in range(3):
+        _twice(lambda k=k: log.append(t.log.filter(f"batch_id % 3 = {k} AND {part}"), f"load-{k}"))
+    return log
+
+
+@query
+def audit_append(t):
+    rows = _appended(t).read()
+    return rows.select(
+        "batch_id", F.col("job_object_id").cast("bigint").alias("job_object_id"), "status", "source_row_count", "target_row_count",
+        "target_size", "query", clock.milli_text(F.col("object_end_date")).alias("object_end_date"),
+    )
+
+
+@query
+def audit_identity(t):
+    return _appended(t).read().agg(
+        F.count("*").alias("n_rows"), F.countDistinct("log_id").alias("n_ids"),
+        F.min("log_id").cast("bigint").alias("first_id"), F.max("log_id").cast("bigint").alias("last_id"),
+    )
+
+
+@query
+def error_append(t):
+    log = journal.error_log(t.spark, _scratch(t))
+    _twice(lambda: log.append(t.errors.filter("batch_id <= 5"), "first"))
+    _twice(lambda: log.append(t.errors.filter("batch_id > 5"), "second"))
+    return log.read().select(
+        "batch_id", F.col("job_object_id").cast("bigint").alias("job_object_id"), "error_type", "error_subtype", "method_name",
+        clock.milli_text(F.col("log_date")).alias("log_date"),
+    )
+
+
+@query
+def step_append(t):
+    steps = t.log.select(
+        "batch_id", "job_id", "job_object_id", F.concat(F.lit("step_"), F.col("job_id").cast("string")).alias("step_name"),
+        F.col("object_start_date").alias("start_time"), F.col("object_end_date").alias("end_time"),
+        F.col("target_row_count").alias("row_count"),
+    )
+    log = journal.step_log(t.spark, _scratch(t))
+    _twice(lambda: log.append(steps, "timings"))
+    shown = log.read().groupBy("batch_id", "step_name")
+    return shown.agg(
+        F.count("*").alias("n_rows"), F.sum("row_count").alias("row_count"),
+        clock.milli_text(F.min("start_time")).alias("first_start"), clock.milli_text(F.max("end_time")).alias("last_end"),
+    )
+
+
+@query
+def batch_open_writers(t):
+    batches = journal.batch_table(t.spark, _scratch(t))
+    batches.append(t.history, "history")
+    _twice(lambda: journal.open_batches(batches, _requests(t), "first writer", start=NOW))
+    journal.open_batches(batches, _requests(t), "second writer", start=NOW)
+    return batches.read().select("batch_id", F.col("source_id").cast("bigint").alias("source_id"), "batch_run_status")
+
+
+def _corrections(t):
+    return t.errors.select(
+        "source_id", "job_id", "job_object_id", "batch_id", F.coalesce("error_subtype", F.lit("corrected")).alias("status"),
+        F.struct("log_date", "error_log_id").alias("at"),
+    )
+
+
+@query
+def audit_fix_settings(t):
+    log = _appended(t)
+    _twice(lambda: journal.correct_status(log, _corrections(t), "corrections", order="at"))
+    shown = log.read().groupBy("batch_id", F.col("job_id").cast("bigint").alias("job_id"), "status")
+    return shown.agg(F.count("*").alias("n_rows"))
+
+
+@query
+def watermark_settings(t):
+    items = journal.item_table(t.spark, _scratch(t))
+    items.append(t.items, "items")
+    journal.advance_watermarks(items, _loads(t).filter("job_object_id % 2 = 0"), "even loads")
+    items.compact(share=0.0)
+    journal.advance_watermarks(items, _loads(t).filter("job_object_id % 2 <> 0"), "odd loads")
+    return items.read().select(
+        F.col("job_object_id").cast("bigint").alias("job_object_id"), clock.milli_text(F.col("last_run_time")).alias("last_run_time")
+    )
+
+
+def _kept_gates(t):
+    """Gate counts kept up to date from the commits: two loads, corrections of what they wrote, one more load."""
+    root = _scratch(t)
+    log = journal.audit_log(t.spark, root)
+    kept = journal.Gates(log, root)
+    for k in range(2):
+        log.append(t.log.filter(f"batch_id % 3 = {k}"), f"load-{k}")
+        kept.refresh()
+    success = F.when(F.col("job_object_id") % 2 == 0, F.lit("SUCCESS ")).otherwise(F.col("status"))
+    journal.correct_status(log, _corrections(t).withColumn("status", success), "corrections", order="at")
+    log.append(t.log.filter("batch_id % 3 = 2"), "load-2")
+    kept.refresh()
+    return kept
+
+
+@query
+def gates_kept_edges(t):
+    latest = gates.latest_batches(t.batches, NOW)
+    return gates.edge_status(t.edges, _kept_gates(t).as_log(), latest)
+
+
+@query
+def gates_kept_items(t):
+    rows = _kept_gates(t).as_log()
+    return rows.select("batch_id", F.col("job_object_id").cast("bigint").alias("job_object_id"), F.col("status").isNotNull().alias("succeeded"))
+
+
 @query
 def row_change_audit(t):
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -33,3 +35,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         raise ValueError("spark.checkpoint.dir is not set; name a folder all executors can reach")
     return folder.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """``shared_dir``; a session on one machine without that setting gets a temporary folder, set for the whole session."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shared-"))
+    return shared_dir(spark)

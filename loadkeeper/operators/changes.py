@@ -51,10 +51,11 @@ def row_changes(
     )
 
 
-def classify_changes(changes: DataFrame, *, user: str, now: Moment) -> DataFrame:
+def classify_changes(changes: DataFrame, *, user: str, now: Moment, keep: Sequence[str] = ()) -> DataFrame:
     """``row_changes`` for a feed of (before, after) structs, batch or stream.
 
-    A feed also carries updates that change nothing, and those are kept, as a row trigger keeps them.
+    A feed also carries updates that change nothing, and those are kept, as a row trigger keeps them. ``keep`` names
+    further columns of the feed that come along.
     """
     activity = (
         F.when(F.col("before").isNull() & F.col("after").isNotNull(), "INSERT")
@@ -65,10 +66,21 @@ def classify_changes(changes: DataFrame, *, user: str, now: Moment) -> DataFrame
         changes.withColumn("Activity", activity)
         .filter(F.col("Activity").isNotNull())
         .withColumn("_row", F.coalesce("after", "before"))
-        .select("_row.*", "Activity", F.lit(user).alias("change_doneBy"), wall(now).alias("modify_date"))
+        .select("_row.*", "Activity", F.lit(user).alias("change_doneBy"), wall(now).alias("modify_date"), *keep)
     )
 
 
+def replay(audit: DataFrame, key: Sequence[str], order: Sequence[str] = ("modify_date",)) -> DataFrame:
+    """The table as its audit rows leave it: the last row of each key by ``order``, unless that deletes it.
+
+    Updates count as inserts, so it does not matter in what order the rows stand or were written.
+    """
+    columns = [c for c in audit.columns if c not in (*key, *order, "Activity", "change_doneBy", "modify_date")]
+    row = F.struct(*order, "Activity", F.struct(*columns).alias("row"))
+    last = audit.groupBy(*key).agg(F.max(row).alias("last")).filter("last.Activity <> 'DELETE'")
+    return last.select(*key, "last.row.*")
+
+
 def schema_rows(df: DataFrame, owner: str, table_name: str) -> DataFrame:
     """A table's columns as rows of the column catalogue."""
     rows = [

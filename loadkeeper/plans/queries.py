@@ -18,6 +18,7 @@ from loadkeeper.session import scratch_dir
 from loadkeeper.sources import store
 from loadkeeper.sources.control import Tables
 from loadkeeper.sources.schemas import SCHEMAS
+from loadkeeper.streaming import ingest, readiness, ready
 
 # Tuesday evening in the east; Saturday afternoon in the east (UTC readings).
 NOW = "2024-01-03 03:00:00"
@@ -583,6 +584,89 @@ def gates_kept_items(t):
     return rows.select("batch_id", F.col("job_object_id").cast("bigint").alias("job_object_id"), F.col("status").isNotNull().alias("succeeded"))
 
 
+# ---------------------------------------------------------------- streams
+
+
+def _arrive(parts, folder):
+    """Parts of a table as files that come one after the other, each of them seen by a stream that starts and ends."""
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        yield
+
+
+@query
+def ready_streamed(t):
+    folder = _scratch(t)
+    rows = t.log.select("batch_id", "job_object_id", "status")
+    # the first load comes twice, and every load is met by a stream that starts where the last one stopped
+    for _ in _arrive([rows.filter(f"batch_id % 3 = {k}") for k in (0, 0, 1, 2)], f"{folder}/log"):
+        log = readiness.log_stream(t.spark, f"{folder}/log", rows.schema)
+        ready.watch(log, t.edges, t.batches, f"{folder}/ready", checkpoint=f"{folder}/state").awaitTermination()
+    found = t.spark.read.schema(ready.READY).parquet(f"{folder}/ready")
+    return found.withColumn("day", F.col("day").cast("string"))
+
+
+def _feed(t):
+    """Orders as change rows: each comes in, finished ones are updated a day later, the rest of them go a day after that."""
+    row = lambda status: F.struct("o_orderkey", "o_custkey", status.alias("o_orderstatus"))
+    new, old = F.col("o_orderstatus"), F.lit("O")
+    no_row = F.when(F.lit(False), row(old))
+    day = lambda n: F.col("o_orderdate") + F.make_dt_interval(days=F.lit(n))
+    steps = F.array(
+        F.struct(F.lit(0).alias("step"), day(0).alias("at"), no_row.alias("before"), row(old).alias("after")),
+        F.struct(F.lit(1).alias("step"), day(1).alias("at"), row(old).alias("before"), row(new).alias("after")),
+        F.struct(F.lit(2).alias("step"), day(2).alias("at"), row(new).alias("before"), no_row.alias("after")),
+    )
+    kept = F.filter(steps, lambda s: (s["step"] == 0) | ((s["step"] == 1) & (new != "O")) | ((s["step"] == 2) & (new == "P")))
+    rows = t.orders.select("o_orderkey", F.inline(kept))
+    return rows.select(
+        "before", "after", F.col("at").cast("timestamp").alias("changed_at"),
+        F.format_string("%d-%d", "o_orderkey", "step").alias("change_id"),
+    )
+
+
+def _fed(t):
+    """The audit rows of a feed whose rows come up to twenty days late, and some of them twice."""
+    folder, feed = _scratch(t), _feed(t)
+    late = F.crc32(F.col("change_id").cast("binary")) % 3
+    # a row comes with its own quarter of the time, or with that of twenty days later, or with both
+    day = F.unix_date(F.to_date("changed_at"))
+    first, last = feed.agg(F.min(day), F.max(day) + 20).first()
+    quarter = lambda days: F.floor((day + days - first) * 4 / (last - first + 1))
+    parts = (
+        feed.filter((quarter(0) == n) & (late != 1)).unionByName(feed.filter((quarter(20) == n) & (late != 0))) for n in range(4)
+    )
+    for _ in _arrive(parts, f"{folder}/feed"):
+        stream = t.spark.readStream.schema(feed.schema).parquet(f"{folder}/feed")
+        ingest.audit_feed(
+            stream, f"{folder}/audit", user="feed", change_id="change_id", at="changed_at", delay="30 days", checkpoint=f"{folder}/state"
+        ).awaitTermination()
+    return t.spark.read.parquet(f"{folder}/audit")
+
+
+@query
+def change_feed(t):
+    return _fed(t).withColumn("modify_date", clock.milli_text(F.col("modify_date").cast("timestamp_ntz")))
+
+
+@query
+def change_feed_replay(t):
+    return changes.replay(_fed(t), ["o_orderkey"]).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@query
+def ingest_stream(t):
+    folder = _scratch(t)
+    rows = t.events.select("event_id", "user_id", "event_type", "ts")
+    for _ in _arrive([rows.filter(f"event_id % 3 = {k}") for k in range(3)], f"{folder}/in"):
+        ingest.ingest(
+            t.spark, f"{folder}/in", rows.schema, f"{folder}/out", checkpoint=f"{folder}/state", column="ts",
+            lower="2024-01-05 06:30:59", upper="2024-01-20 18:45:30.5",
+        ).awaitTermination()
+    found = t.spark.read.schema(rows.schema).parquet(f"{folder}/out")
+    return found.withColumn("ts", clock.milli_text(F.col("ts")))
+
+
 @query
 def row_change_audit(t):
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]

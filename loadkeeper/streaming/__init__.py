@@ -1 +1,10 @@
-"""Structured Streaming forms of readiness, change feeds and incremental ingest."""
+"""Structured Streaming forms of readiness, change feeds and incremental ingest.
+
+Code that runs in Python workers travels with the tasks, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,16 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+#: Keys the summary of frequent keys follows at a time; a key is found if it has more than about 3.5 of so many rows.
+FOLLOWED = 10_000
+#: With up to so many tasks every key goes to all of them: copying the few group rows costs less than measuring.
+FEW_TASKS = 64
+#: A key is split so that none of its parts has more than this share of what each task would have if all had the same.
+SHARE = 0.5
 
 
-def not_in(left: DataFrame, right: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+def not_in(left: DataFrame, right: DataFrame, key: str, by: Sequence[str] = (), spread: Sequence[str] = ()) -> DataFrame:
     """``left`` rows whose ``key`` is NOT IN the right-hand keys of the same ``by`` group.
 
     A NULL on the right empties its whole group, and a NULL on the left survives only where the
     group has no right-hand rows at all. The engine's own NOT IN broadcasts the right side whatever
     its size; here the keys go through an ordinary anti join, and the NULL rule needs one flag per
-    group: a scalar without groups, else a join salted by the key so that a hot group is spread.
+    group: a scalar without groups, else a join salted by the key so that a hot group is spread; ``spread``
+    names further columns to salt by, where many rows may have no key.
     """
     by = list(by)
     keys = right.select(*by, key).distinct()
@@ -28,21 +34,47 @@ def not_in(left: DataFrame, right: DataFrame, key: str, by: Sequence[str] = ())
         return kept.filter(flag.isNull() | (~flag & F.col(key).isNotNull()))
     groups = keys.groupBy(*by).agg(has_null.alias("_has_null"))
     flag = F.col("_has_null")
+    # There are few groups, and the rows are dear to compute: so every group is spread over all tasks, without measuring.
     return (
-        spread_join(kept, groups, by, salt=F.hash(key))
+        spread_join(kept, groups, by, salt=F.hash(key, *spread), parts=F.lit(tasks_of(left)))
         .filter(flag.isNull() | (~flag & F.col(key).isNotNull()))
         .select(*left.columns)
     )
 
 
-def spread_join(rows: DataFrame, groups: DataFrame, by: Sequence[str], *, salt: Column, how: str = "left") -> DataFrame:
+def tasks_of(rows: DataFrame) -> int:
+    """How many tasks a shuffle of these rows may have side by side."""
+    spark = rows.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def parts_of(rows: DataFrame, by: Sequence[str]) -> Column:
+    """Into how many parts the rows of each key are to be split: 1 but for the keys with a large share of all rows.
+
+    One pass over the keys keeps a mergeable summary of the frequent ones, of fixed size, and their counts; a key gets
+    as many parts as its count holds fair shares of a task, so the number follows the size of the cluster.
+    """
+    tasks = tasks_of(rows)
+    if tasks <= FEW_TASKS:
+        return F.lit(tasks)
+    frequent = F.call_function("approx_top_k", F.xxhash64(*by), F.lit(2 * tasks), F.lit(max(FOLLOWED, 8 * tasks)))
+    fair = F.greatest(F.lit(1.0), F.count("*") * F.lit(SHARE / tasks))
+    split = F.transform(frequent, lambda x: F.struct(x["item"], F.ceil(x["count"] / fair).cast("int").alias("parts")))
+    parts = rows.agg(F.map_from_entries(F.filter(split, lambda x: x["parts"] > 1))).scalar()
+    return F.coalesce(F.element_at(parts, F.xxhash64(*by)), F.lit(1))
+
+
+def spread_join(
+    rows: DataFrame, groups: DataFrame, by: Sequence[str], *, salt: Column, how: str = "left", parts: Column | None = None
+) -> DataFrame:
     """Rows joined with the rows of ``groups`` on ``by``, a key of few values.
 
-    Every group row is repeated once per salt, so the rows of one hot group go to several tasks.
+    The rows of a frequent key go to several tasks, by ``salt``, and its group rows to each of them. Which keys are frequent is
+    measured, unless ``parts`` says into how many parts any key goes.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    copies = groups.withColumn("_salt", salts)
-    return rows.withColumn("_salt", F.pmod(salt, F.lit(SALTS))).join(copies, [*by, "_salt"], how).drop("_salt")
+    parts = parts_of(rows, by) if parts is None else parts
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return rows.withColumn("_salt", F.pmod(salt, parts)).join(copies, [*by, "_salt"], how).drop("_salt")
 
 
 def page_of(key: Column, pages: Column) -> Column:

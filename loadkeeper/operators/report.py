@@ -72,21 +72,21 @@ def failure_detail(items: DataFrame, objects: DataFrame, log: DataFrame, errors:
     """Enabled items of every run that have no success row, with their class and first error.
 
     'Failed' with an error row or a log row of the same source and step, else 'Skipped'. The log is
-    scanned once and reduced to one row per batch and item, with the few sources and steps it was logged under.
+    scanned once and reduced to one row per batch, item, source and step before it is joined.
     """
     chosen = items.filter(F.col("enabled") == 1).select(
         ITEM, "source_id", "job_id", "object_id", "target_object_name", "execution_sequence"
     )
-    due = for_runs(chosen, runs).join(objects.select("object_id", "table_name"), "object_id")
     key = [*RUN, ITEM]
-    place = F.struct(F.col("source_id").cast("bigint").alias("source_id"), F.col("job_id").cast("bigint").alias("job_id"))
-    logged = log.groupBy("batch_id", ITEM).agg(
-        F.max(F.coalesce(same("status", SUCCESS), F.lit(False))).alias("_ok"), F.collect_set(place).alias("_places")
-    )
-    known = F.col("_error").isNotNull() | F.coalesce(F.array_contains("_places", place), F.lit(False))
+    # Keys that cannot be NULL need no filter of their own, so both uses plan the same reduction and share its shuffle.
+    place = [F.coalesce(F.col(c).cast("bigint"), F.lit(-1).cast("bigint")).alias(c) for c in ("batch_id", ITEM, "source_id", "job_id")]
+    places = log.groupBy(*place).agg(F.max(F.coalesce(same("status", SUCCESS), F.lit(False))).alias("_ok"))
+    done = places.filter("_ok").select("batch_id", ITEM).distinct()
+    logged = places.select("batch_id", ITEM, "source_id", "job_id", F.col("_ok").isNotNull().alias("_logged"))
+    due = for_runs(chosen, runs).join(done, ["batch_id", ITEM], "left_anti").join(objects.select("object_id", "table_name"), "object_id")
+    known = F.col("_error").isNotNull() | F.coalesce("_logged", F.lit(False))
     return (
-        due.join(logged, ["batch_id", ITEM], "left")
-        .filter(~F.coalesce("_ok", F.lit(False)))
+        due.join(logged, key, "left")
         .join(first_errors(errors, key), key, "left")
         .select(
             *key,

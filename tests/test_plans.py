@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from loadkeeper.operators import gates, quality, recon, report
+from loadkeeper.operators import gates, joins, quality, recon, report
 from loadkeeper.operators.joins import not_in, paged_text
 
 
@@ -130,4 +130,44 @@ def test_failures_read_the_log_once(no_broadcast, hot_log, many_items):
     done = {(r["batch_id"], r["job_object_id"]) for r in log.filter("status = 'success'").distinct().collect()}
     seen = {(r["batch_id"], r["job_object_id"]) for r in log.distinct().collect()}
     want = {(b, i, "Failed" if (b, i) in seen else "Skipped") for b in (1, 2, 3) for i in range(211) if (b, i) not in done}
+    assert len(re.findall(r"Range \(0, 30000", final_plan(detail))) == 2  # the log once, beside the runs of this test
     assert {(r["batch_id"], r["job_object_id"], r["is_failed"]) for r in detail.collect()} == want
+
+
+def spread_of(df):
+    """Rows by (key, number of its part), as a join over them is shuffled."""
+    return Counter((r["g"], r["_salt"]) for r in df.collect())
+
+
+def test_frequent_keys_are_split_by_their_measured_share(spark, monkeypatch):
+    monkeypatch.setattr(joins, "FEW_TASKS", 0)
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 10 == 1, -2).otherwise(F.col("id")).alias("g"), "id")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for tasks in (8, 200, 1000):  # the same share asks for more parts on a larger cluster
+            spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+            parts = joins.parts_of(rows, ["g"])
+            counts = {r["g"]: r["n"] for r in rows.select("g", parts.alias("n")).distinct().collect()}
+            fair = joins.SHARE * 30_000 / tasks
+            assert counts[-1] == -(-10_000 // fair) and counts[-2] == -(-2_000 // fair) and set(counts.values()) == {1, counts[-1], counts[-2]}
+            groups = rows.select("g").distinct().withColumn("v", F.col("g") * 2)
+            joined = joins.spread_join(rows, groups, ["g"], salt=F.hash("id"))
+            assert joined.count() == 30_000 and joined.filter("v <> g * 2").isEmpty()
+            sizes = spread_of(rows.withColumn("_salt", F.pmod(F.hash("id"), parts)))
+            assert max(sizes.values()) < 1.6 * fair + 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_frequent_keys_of_no_rows_and_null_keys(spark, table, monkeypatch):
+    monkeypatch.setattr(joins, "FEW_TASKS", 0)
+    rows = table("g int, id int", (None, 1), (None, 2), (1, 3))
+    for some in (rows, rows.limit(0)):
+        joined = joins.spread_join(some, table("g int, v int", (1, 5), (None, 6)), ["g"], salt=F.hash("id"))
+        assert sorted((r["id"], r["v"]) for r in joined.collect()) == ([(1, None), (2, None), (3, 5)] if some is rows else [])
+
+
+def test_not_in_spreads_rows_without_a_key(no_broadcast, table):
+    left = table("g int, k int, b int", *[(1, None, b) for b in range(9)], (2, None, 1), (1, 5, 1), (1, 6, 1))
+    right = table("g int, k int", (1, 5))
+    assert sorted(map(tuple, not_in(left, right, "k", ["g"], spread=["b"]).collect()), key=repr) == [(1, 6, 1), (2, None, 1)]

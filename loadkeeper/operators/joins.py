@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadkeeper.session import cut
+
 #: Keys the summary of frequent keys follows at a time; a key is found if it has more than about 3.5 of so many rows.
 FOLLOWED = 10_000
 #: With up to so many tasks every key goes to all of them: copying the few group rows costs less than measuring.
@@ -82,15 +87,61 @@ def page_of(key: Column, pages: Column) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint"), pages)
 
 
+@dataclass(frozen=True)
+class Pieces:
+    """Texts in pieces of exactly ``rows`` rows, in order, the last one of a group shorter."""
+
+    rows: int = 1000
+
+
+def placed(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows with ``_place`` 0, 1, 2 ... in their group by ``order``, and ``_size`` of the group.
+
+    All rows are sorted together over many partitions, so a group with most of them spreads evenly, and are written. Where a
+    group begins in each partition, and what the partitions before hold, is all that is needed to number them.
+    """
+    group = list(group)
+    place = F.monotonically_increasing_id()
+    part, at = F.shiftright(place, 33).cast("int"), place.bitwiseAND((1 << 33) - 1)
+    laid = cut(rows.orderBy(*group, *order).select("*", part.alias("_part"), at.alias("_at")))
+    held = laid.groupBy("_part", *group).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    sizes = {r["_part"]: r["n"] for r in laid.groupBy("_part").agg(F.count("*").alias("n")).collect()}
+    before = dict(zip(sorted(sizes), itertools.accumulate((sizes[p] for p in sorted(sizes)), initial=0)))
+    start = F.element_at(F.create_map(*[F.lit(x) for p in before.items() for x in p]), F.col("_part")) if before else F.lit(0)
+    held = held.withColumn("_start", start.cast("bigint"))
+    own = [F.col(c).alias(f"_g{i}") for i, c in enumerate(group)]
+    same_group = functools.reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)])
+    whole = held.groupBy(*own).agg(F.min(F.col("_start") + F.col("_first")).alias("_begin"), F.sum("_rows").alias("_size"))
+    held = held.join(whole, same_group).select(F.col("_part").alias("_p"), *own, "_start", "_begin", "_size")
+    number = F.col("_start") + F.col("_at") - F.col("_begin")
+    return laid.join(held, (F.col("_part") == F.col("_p")) & same_group).select(*rows.columns, number.alias("_place"), "_size")
+
+
+def pieced_text(rows: DataFrame, group: Sequence[str], *, key: Column, text: Column, pieces: Pieces, sep: str = "") -> DataFrame:
+    """The rows of every group as text in pieces: (group, page, body, n_rows, n_pages), the same shape at every size.
+
+    Bodies joined in the order of ``page``, with ``sep``, are the whole text in key order.
+    """
+    group = list(group)
+    rows = rows.select(*group, key.alias("_key"), text.alias("_text"))
+    page, lines = F.floor(F.col("_place") / F.lit(pieces.rows)), F.sort_array(F.collect_list(F.struct("_place", "_text")))
+    numbered = placed(rows, group, ["_key", "_text"]).withColumn("page", page)
+    body = F.array_join(F.transform(lines, lambda r: r["_text"]), sep)
+    out = numbered.groupBy(*group, "page").agg(body.alias("body"), F.count("*").alias("n_rows"), F.max("_size").alias("_size"))
+    return out.select(*group, "page", "body", "n_rows", F.ceil(F.col("_size") / F.lit(pieces.rows)).alias("n_pages"))
+
+
 def paged_text(
-    rows: DataFrame, group: Sequence[str], *, key: Column, text: Column, page_rows: int | None = None, sep: str = ""
+    rows: DataFrame, group: Sequence[str], *, key: Column, text: Column, page_rows: int | Pieces | None = None, sep: str = ""
 ) -> DataFrame:
     """The rows of every group joined to one text, in key order; ``page`` is 0.
 
-    A group's text is one value whatever its size. With ``page_rows`` a group comes in pages of about that many rows
+    A group's text is one value whatever its size; with ``Pieces`` it comes in ordered pieces. With ``page_rows`` a group comes in pages of about that many rows
     instead: a row's page follows from its key's hash and, for equal rows, its number among them, so
     equal rows spread like others. Equal rows are counted before anything is shuffled by group.
     """
+    if isinstance(page_rows, Pieces):
+        return pieced_text(rows, group, key=key, text=text, pieces=page_rows, sep=sep)
     group = list(group)
     rows = rows.select(*group, key.alias("_key"), text.alias("_text"))
     equal = rows.groupBy(*group, "_key", "_text").agg(F.count("*").alias("_n"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loadkeeper.functions.clock import duration_text, hours_minutes, seconds_between
 from loadkeeper.functions.text import fold, same
 from loadkeeper.operators.gates import ITEM, SUCCESS
-from loadkeeper.operators.joins import paged_text, spread_join
+from loadkeeper.operators.joins import Pieces, paged_text, spread_join, tasks_of
 from loadkeeper.operators.worklist import for_runs
 
 RUN = ["batch_id", "source_id", "job_id"]
@@ -281,20 +281,25 @@ def notification(
 
     ``groups`` has the keys, the topic and what the texts name. ``pages`` is ``paged_text`` over the
     detail rows of each group. Recipients come from ``routing`` by topic and status. Groups for
-    which ``is_none`` holds get the short body; a group without rows otherwise has no body.
+    which ``is_none`` holds get the short body; a group without rows otherwise has no body. Of a text in
+    pieces the first has the head and the last the tail.
     """
     recipients = routing.filter(same("status", status)).select(fold("topic").alias("_topic"), "tolist")
     reports = groups.join(pages, list(keys), "left").withColumn("_topic", fold("topic"))
+    edges, salt = [head, F.col("body"), tail], list(keys)
+    if "n_pages" in pages.columns:
+        first, last = F.coalesce("page", F.lit(0)) == 0, F.coalesce(F.col("page") + 1 == F.col("n_pages"), F.lit(True))
+        edges, salt = [F.when(first, head).otherwise(""), F.col("body"), F.when(last, F.lit(tail)).otherwise("")], [*keys, "page"]
     # Often all groups share one topic, so the reports are spread by their key.
     return (
-        spread_join(reports, recipients, ["_topic"], salt=F.hash(*keys), how="inner")
+        spread_join(reports, recipients, ["_topic"], salt=F.hash(*salt), how="inner", parts=F.lit(tasks_of(reports)))
         .select(
             *keys,
             F.coalesce("page", F.lit(0)).cast("bigint").alias("page"),
             "topic",
             "tolist",
             subject.alias("subject"),
-            F.when(is_none, none).otherwise(shown(head, F.col("body"), tail)).alias("body"),
+            F.when(is_none, none).otherwise(shown(*edges)).alias("body"),
         )
     )
 
@@ -321,7 +326,7 @@ def success_head(recon_rejects: bool = False) -> Column:
     return head.when(F.lit(recon_rejects) & (F.col("job_id") == 7), RECON_HEAD).otherwise(COUNT_HEAD)
 
 
-def success_pages(detail: DataFrame, page_rows: int | None = None, *, recon_rejects: bool = False) -> DataFrame:
+def success_pages(detail: DataFrame, page_rows: int | Pieces | None = None, *, recon_rejects: bool = False) -> DataFrame:
     row = success_row(recon_rejects)
     key = F.concat_ws("|", F.col(ITEM).cast("string"), row)
     return paged_text(detail, RUN, key=key, text=row, page_rows=page_rows)
@@ -343,7 +348,7 @@ def success_notification(
     )
 
 
-def failure_pages(detail: DataFrame, page_rows: int | None = None) -> DataFrame:
+def failure_pages(detail: DataFrame, page_rows: int | Pieces | None = None) -> DataFrame:
     row = html_row("table_name", "is_failed", "error_log_id")
     return paged_text(detail, RUN, key=F.col(ITEM).cast("string"), text=row, page_rows=page_rows)
 
@@ -359,7 +364,7 @@ def failure_notification(
     )
 
 
-def dataset_pages(detail: DataFrame, *, failed: bool, page_rows: int | None = None) -> DataFrame:
+def dataset_pages(detail: DataFrame, *, failed: bool, page_rows: int | Pieces | None = None) -> DataFrame:
     last = ("is_failed", "error_log_id") if failed else ("time_taken",)
     row = html_row("id", "domain_name", "table_name", "partition_name", *last)
     return paged_text(detail, ["batch_id"], key=F.concat_ws("|", "id", row), text=row, page_rows=page_rows)
@@ -382,7 +387,7 @@ def dataset_notification(
     )
 
 
-def stage_pages(mismatched: DataFrame, page_rows: int | None = None) -> DataFrame:
+def stage_pages(mismatched: DataFrame, page_rows: int | Pieces | None = None) -> DataFrame:
     row = html_row(
         "table_name", "raw_source_rows", "raw_target_rows", "dq_source_rows", "dq_target_rows", "dq_rejected_rows",
         "refined_source_rows", "refined_target_rows",
@@ -407,7 +412,7 @@ def stage_notification(
     )
 
 
-def layer_pages(compared: DataFrame, entity: str, measure: str, page_rows: int | None = None) -> DataFrame:
+def layer_pages(compared: DataFrame, entity: str, measure: str, page_rows: int | Pieces | None = None) -> DataFrame:
     """Table rows of one measure of ``layer_reconcile``."""
     row = html_row(entity, *[f"{measure}_{c}" for c in ("rpt", "certified", "refined", "match")])
     rows = compared.withColumn("measure", F.lit(measure))
@@ -491,7 +496,7 @@ def arrival_verdict(files: DataFrame) -> DataFrame:
     return counts.withColumn("verdict", verdict).withColumn("subject", subjects[F.col("verdict")])
 
 
-def arrival_message(files: DataFrame, page_rows: int | None = None) -> DataFrame:
+def arrival_message(files: DataFrame, page_rows: int | Pieces | None = None) -> DataFrame:
     """The verdict's message, with the unexpected names."""
     verdict = arrival_verdict(files)
     fixed = F.create_map(*[F.lit(x) for k, (_, text) in ARRIVAL.items() if text for x in (k, text + ARRIVAL_CLOSING)])

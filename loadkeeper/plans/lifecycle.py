@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loadkeeper.functions.clock import Moment, local_day
 from loadkeeper.functions.text import like, same
 from loadkeeper.operators import batch, gates, report
+from loadkeeper.operators.joins import Pieces
 from loadkeeper.plans.worklists import GATE_TARGET, Control
 
 
@@ -61,7 +62,7 @@ def sequence_text(sequence: int | None) -> str:
 
 def success_report(
     c: Control, runs: DataFrame, routing: DataFrame, *, job_id: int, topic: str, server: str, now: dt.datetime,
-    layer: str | None = None, sequence: int | None = None, page_rows: int | None = None, recon_rejects: bool = False,
+    layer: str | None = None, sequence: int | None = None, page_rows: int | Pieces | None = None, recon_rejects: bool = False,
 ) -> DataFrame:
     """What succeeded in one step. Steps from 4 on total only log rows of their chosen items."""
     items = chosen_items(c, job_id, layer, sequence)
@@ -78,7 +79,7 @@ def success_report(
 
 def failure_report(
     c: Control, errors: DataFrame, runs: DataFrame, routing: DataFrame, *, job_id: int, topic: str, server: str,
-    now: dt.datetime, layer: str | None = None, sequence: int | None = None, page_rows: int | None = None,
+    now: dt.datetime, layer: str | None = None, sequence: int | None = None, page_rows: int | Pieces | None = None,
     gate_target: str = GATE_TARGET,
 ) -> DataFrame:
     """What failed or was skipped in one step.

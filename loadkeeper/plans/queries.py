@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loadkeeper.functions import clock, text
 from loadkeeper.operators import batch, changes, gates, quality, recon, refresh, report, tables, window, worklist
+from loadkeeper.operators.joins import Pieces
 from loadkeeper.plans import journal, lifecycle, worklists
 from loadkeeper.plans.extract import filter_codes, raw_extract
 from loadkeeper.session import scratch_dir
@@ -782,26 +783,44 @@ def _topics(groups):
     return groups.withColumn("topic", F.concat(F.lit("Step_"), F.col("job_id").cast("string")))
 
 
-@query
-def notification_failed(t):
+def _failed_notification(t, cut=None):
     detail = report.failure_detail(t.items, t.objects, t.log, t.errors, t.batches)
     groups = _topics(
         t.batches.select("batch_id", "source_id").join(t.items.select("source_id", "job_id").distinct(), "source_id")
     )
     return report.failure_notification(
-        groups, report.failure_pages(detail), t.routing, server="srv", now=_datetime(NOW)
+        groups, report.failure_pages(detail, cut), t.routing, server="srv", now=_datetime(NOW)
     )
 
 
 @query
-def notification_success(t):
+def notification_failed(t):
+    return _failed_notification(t)
+
+
+@query
+def notification_failed_pieces(t):
+    return _failed_notification(t, Pieces(25))
+
+
+def _success_notification(t, cut=None):
     detail = report.success_detail(t.log, t.items, t.objects)
     groups = _topics(report.run_summary(t.log).filter("status = 'success'").drop("status"))
     return report.success_notification(
-        groups, report.success_pages(detail), t.routing, server="srv", now=_datetime(NOW)
+        groups, report.success_pages(detail, cut), t.routing, server="srv", now=_datetime(NOW)
     )
 
 
+@query
+def notification_success(t):
+    return _success_notification(t)
+
+
+@query
+def notification_success_pieces(t):
+    return _success_notification(t, Pieces(25))
+
+
 @query
 def step_success_report(t):
     return lifecycle.success_report(

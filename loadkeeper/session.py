@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Joins are planned from measured sizes: a side is broadcast only below the threshold,
@@ -42,3 +42,11 @@ def scratch_dir(spark: SparkSession) -> str:
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shared-"))
     return shared_dir(spark)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder; a lost executor never recomputes them, and they stay as they are."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(df.sparkSession))
+    return df.checkpoint()

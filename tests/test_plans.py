@@ -171,3 +171,29 @@ def test_not_in_spreads_rows_without_a_key(no_broadcast, table):
     left = table("g int, k int, b int", *[(1, None, b) for b in range(9)], (2, None, 1), (1, 5, 1), (1, 6, 1))
     right = table("g int, k int", (1, 5))
     assert sorted(map(tuple, not_in(left, right, "k", ["g"], spread=["b"]).collect()), key=repr) == [(1, 6, 1), (2, None, 1)]
+
+
+def test_pieces_of_a_hot_group(no_broadcast, spark):
+    """A third of all rows in one group: its pieces are as large as any others, and the rows lie evenly over the tasks."""
+    rows = spark.range(12_000).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50 + 1).alias("g"),
+        F.format_string("%05d", F.col("id") * 7919 % 12_000 - F.col("id") % 2).alias("t"),
+    )
+    pieces = paged_text(rows, ["g"], key=F.col("t"), text=F.col("t"), page_rows=joins.Pieces(64), sep=",").collect()
+    whole = {r["g"]: r["body"] for r in paged_text(rows, ["g"], key=F.col("t"), text=F.col("t"), sep=",").collect()}
+    found = defaultdict(list)
+    for r in sorted(pieces, key=lambda r: r["page"]):
+        found[r["g"]].append(r)
+    assert {g: ",".join(r["body"] for r in rs) for g, rs in found.items()} == whole and None in whole
+    for rs in found.values():
+        assert [r["page"] for r in rs] == list(range(len(rs))) and all(r["n_pages"] == len(rs) for r in rs)
+        assert all(r["n_rows"] == 64 for r in rs[:-1]) and 0 < rs[-1]["n_rows"] <= 64
+    sizes = Counter(r["p"] for r in joins.placed(rows, ["g"], ["t"]).select(F.spark_partition_id().alias("p")).collect())
+    assert max(sizes.values()) < 2 * 12_000 / len(sizes)
+
+
+def test_pieces_of_equal_rows_and_of_none(spark, table):
+    rows = spark.range(1_000).select(F.lit("a").alias("g"), F.lit("same").alias("t"))
+    pieces = paged_text(rows, ["g"], key=F.col("t"), text=F.col("t"), page_rows=joins.Pieces(300)).collect()
+    assert sorted((r["page"], r["n_rows"], r["n_pages"]) for r in pieces) == [(0, 300, 4), (1, 300, 4), (2, 300, 4), (3, 100, 4)]
+    assert paged_text(rows.limit(0), ["g"], key=F.col("t"), text=F.col("t"), page_rows=joins.Pieces(3)).collect() == []

@@ -11,6 +11,7 @@ from pyspark.sql.types import DateType, StringType
 
 from loadkeeper.functions.clock import EASTERN, Moment, local, wall, wall_text
 from loadkeeper.functions.text import code4, code_key, col, empty, fill, fold, like, replace_any_case, same
+from loadkeeper.operators import bits
 from loadkeeper.operators.joins import not_in
 from loadkeeper.operators.worklist import lower_bound
 
@@ -87,7 +88,7 @@ def with_threshold(items: DataFrame, thresholds: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- windows on data
 
 
-def _bound(df: DataFrame, column: str, value: dt.datetime | str | None) -> Column:
+def bound(df: DataFrame, column: str, value: dt.datetime | str | None) -> Column:
     if value is None:
         raise ValueError(f"no bound given for the window on {column}")
     at = (dt.datetime.fromisoformat(value) if isinstance(value, str) else value).replace(second=0, microsecond=0)
@@ -98,7 +99,7 @@ def _bound(df: DataFrame, column: str, value: dt.datetime | str | None) -> Colum
     return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz" if isinstance(kind, StringType) else kind)
 
 
-def _moment(df: DataFrame, column: str) -> Column:
+def moment(df: DataFrame, column: str) -> Column:
     """The bare column; text as a timestamp."""
     return F.col(column).try_cast("timestamp_ntz") if isinstance(df.schema[column].dataType, StringType) else F.col(column)
 
@@ -110,22 +111,26 @@ def window_filter(df: DataFrame, column: str, lower, upper, extra_col: str | Non
     cutting the column and lets the file scan skip row groups. With ``extra_col`` a row also counts
     when only that second column has reached the lower bound.
     """
-    value = _moment(df, column)
-    started = value >= _bound(df, column, lower)
+    value = moment(df, column)
+    started = value >= bound(df, column, lower)
     if extra_col is not None:
-        started = started | (_moment(df, extra_col) >= _bound(df, extra_col, lower))
-    return df.filter(started & (value < _bound(df, column, upper)))
+        started = started | (moment(df, extra_col) >= bound(df, extra_col, lower))
+    return df.filter(started & (value < bound(df, column, upper)))
 
 
-def code_semi(df: DataFrame, codes: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
+def code_semi(df: DataFrame, codes: DataFrame, pairs: Mapping[str, str], *, prefilter: bool = False) -> DataFrame:
     """Rows whose code columns are all in the code table; ``pairs`` maps data column to code column.
 
     This is the form of a code filter that grows with the table: a join, no inlined list. Codes of up to
-    four characters are padded on both sides; a wider one matches itself only.
+    four characters are padded on both sides; a wider one matches itself only. ``prefilter`` is for codes too many to
+    send to every task: a filter of fixed size over them turns rows away before they are shuffled; the join decides.
     """
     for data_col, code_col in pairs.items():
         keys = codes.select(code_key(code_col).alias("_code")).filter("_code IS NOT NULL").distinct()
-        df = df.withColumn("_code", code_key(data_col)).join(keys, "_code", "left_semi").drop("_code")
+        df = df.withColumn("_code", code_key(data_col))
+        if prefilter:
+            df = df.filter(bits.may_hold(bits.of(keys, "_code"), F.col("_code")))
+        df = df.join(keys, "_code", "left_semi").drop("_code")
     return df
 
 

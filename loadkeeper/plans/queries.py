@@ -16,7 +16,7 @@ from loadkeeper.operators.joins import Pieces
 from loadkeeper.plans import journal, lifecycle, worklists
 from loadkeeper.plans.extract import filter_codes, raw_extract
 from loadkeeper.session import scratch_dir
-from loadkeeper.sources import store
+from loadkeeper.sources import store, zones
 from loadkeeper.sources.control import Tables
 from loadkeeper.sources.schemas import SCHEMAS
 from loadkeeper.streaming import ingest, readiness, ready
@@ -198,6 +198,20 @@ def two_column_window(t):
     return rows.groupBy("l_suppkey").agg(F.count("*").alias("n_rows"), F.sum("l_partkey").alias("sum_part"))
 
 
+@query
+def two_column_zones(t):
+    folder = _scratch(t)
+    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_suppkey", "l_partkey", "l_shipdate", "o_orderdate")
+    map_ = zones.Zones(t.spark, f"{folder}/data", f"{folder}/zones", ("l_shipdate", "o_orderdate"))
+    # two loads, each of them in files by date; the map takes in the files of a load when it is refreshed
+    for k in range(2):
+        part = rows.filter(f"l_partkey % 2 = {k}").repartitionByRange(8, "l_shipdate")
+        part.write.mode("append").parquet(f"{folder}/data")
+        map_.refresh()
+    found = map_.window("l_shipdate", "1998-01-01", "2000-06-30 12:00:00", extra_col="o_orderdate")
+    return found.groupBy("l_suppkey").agg(F.count("*").alias("n_rows"), F.sum("l_partkey").alias("sum_part"))
+
+
 def _extract(t, hist, two_columns=True):
     rows = raw_extract(
         t.control(), t.batches, packed_codes=t.packed_codes, segment_codes=t.segment_codes, history_keys=t.history_keys,
@@ -236,6 +250,14 @@ def code_list_semi(t):
     return rows.groupBy("l_suppkey").agg(F.count("*").alias("n_rows"), F.sum("l_orderkey").alias("sum_order"))
 
 
+@query
+def code_list_prefilter(t):
+    """Codes as many as orders, against the larger table."""
+    codes = t.orders.filter("o_orderstatus = 'P'").select("o_orderkey")
+    rows = window.code_semi(t.lineitem, codes, {"l_orderkey": "o_orderkey"}, prefilter=True)
+    return rows.groupBy("l_suppkey").agg(F.count("*").alias("n_rows"), F.sum("l_orderkey").alias("sum_order"))
+
+
 @query
 def historical_union(t):
     columns = ["l_orderkey", "l_suppkey", "l_partkey", "l_linenumber"]
@@ -668,17 +690,26 @@ def ingest_stream(t):
     return found.withColumn("ts", clock.milli_text(F.col("ts")))
 
 
-@query
-def row_change_audit(t):
+def _changes(t, compare):
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
     old = t.orders.filter("o_orderdate < TIMESTAMP_NTZ '2000-01-01 00:00:00'").select(*columns)
     new = t.orders.filter("o_orderpriority <> '5-LOW'").withColumn(
         "o_orderstatus", F.when(F.col("o_orderstatus") == "O", "F").otherwise(F.col("o_orderstatus"))
     )
-    rows = changes.row_changes(old, new.select(*columns), ["o_orderkey"], user="loader", now=NOW, skip=["o_custkey"])
+    rows = compare(old, new.select(*columns), ["o_orderkey"], user="loader", now=NOW, skip=["o_custkey"])
     return rows.withColumn("modify_date", clock.milli_text(F.col("modify_date")))
 
 
+@query
+def row_change_audit(t):
+    return _changes(t, changes.row_changes)
+
+
+@query
+def row_change_ranges(t):
+    return _changes(t, changes.row_changes_by_range)
+
+
 @query
 def schema_drift(t):
     base = t.part.select(

@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from loadkeeper.operators import changes
 
 NOW = "2024-01-02 03:04:05"
@@ -50,3 +52,23 @@ def test_domains_pass_null(table, rows):
     df = table("a string, b string", ("x", "y"), ("X ", None), ("z", "y"), ("z", "q"))
     got = changes.domain_violations(df, {"a": ["x"], "b": ["Y"]})
     assert rows(got, "a", "b", "violations") == [("z", "q", ["a", "b"]), ("z", "y", ["a"])]
+
+
+def test_only_ranges_that_differ_are_compared(spark):
+    old = spark.range(100_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"), F.when(F.col("id") % 2 == 0, "x").alias("w"))
+    new = old.withColumn("v", F.when(F.col("k") == 777, -1).otherwise(F.col("v"))).filter("k <> 888")
+    left, right = changes.changed_ranges(old, new, ["k"])
+    assert 2 <= left.count() <= 2 * 2 * 100_000 / 2**changes.FINE + 10 and right.count() == left.count() - 1
+    got = changes.row_changes_by_range(old, new, ["k"], user="u", now="2024-01-01 00:00:00")
+    assert sorted((r["k"], r["v"], r["Activity"]) for r in got.collect()) == [(777, -1, "UPDATE"), (888, 1776, "DELETE")]
+    same = changes.changed_ranges(old, old, ["k"])
+    assert same[0].isEmpty() and same[1].isEmpty()
+
+
+def test_ranges_give_the_changes_of_the_whole_comparison(table, rows):
+    ddl = "k int, j string, v string, w string"
+    old = table(ddl, (1, "a", "x", None), (2, "a", None, "x"), (3, "a", "q", "q"), (None, "a", "n", "n"), (4, "b", "y", "z"))
+    new = table(ddl, (1, "a", None, "x"), (2, "a", None, "x"), (None, "a", "n", "n"), (4, "b", "z", "y"), (5, "b", None, None))
+    for a, b in ((old, new), (new, old), (old.limit(0), new), (old, new.limit(0)), (old.limit(0), new.limit(0))):
+        whole = changes.row_changes(a, b, ["k", "j"], user="u", now="2024-01-01 00:00:00")
+        assert rows(changes.row_changes_by_range(a, b, ["k", "j"], user="u", now="2024-01-01 00:00:00")) == rows(whole)

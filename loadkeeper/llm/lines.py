@@ -32,8 +32,9 @@ SHINGLE, SIMILARITY = 8, 0.8
 BANDS, ROWS = 10, 4
 BLANKS = " \t\r\x0b\x0c"
 #: Bytes of text whose shingles are hashed at a time, so many of which are sent on together, lines of a bucket that are
-#: compared in one group, and shingles of a group that are counted at a time; they bound the memory of a worker.
-CHUNK, TOGETHER, PART, COLUMNS = 1 << 16, 8, 256, 4096
+#: compared in one group, bytes of them that are compared at a time, and shingles that are counted at a time; with a
+#: single longer line they bound the memory of a worker.
+CHUNK, TOGETHER, PART, BYTES, COLUMNS = 1 << 16, 8, 256, 1 << 19, 4096
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -92,27 +93,54 @@ def jaccard(one: bytes, other: bytes) -> float:
 
 
 def similar(lines: list[bytes]) -> np.ndarray:
-    """For some lines, which pairs of them reach the threshold: an exact matrix, built from the shingles that several lines have."""
-    values, starts = shingles(lines)
-    own = np.repeat(np.arange(len(lines)), np.diff(np.append(starts, len(values))))
-    names, numbers = np.unique(values, return_inverse=True)
-    cells = np.unique(numbers * len(lines) + own)
-    names, own = cells // len(lines), cells % len(lines)
-    sizes = np.bincount(own, minlength=len(lines))
-    often = np.bincount(names)
-    order = np.cumsum(often > 1) - 1
-    kept = often[names] > 1
-    names, own = order[names[kept]], own[kept]
-    shared = np.zeros((len(lines), len(lines)), np.float32)
-    columns = int(order[-1]) + 1
-    for first in range(0, columns, COLUMNS):
-        part = slice(*np.searchsorted(names, (first, first + COLUMNS)))
-        held = np.zeros((len(lines), min(COLUMNS, columns - first)), np.float32)
-        held[own[part], names[part] - first] = 1
-        shared += held @ held.T
+    """For some lines, which pairs of them reach the threshold: an exact matrix, built from the shingles that several lines have.
+
+    It takes several passes over more than BYTES of text; each counts the shingles of one residue of their hashes.
+    """
+    shared, sizes = np.zeros((len(lines), len(lines)), np.float32), np.zeros(len(lines), np.int64)
+    passes = -(-sum(map(len, lines)) // BYTES) or 1
+    for turn in range(passes):
+        parts = [_residue(first, part, turn, passes) for first, part in _runs(lines)]
+        values, own = (np.concatenate(x) for x in zip(*parts))
+        names, numbers = np.unique(values, return_inverse=True)
+        cells = np.unique(numbers * len(lines) + own)
+        names, own = cells // len(lines), cells % len(lines)
+        sizes += np.bincount(own, minlength=len(lines))
+        often = np.bincount(names)
+        order = np.cumsum(often > 1) - 1
+        kept = often[names] > 1
+        names, own = order[names[kept]], own[kept]
+        columns = int(order[-1]) + 1 if len(order) else 0
+        for first in range(0, columns, COLUMNS):
+            part = slice(*np.searchsorted(names, (first, first + COLUMNS)))
+            held = np.zeros((len(lines), min(COLUMNS, columns - first)), np.float32)
+            held[own[part], names[part] - first] = 1
+            shared += held @ held.T
     return shared >= SIMILARITY * (sizes[:, None] + sizes[None, :] - shared) - 1e-4
 
 
+def _runs(lines: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """The lines in runs of about BYTES, each with the number of its first line."""
+    first, size = 0, 0
+    for n, line in enumerate(lines):
+        size += len(line)
+        if size >= BYTES:
+            yield first, lines[first : n + 1]
+            first, size = n + 1, 0
+    if first < len(lines):
+        yield first, lines[first:]
+
+
+def _residue(first: int, lines: list[bytes], turn: int, passes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, number of the line) of the lines' shingles with one residue of their hashes."""
+    values, starts = shingles(lines)
+    own = np.repeat(np.arange(first, first + len(lines)), np.diff(np.append(starts, len(values))))
+    if passes == 1:
+        return values, own
+    kept = _mixed(values) % np.uint64(passes) == turn
+    return values[kept], own[kept]
+
+
 def forest(near: np.ndarray) -> list[tuple[int, int]]:
     """Pairs that connect what a matrix of pairs connects: one less than the members of each component."""
     open_, out = np.ones(len(near), bool), []
@@ -128,6 +156,13 @@ def forest(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def linked(lines: list[bytes]) -> list[tuple[int, int]]:
+    """Pairs of numbers of lines that connect all similar ones."""
+    if len(lines) == 2 and len(lines[0]) + len(lines[1]) <= BYTES:
+        return [(0, 1)] if jaccard(*lines) >= SIMILARITY else []
+    return forest(similar(lines))
+
+
 def _bands(docs: DataFrame) -> DataFrame:
     """(band, line): the band values of the distinct lines of each batch of documents; ``line`` is the line's hash."""
 
@@ -176,11 +211,9 @@ def occurrences(docs: DataFrame) -> DataFrame:
 def _verified(members: DataFrame) -> DataFrame:
     """(a, b): links between the lines of each group of members(band, low, high, line, text), enough to connect all that are similar."""
 
-    def linked(lines: dict[int, bytes]) -> list[tuple[int, int]]:
-        names, texts = list(lines), list(lines.values())
-        if len(names) == 2:
-            return [tuple(names)] if jaccard(*texts) >= SIMILARITY else []
-        return [(names[a], names[b]) for a, b in forest(similar(texts))]
+    def named(lines: dict[int, bytes]) -> list[tuple[int, int]]:
+        names = list(lines)
+        return [(names[a], names[b]) for a, b in linked(list(lines.values()))] if len(names) > 1 else []
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, lines = None, {}
@@ -189,11 +222,11 @@ def _verified(members: DataFrame) -> DataFrame:
             keys = zip(*(batch[c].to_pylist() for c in ("band", "low", "high")))
             for key, line, text in zip(keys, batch["line"].to_pylist(), batch["text"].cast(pa.binary())):
                 if key != group:
-                    out += linked(lines) if len(lines) > 1 else []
+                    out += named(lines)
                     group, lines = key, {}
                 lines[line] = text.as_py().lower()
             yield made(out)
-        yield made(linked(lines) if len(lines) > 1 else [])
+        yield made(named(lines))
 
     def made(rows: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["a", "b"])

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -89,3 +90,29 @@ def test_query(spark, sample):
     gone = {(r["doc_id"], int(p)) for r in got for p in r["dropped"].split(",") if p}
     assert gone <= expected and len(gone) >= 0.99 * len(expected)
     assert all(r["n_dropped"] == len([p for p in r["dropped"].split(",") if p]) for r in got)
+
+
+def test_long_lines_in_little_memory(monkeypatch):
+    """512 near copies of a line of 20 KB, compared a part of the shingles at a time: as exact, and under 150 MB."""
+    dice = random.Random(6)
+    base = dice.choices(b"abcdefgh ", k=20_000)
+
+    def variant(edits):
+        out = list(base)
+        for _ in range(edits):
+            out[dice.randrange(len(out))] = dice.choice(b"xyz")
+        return bytes(out)
+
+    few = [variant(e) for e in (0, 5, 40, 120, 250, 300)] + [b"short", b"shorter", bytes(dice.choices(b"abc", k=900))]
+    exact = {(i, k) for i, a in enumerate(few) for k, b in enumerate(few) if i < k and lines.jaccard(a, b) >= lines.SIMILARITY}
+    pairs = lambda: set(zip(*map(list, np.triu(lines.similar(few), 1).nonzero())))
+    assert pairs() == exact
+    monkeypatch.setattr(lines, "BYTES", 3_000)
+    assert pairs() == exact != set()
+    monkeypatch.undo()
+    many = [variant(20) for _ in range(512)]
+    tracemalloc.start()
+    found = lines.linked(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 511 and peak < 150 << 20

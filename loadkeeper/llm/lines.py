@@ -238,16 +238,20 @@ def _verified(members: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """(node, root): the hashes of the lines of docs(doc_id, text) that have near duplicates, each with its component."""
     # the filter keeps nothing out; with it both uses of the bands are one shuffle
-    buckets = _bands(docs.filter("doc_id IS NOT NULL")).filter("band IS NOT NULL").repartition("band").distinct()
+    banded = _bands(docs.filter("doc_id IS NOT NULL")).filter("band IS NOT NULL").repartition("band")
+    # few bands hold different lines, and only theirs are made distinct, counted and kept
+    several = banded.groupBy("band").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low < high").select("band")
+    buckets = cut(banded.join(several.hint("shuffle_hash"), "band", "left_semi").distinct())
     sums = [F.bit_xor(c).alias(f"sum{i}") for i, c in enumerate((F.col("line"), F.xxhash64("line")))]
-    sized = buckets.groupBy("band").agg(F.count("*").alias("n"), *sums).filter("n > 1")
+    sized = buckets.groupBy("band").agg(F.count("*").alias("n"), *sums)
     # buckets of the same lines are looked into once
     chosen = sized.groupBy("n", "sum0", "sum1").agg(F.min("band").alias("band")).select("band", "n")
     members = cut(buckets.join(chosen, "band"))
     involved = members.select("line").distinct()
     held = bloom.build(involved, "line")
     texts = occurrences(docs).select("line", "text").filter(bloom.may_hold(held, F.col("line")))
-    texts = texts.join(involved, "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
+    # one row for each line before anything is shuffled by it
+    texts = texts.groupBy("line").agg(F.first("text").alias("text")).join(involved, "line", "left_semi")
     # a large bucket becomes groups of two of its parts, so that any two lines meet in one
     parts = F.ceil(F.col("n") / F.lit(PART)).cast("int")
     members = members.withColumn("own", F.pmod(F.xxhash64("line"), parts).cast("int"))

@@ -30,6 +30,8 @@ from loadkeeper.llm.shared import cut
 
 SHINGLE, SIMILARITY = 8, 0.8
 BANDS, ROWS = 10, 4
+#: A line with more than one in so many of all places is spread over several tasks.
+FEW = 1000
 BLANKS = " \t\r\x0b\x0c"
 #: Bytes of text whose shingles are hashed at a time, so many of which are sent on together, lines of a bucket that are
 #: compared in one group, bytes of them that are compared at a time, and shingles that are counted at a time; with a
@@ -267,10 +269,16 @@ def drops(docs: DataFrame) -> DataFrame:
     firsts = found.groupBy("line").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
     roots = classes(docs).withColumnRenamed("node", "line")
     known = firsts.join(roots, "line", "left").filter("n > 1 OR root IS NOT NULL")
-    known = cut(known.select("line", F.coalesce("root", "line").alias("root"), "first"))
+    known = cut(known.select("line", F.coalesce("root", "line").alias("root"), "first", "n"))
     kept = known.groupBy("root").agg(F.min("first").alias("kept"))
-    kept = cut(known.join(kept, "root").select("line", "kept"))
-    gone = found.join(kept, "line").filter(F.struct("doc_id", "place") != F.col("kept")).distinct()
+    kept = cut(known.join(kept, "root").select("line", "kept", "n"))
+    # a line with more than its share of all places is split; of such lines there are at most FEW
+    share = F.greatest(F.lit(1.0), found.agg(F.count("*") / F.lit(FEW)).scalar())
+    common = F.broadcast(kept.filter(F.col("n") > share).select("line", F.ceil(F.col("n") / share).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    copies = kept.drop("n").join(common, "line", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    split = found.join(common, "line", "left").withColumn("part", F.pmod(F.xxhash64("doc_id", "place"), parts).cast("int")).drop("parts")
+    gone = split.join(copies, ["line", "part"]).filter(F.struct("doc_id", "place") != F.col("kept")).select("doc_id", "place", "line").distinct()
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "line"))).alias("gone"))
 
 

@@ -30,6 +30,8 @@ from loadkeeper.llm.shared import cut
 
 SHINGLE, SIMILARITY = 8, 0.8
 BANDS, ROWS = 10, 4
+#: Lines a task remembers having sent, but for those of one batch; then it forgets them.
+SEEN = 1 << 17
 #: A line with more than one in so many of all places is spread over several tasks.
 FEW = 1000
 BLANKS = " \t\r\x0b\x0c"
@@ -166,7 +168,7 @@ def linked(lines: list[bytes]) -> list[tuple[int, int]]:
 
 
 def _bands(docs: DataFrame) -> DataFrame:
-    """(band, line): the band values of the distinct lines of each batch of documents; ``line`` is the line's hash."""
+    """(band, line): the band values of the lines of some documents, repeated ones seldom more than once a task; ``line`` is the line's hash."""
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
@@ -178,8 +180,10 @@ def _bands(docs: DataFrame) -> DataFrame:
                 [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(hashes, BANDS).view(np.int64))], names=["band", "line"]
             )
 
+        seen: set[int] = set()
         for batch in batches:
-            seen: set[int] = set()
+            if len(seen) > SEEN:
+                seen.clear()
             done, part, size = [], {}, 0
             for text in batch["text"].cast(pa.binary()):
                 for line in (text.as_py() or b"").split(b"\n"):
@@ -243,7 +247,7 @@ def classes(docs: DataFrame) -> DataFrame:
     banded = _bands(docs.filter("doc_id IS NOT NULL")).filter("band IS NOT NULL").repartition("band")
     # few bands hold different lines, and only theirs are made distinct, counted and kept
     several = banded.groupBy("band").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low < high").select("band")
-    buckets = cut(banded.join(several.hint("shuffle_hash"), "band", "left_semi").distinct())
+    buckets = cut(banded.join(several.hint("shuffle_hash"), "band").distinct())
     sums = [F.bit_xor(c).alias(f"sum{i}") for i, c in enumerate((F.col("line"), F.xxhash64("line")))]
     sized = buckets.groupBy("band").agg(F.count("*").alias("n"), *sums)
     # buckets of the same lines are looked into once

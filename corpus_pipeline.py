@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loadkeeper.llm import bpe, leaks, lines, simhash, toxicity
 from loadkeeper.llm.queries import tokenizer
-from loadkeeper.llm.shared import cut, table
+from loadkeeper.llm.shared import bounded_batches, cut, table
 
 #: The toxicity score from which a document goes: likelier toxic than not.
 REJECTED = 0.5
@@ -20,18 +20,21 @@ REJECTED = 0.5
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose toxicity score reaches REJECTED."""
+    bounded_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return docs.withColumn("_score", toxicity.score(F.col("text"), model)).filter(F.col("_score") < REJECTED).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of lines that are near duplicates the first stays; n_chars follows the text. Documents left without lines go."""
+    bounded_batches(spark)
     kept = lines.dedup(docs)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    bounded_batches(spark)
     return simhash.keep_one(docs)
 
 
@@ -42,6 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): the ids of every document and the text they stand for."""
+    bounded_batches(spark)
     path, pattern = tokenizer()
     coded = docs.select("doc_id", bpe.encode(F.col("text"), path, pattern).alias("ids"))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", bpe.decode(F.col("ids"), path).cast("string").alias("decoded"))

@@ -25,6 +25,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Python workers get rows in batches of about ``size`` bytes, unless the session has a bound of its own.
+
+    A batch is 10,000 rows otherwise, which as whole documents may be any number of bytes in each worker and its executor.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

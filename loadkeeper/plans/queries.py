@@ -85,6 +85,12 @@ def curated_worklist(t):
     return of(rows, *BOUNDS, F.col("processing_date").cast("string").alias("processing_date"), "iscuratedfullload")
 
 
+@query
+def curated_worklist_sequence(t):
+    rows = worklists.curated(t.control(), t.batches, NOW, sequence=2)
+    return of(rows, *BOUNDS, F.col("processing_date").cast("string").alias("processing_date"), "iscuratedfullload")
+
+
 @query
 def curated_worklist_saturday(t):
     rows = worklists.curated(t.control(), t.batches, SATURDAY, last_run="1900-01-01 00:00:00")
@@ -212,10 +218,10 @@ def two_column_zones(t):
     return found.groupBy("l_suppkey").agg(F.count("*").alias("n_rows"), F.sum("l_partkey").alias("sum_part"))
 
 
-def _extract(t, hist, two_columns=True):
+def _extract(t, hist, two_columns=True, **bounds):
     rows = raw_extract(
         t.control(), t.batches, packed_codes=t.packed_codes, segment_codes=t.segment_codes, history_keys=t.history_keys,
-        thresholds=t.thresholds, etl_start="2024-01-03 03:04:05.678", hist=hist, two_columns=two_columns,
+        thresholds=t.thresholds, etl_start="2024-01-03 03:04:05.678", hist=hist, two_columns=two_columns, **bounds,
     )
     return rows.select(
         "batch_id", "job_object_id", "source_filter_final", "target_object_path_final", "threshold", "varCurrentRundt"
@@ -227,6 +233,11 @@ def window_query_text(t):
     return _extract(t, False)
 
 
+@query
+def window_query_text_bounds(t):
+    return _extract(t, False, last_run="2023-06-01 10:20:30", current_run="2023-12-31 23:59:59.5")
+
+
 @query
 def window_query_text_hist(t):
     return _extract(t, True)

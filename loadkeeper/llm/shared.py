@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadkeeper import session
+
 #: The white space that ends a word; the same bytes that ``bytes.split()`` splits at.
 SPACE = "\\x20\\x09-\\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -15,14 +15,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def cut(df: DataFrame) -> DataFrame:
     """The rows written once to the folder all executors share; a lost executor never recomputes them.
 
-    The folder is the one in ``spark.checkpoint.dir``. A session without it, as in tests on one
-    machine, gets a temporary one.
+    The folder is the one in ``spark.checkpoint.dir``. A session on one machine without it, as in tests, gets a
+    temporary one; on a cluster that is an error.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    return session.cut(df)
 
 
 def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:

@@ -14,7 +14,9 @@ work on one column, so clashing names elsewhere do not matter, and repeated rows
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -38,7 +40,7 @@ CONTEXT = {
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "local": 0.3}
 BOOST, LEAST, NEAR = 0.3, 0.5, 40
 
-MAIL_RUN = re.compile(r"[A-Za-z0-9._%+-]*\Z")
+MAIL_RUN = re.compile(r"[A-Za-z0-9._%+-]*")
 MAIL_REST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A run of digits that starts no address at its first digit starts none later, so only first digits are tried.
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
@@ -68,10 +70,10 @@ def mod97(account: str) -> bool:
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
-    """Leftmost addresses, found from their @ signs: the local part is the run before one, which no @ is in."""
+    """Leftmost addresses, found from their @ signs: the local part is the run before one, read backwards; no @ is in it."""
     after, at = 0, text.find("@")
     while at >= 0:
-        start = MAIL_RUN.search(text[after:at]).start() + after if at > after and not text[at - 1].isspace() else at
+        start = at - MAIL_RUN.match(text[after:at][::-1]).end()
         rest = MAIL_REST.match(text, at) if start < at else None
         if rest:
             yield start, rest.end()
@@ -110,10 +112,11 @@ def spans(text: str) -> list[Span]:
         for kind, pattern, test in (("ip", IP, _is_ip), ("card", CARD, _is_card), ("phone", PHONE, _is_phone)):
             found += [(kind, *m.span()) for m in pattern.finditer(text) if test(m.group())]
         kept = sorted((a, b) for _, a, b in found)
+        starts, ends = [a for a, _ in kept], [0, *accumulate((b for _, b in kept), max)]
         more = [("iban", m.start(), m.start() + n) for m in IBAN.finditer(text) if (n := _account_end(m.group()))]
         more += [("local", *m.span()) for m in LOCAL.finditer(text)]
         for kind, a, b in more:
-            if _scored(text, kind, a, b).score >= LEAST and not any(a < y and x < b for x, y in kept):
+            if _scored(text, kind, a, b).score >= LEAST and ends[bisect_left(starts, b)] <= a:
                 found.append((kind, a, b))
     return sorted((_scored(text, *x) for x in found), key=lambda s: (s.start, KINDS.index(s.kind)))
 

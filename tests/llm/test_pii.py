@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -57,6 +58,24 @@ def test_long_texts_take_linear_time():
         assert [s[:3] for s in pii.spans(text) if s.kind in pii.BASE] == [] or text.startswith(("1.", "a@"))
 
 
+def test_long_runs_before_an_address_and_many_spans_take_linear_time():
+    begun = time.perf_counter()
+    run = "a" * 1_000_000
+    assert [s[:3] for s in pii.spans(run + "! x@y.zz")] == [("email", 1_000_002, 1_000_008)]
+    assert [s[:3] for s in pii.spans(run + "@y.zz")] == [("email", 0, 1_000_005)]
+    many = "mail x@y.zz or call 555-123-4567 now " * 8_000
+    assert len(pii.spans(many)) == 16_000
+    assert time.perf_counter() - begun < 5
+
+
+def test_added_spans_never_overlap_kept_ones():
+    card = "4539 1488 0343 6467"
+    text = f"call {card[:-4]}555-123-4567 tel +1 555-123-4567 call 555-123-4567"
+    kept = [s for s in pii.spans(text) if s.kind in pii.BASE]
+    added = [s for s in pii.spans(text) if s.kind not in pii.BASE]
+    assert added and not any(a.start < k.end and k.start < a.end for a in added for k in kept)
+
+
 def test_odd_rows_and_redaction(odd, nothing):
     found = odd.select("doc_id", "text", pii.find(F.col("text")).alias("found"))
     for r in found.withColumn("clean", pii.redact(F.col("text"), F.col("found"))).collect():

@@ -1,24 +1,36 @@
 """Licence scans: normalised sentences to sentence identifiers, identifier sequences to ordered rules.
 
-A text is cut into lines, and these at full stops followed by white space. Such a piece is
-normalised to its letters and digits, words separated by one space, all in lower case; inner full stops of
-version numbers stay. A piece is a sentence of its own, unless it and the next ones are together a known sentence that
-was wrapped over lines, of which the longest counts; full stops, blank lines and lines of signs alone end a sentence. Signs before a
+A text is cut at full stops followed by white space and at blank lines, and what lies between into lines. A line also
+ends after a semicolon or colon, after a web address, and before a second licence of a notice ("... and the MIT license", which
+reads as a notice of its own). Lines are normalised to letters and digits, words separated by one space, all in lower case; inner
+full stops of version numbers stay. A line is a sentence of its own, unless it and the next ones are together a known sentence that
+was wrapped, of which the longest counts; lines of signs alone end a sentence. Signs before a
 line, as in comments, do not matter, nor do the marks of a list. A sentence known to a licence text gets its identifier; one that is not known but speaks
-of licensing counts as unknown. The identifiers of a text, in order, form a sequence, on which the
+of licensing counts as unknown. An SPDX tag gives one identifier for each licence of its expression. The identifiers of a text, in order, form a sequence, on which the
 rules are tried in their order. A rule matches its identifiers in their order, whatever stands between them; what it
 has matched is taken out, as often as it occurs, and what stands between stays. So a general rule after a
 special one does not match the same again, and a text can have several licences.
 
-Only built-in functions are used, row by row, without a shuffle. Null, empty and blank texts have no
+Only built-in functions are used, row by row, without a shuffle, in time linear in the text. Null, empty and blank texts have no
 sentences, no licence and no unknown sentences. Repeated rows get equal results; all functions work on one column.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The licences an SPDX tag may name, and how a tag begins once normalised.
+TAGGED = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+    "EPL-1.0", "EPL-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1", "LGPL-2.1-only",
+    "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+)
+TAG = "spdx license identifier "
+#: Normalised names to identifiers; the "or" of a name is not the one between two names.
+TAGS = {name.lower().replace("-", " ").replace(" or later", " orlater"): f"Tag {name}" for name in TAGGED}
 # Sentences of public licence texts and notices, normalised, with their identifiers.
 SENTENCES = {
     "licensed under the apache license version 2.0": "ApacheShort2",
@@ -59,6 +71,15 @@ SENTENCES = {
     "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "LGPL3Later",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "AGPL3Later",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation version 3": "AGPL3Short",
+    **{
+        f"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license {how}": f"GPL{n}Short"
+        for n in (2, 3)
+        for how in (f"version {n} as published by the free software foundation", f"as published by the free software foundation version {n} of the license", f"as published by the free software foundation version {n}")
+    },
+    **{
+        f"this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license {how}": "LGPL21Short"
+        for how in ("version 2.1 as published by the free software foundation", "as published by the free software foundation version 2.1 of the license")
+    },
     "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "GNUWarranty",
     "see the gnu lesser general public license for more details": "GPLSee",
     "see the gnu affero general public license for more details": "GPLSee",
@@ -129,6 +150,7 @@ RULES = (
     ("GPL-3.0", "GPL3Short"),
     ("GPL-2.0", "GPL2Short"),
     ("LGPL-3.0", "LGPL3Short"),
+    ("LGPL-2.1", "LGPL21Short"),
     ("AGPL-3.0", "AGPL3Short"),
     ("MPL-2.0", "MPL2Head"),
     ("EPL-1.0", "EPL1Head"),
@@ -148,16 +170,32 @@ RULES = (
     ("CC0-1.0", "CC0Waiver"),
     ("Unlicense", "Unlicense"),
     ("all rights reserved", "AllRights"),
+    *((name.removesuffix("-only"), f"Tag {name}") for name in TAGGED),
 )
 # Every known sentence has one of these in it, and so has a sentence that counts as unknown.
 CUES = ("licens", "copyright", "permission", "redistribut", "warrant", "free software", "unencumbered", "rights reserved")
 UNKNOWN = "?"
 STOPS, OTHERS = "\\.[^a-z0-9\\s]*\\s|\n\n+", "[^a-z0-9.]+"
 MARK = "^([0-9]{1,2}|[a-z]|i{2,3}) (?=redistribution|neither |the )"
+# How a second licence of a notice is named, after "and" or "or"; it is read as this notice.
+SECOND = "(?:the )?(?:(?:mit|apache|bsd|isc|zlib|boost software|mozilla public|eclipse public|gnu (?:lesser |affero )?general public) licen[cs]e|cc(?: |-)by)"
+NOTICE = "licensed under "
+# What a line ends with beside a line end, and what is put there: patterns and replacements, in this order.
+ENDS = (
+    ("(https?://[^\\s]+)[ \t]", "$1\n"),
+    ("([;:][^a-z0-9\\s]*)[ \t]", "$1\n"),
+    (f"\\s(?:and|or)\\s+({SECOND.replace(' ', chr(92) + 's+')})", f"\n{NOTICE}$1"),
+    ("spdx-license-identifier:\\s*", f"\n{TAG}"),
+)
 # The third clause of BSD names a holder, who may be anyone: of the sentence counts what comes after.
-HOLDER = "^.*\\bnor(?= the names? of\\b| the names?$| the$|$)"
-# All known sentences, each between line ends: what a sentence starts with is found by one search.
-ALL = "\n" + "\n".join(SENTENCES) + "\n"
+HOLDER = "^.*\\bnor(?= the names of\\b)"
+# One search finds the sentences of some lines: at a line start the longest known one, of which any blank may be a line end, else the line.
+_wrapped = lambda s: re.escape(s).replace("\\ ", "[ \n]")
+LINES = "(?m)^(?:" + "|".join(
+    ("(?:[^\n]* )?" if i == "BSDEndorse" else "") + _wrapped(s) for s, i in sorted(SENTENCES.items(), key=lambda x: (-len(x[0]), x[0]))
+) + "|[^\n]+)$"
+# What is gathered one by one is kept in blocks of this length, so that adding to it copies little.
+BLOCK = 512
 
 
 def _speaks(text: Column) -> Column:
@@ -172,28 +210,21 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(sentence, OTHERS, " "), "(^|\\s)\\.+|\\.+($|\\s)", " "))
 
 
-def _named(lines: Column) -> Column:
-    """array<string>: the identifiers of the sentences that some lines (line, plain) without a full stop hold."""
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    none = F.array().cast("array<string>")
-    opens = lambda s: F.contains(F.lit(ALL), F.concat(F.lit("\n"), s, F.lit(" ")))
-    state = lambda ids, last, begun: F.struct(ids.alias("ids"), last.alias("last"), begun.alias("begun"))
+def _entry(entries: dict[str, str], key: Column) -> Column:
+    return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in entries.items() for x in pair)), key), F.lit(UNKNOWN))
 
-    def step(now, given):
-        line = given["line"]
-        # begun: the lines since the possible start of a known sentence; last: what they are by now
-        named = F.try_element_at(known, line)
-        own = F.when(named.isNotNull(), F.array(named)).when(_speaks(given["plain"]), F.array(F.lit(UNKNOWN))).otherwise(none)
-        longer, ids = F.concat(now["begun"], F.lit(" "), line), F.concat(now["ids"], now["last"])
-        whole, goes_on = F.try_element_at(known, longer), (now["begun"] != "") & (line != "")
-        return (
-            F.when(goes_on & whole.isNotNull(), state(now["ids"], F.array(whole), longer))
-            .when(goes_on & opens(longer), state(now["ids"], F.concat(now["last"], own), longer))
-            .when((line != "") & opens(line), state(ids, own, line))
-            .otherwise(state(F.concat(ids, own), none, F.lit("")))
-        )
 
-    return F.aggregate(lines, state(none, none, F.lit("")), step, lambda s: F.concat(s["ids"], s["last"]))
+def _named(found: Column) -> Column:
+    """array<string>: the identifiers of one sentence: one if it is known, ? if it speaks of licensing, one a licence of a tag."""
+    sentence = F.translate(found, "\n", " ")
+    own = F.when(F.contains(sentence, F.lit(" nor ")), F.regexp_replace(sentence, HOLDER, "nor")).otherwise(sentence)
+    names = F.replace(F.substring(sentence, len(TAG) + 1, 1 << 30), F.lit(" or later"), F.lit(" orlater"))
+    tagged = F.transform(F.split(names, " (?:and|or|with) "), lambda name: _entry(TAGS, name))
+    return (
+        F.when(~_speaks(sentence), F.array().cast("array<string>"))
+        .when(F.startswith(sentence, F.lit(TAG)), tagged)
+        .otherwise(F.array(_entry(SENTENCES, own)))
+    )
 
 
 def sentence_ids(text: Column) -> Column:
@@ -201,9 +232,14 @@ def sentence_ids(text: Column) -> Column:
     lower = F.lower(F.coalesce(text, F.lit("")))
     plain = lambda s: F.regexp_replace(F.regexp_replace(normalised(s), " +", " "), MARK, "")
     may_speak = lambda s: _speaks(s) | F.contains(s, F.lit("free")) | F.contains(s, F.lit("rights"))
-    after = lambda s: F.when(F.contains(s, F.lit(" nor")), F.regexp_replace(s, HOLDER, "nor")).otherwise(s)
-    lines = lambda s: F.transform(F.transform(F.split(s, "\n"), plain), lambda p: F.struct(after(p).alias("line"), p.alias("plain")))
-    named = lambda s: _named(lines(s))
+
+    def lines(piece):
+        for pattern, to in ENDS:
+            piece = F.regexp_replace(piece, pattern, to)
+        return F.array_join(F.transform(F.split(piece, "\n"), plain), "\n")
+
+    # a function of one variable, so that what is looked up more than once is worked out once
+    named = lambda s: F.flatten(F.transform(F.regexp_extract_all(lines(s), F.lit(LINES), F.lit(0)), _named))
     found = F.flatten(F.transform(F.filter(F.split(lower, STOPS), may_speak), named))
     return F.when(may_speak(lower), found).otherwise(F.array().cast("array<string>"))
 
@@ -218,12 +254,25 @@ def licences(ids: Column) -> Column:
     left = F.filter(F.transform(ids, lambda i, at: F.try_element_at(coded, i) + at), lambda x: x.isNotNull())
     start = F.struct(left.alias("left"), F.array().cast("array<string>").alias("found"))
 
+    code = lambda x: F.call_function("shiftright", x, F.lit(32))
+
     def matched(left, sequence):
         """What a rule matches, one time after the other."""
-        met = lambda seen, x: F.call_function("shiftright", x, F.lit(32)) == F.get(sequence, seen["n"] % F.size(sequence))
-        add = lambda seen, x: F.when(met(seen, x), F.struct((seen["n"] + 1).alias("n"), F.array_append(seen["own"], x).alias("own"))).otherwise(seen)
-        none = F.struct(F.lit(0).alias("n"), F.array().cast("array<bigint>").alias("own"))
-        return F.aggregate(left, none, add, lambda seen: F.slice(seen["own"], 1, seen["n"] - seen["n"] % F.size(sequence)))
+        met = lambda seen, x: code(x) == F.get(sequence, seen["n"] % F.size(sequence))
+        state = lambda n, full, own: F.struct(n.alias("n"), full.alias("full"), own.alias("own"))
+        none = F.array().cast("array<bigint>")
+
+        def add(seen, x):
+            whole = F.size(seen["own"]) >= BLOCK
+            full = F.when(whole, F.array_append(seen["full"], seen["own"])).otherwise(seen["full"])
+            own = F.when(whole, F.array(x)).otherwise(F.array_append(seen["own"], x))
+            return F.when(met(seen, x), state(seen["n"] + 1, full, own)).otherwise(seen)
+
+        all_of = lambda seen: F.concat(F.flatten(seen["full"]), seen["own"])
+        start = state(F.lit(0), F.array().cast("array<array<bigint>>"), none)
+        several = F.aggregate(left, start, add, lambda seen: F.slice(all_of(seen), 1, seen["n"] - seen["n"] % F.size(sequence)))
+        one = F.filter(left, lambda x: code(x) == sequence[0])
+        return F.when(F.size(sequence) == 1, one).when(F.exists(left, lambda x: code(x) == sequence[0]), several).otherwise(none)
 
     def step(state, rule):
         without = lambda own: F.struct(F.array_except(state["left"], own).alias("left"), F.array_append(state["found"], rule["name"]).alias("found"))

@@ -13,20 +13,30 @@ def _quoted(text: str) -> str:
 
 
 def licence_scan() -> str:
-    """Sentences by list functions, then one nested select for each rule."""
-    plain = "lower(coalesce(text, ''))"
+    """Sentences by one search in the lines of a piece, then one nested select for each rule, as a pattern over the identifiers' names."""
+    piece = "p"
+    for pattern, to in licenses.ENDS:
+        piece = f"regexp_replace({piece}, {_quoted(pattern)}, {_quoted(to.replace('$', chr(92)))}, 'g')".replace("\n", "' || chr(10) || '")
     bare = r"regexp_replace(regexp_replace(x, '[^a-z0-9.]+', ' ', 'g'), '(^|\s)\.+|\.+($|\s)', ' ', 'g')"
-    cues = " OR ".join(f"contains(x, {_quoted(c)})" for c in licenses.CUES)
-    known = ", ".join(f"{_quoted(s)}: {_quoted(i)}" for s, i in licenses.SENTENCES.items())
-    out = f"""SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS rest, CAST([] AS VARCHAR[]) AS found FROM (
-      SELECT doc_id, list_transform(list_filter(
-          list_transform(regexp_split_to_array({plain}, '\\n|\\.[^a-z0-9\\s]*\\s'), lambda x: trim(regexp_replace({bare}, ' +', ' ', 'g'))),
-          lambda x: {cues}), lambda x: coalesce(MAP {{{known}}}[x], '?')) AS ids
-      FROM documents) s"""
+    marks = r"^(?:[0-9]{1,2}|[a-z]|i{2,3}) (redistribution|neither |the )"
+    line = f"regexp_replace(trim(regexp_replace({bare}, ' +', ' ', 'g')), '{marks}', '\\1')"
+    cues = lambda x: " OR ".join(f"contains({x}, {_quoted(c)})" for c in licenses.CUES)
+    known, tags = (", ".join(f"{_quoted(s)}: {_quoted(i)}" for s, i in entries.items()) for entries in (licenses.SENTENCES, licenses.TAGS))
+    tag = _quoted(licenses.TAG)
+    named = f"""CASE WHEN starts_with(x, {tag}) THEN list_transform(regexp_split_to_array(replace(substr(x, {len(licenses.TAG) + 1}), ' or later', ' orlater'),
+        ' (?:and|or|with) '), lambda t: coalesce(MAP {{{tags}}}[t], '?')) ELSE [coalesce(MAP {{{known}}}[regexp_replace(x, '^.* nor the names of ', 'nor the names of ')], '?')] END"""
+    out = f"""WITH pieces AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\.[^a-z0-9\\s]*\\s|\\n\\n+'),
+        lambda x: {cues('x')} OR contains(x, 'free') OR contains(x, 'rights')) AS pieces FROM documents),
+    lines AS (SELECT doc_id, list_transform(pieces, lambda p: array_to_string(list_transform(string_split({piece}, chr(10)), lambda x: {line}), chr(10))) AS pieces FROM pieces),
+    found AS (SELECT doc_id, list_filter(list_transform(flatten(list_transform(pieces, lambda p: regexp_extract_all(p, {_quoted(licenses.LINES)}))),
+        lambda x: translate(x, chr(10), ' ')), lambda x: {cues('x')}) AS sentences FROM lines),
+    named AS (SELECT doc_id, flatten(list_transform(sentences, lambda x: {named})) AS ids FROM found)
+    SELECT doc_id, ids, array_to_string(list_transform(ids, lambda i: '<' || i || '>'), '') AS rest, CAST([] AS VARCHAR[]) AS found FROM named"""
     for name, sequence in licenses.RULES:
-        part = _quoted(f",{sequence},")
-        out = f"""SELECT doc_id, ids, replace(replace(rest, {part}, ','), {part}, ',') AS rest,
-          CASE WHEN contains(rest, {part}) AND NOT list_contains(found, {_quoted(name)}) THEN list_append(found, {_quoted(name)}) ELSE found END AS found
+        names = [re.escape(f"<{i}>").replace("\\ ", " ") for i in sequence.split(",")]
+        part, between = _quoted("(.*?)".join(names)), _quoted("".join(f"\\{n}" for n in range(1, len(names))))
+        out = f"""SELECT doc_id, ids, regexp_replace(rest, {part}, {between}, 'g') AS rest,
+          CASE WHEN regexp_matches(rest, {part}) AND NOT list_contains(found, {_quoted(name)}) THEN list_append(found, {_quoted(name)}) ELSE found END AS found
           FROM ({out}) r"""
     return f"""SELECT doc_id, array_to_string(ids, ',') AS sentences, array_to_string(found, ',') AS licences,
       CAST(len(list_filter(ids, lambda x: x = '?')) AS BIGINT) AS n_unknown FROM ({out}) q"""

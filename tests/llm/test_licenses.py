@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,16 +15,44 @@ def plain(sentence):
     return re.sub(" +", " ", re.sub(r"(^|\s)\.+|\.+($|\s)", " ", spaced)).strip(" ")
 
 
+NAMES = r"(?:the\s+)?(?:(?:mit|apache|bsd|isc|zlib|boost\s+software|mozilla\s+public|eclipse\s+public|gnu\s+(?:lesser\s+|affero\s+)?general\s+public)\s+licen[cs]e|cc(?:\s+|-)by)"
+
+
+def lines_of(piece):
+    """The normalised lines of what lies between two full stops."""
+    piece = re.sub(r"(https?://\S+)[ \t]", r"\1\n", piece)
+    piece = re.sub(r"([;:][^a-z0-9\s]*)[ \t]", r"\1\n", piece)
+    piece = re.sub(rf"\s(?:and|or)\s+({NAMES})", r"\nlicensed under \1", piece)
+    piece = re.sub(r"spdx-license-identifier:\s*", "\nspdx license identifier ", piece)
+    return [re.sub(r"^(?:[0-9]{1,2}|[a-z]|i{2,3}) (?=redistribution|neither |the )", "", plain(x)) for x in piece.split("\n")]
+
+
 def by_hand(text):
+    """Known sentences by trying every run of lines, rules by one walk over the identifiers after the other."""
     ids = []
-    for s in re.split(r"\n|\.[^a-z0-9\s]*\s", (text or "").lower()):
-        if any(c in plain(s) for c in licenses.CUES):
-            ids.append(licenses.SENTENCES.get(plain(s), "?"))
-    left, found = f",{','.join(ids)},", []
+    for piece in re.split(r"\.[^a-z0-9\s]*\s|\n\n+", (text or "").lower()):
+        lines, at = lines_of(piece), 0
+        while at < len(lines):
+            for end in range(len(lines), at, -1):
+                run = " ".join(lines[at:end])
+                own = re.sub(r"^.*\bnor (?=the names of\b)", "nor ", run)
+                if "" not in lines[at:end] and own in licenses.SENTENCES or end == at + 1:
+                    break
+            if run.startswith("spdx license identifier "):
+                names = {n.lower().replace("-", " "): f"Tag {n}" for n in licenses.TAGGED}
+                ids += [names.get(t, "?") for t in re.split(" (?:and|or(?! later)|with) ", run[24:])]
+            elif any(c in run for c in licenses.CUES):
+                ids.append(licenses.SENTENCES.get(own, "?"))
+            at = end
+    left, found = list(enumerate(ids)), []
     for name, sequence in licenses.RULES:
-        if f",{sequence}," in left:
-            left = left.replace(f",{sequence},", ",").replace(f",{sequence},", ",")
-            found += [name] * (name not in found)
+        wanted, own = sequence.split(","), []
+        for x in left:
+            if x[1] == wanted[len(own) % len(wanted)]:
+                own.append(x)
+        own = own[: len(own) - len(own) % len(wanted)]
+        left = [x for x in left if x not in own]
+        found += [name] * (bool(own) and name not in found)
     return ids, found
 
 
@@ -56,7 +85,7 @@ def test_sentences_are_normalised_and_speak_of_licences():
     for sentence, name in licenses.SENTENCES.items():
         assert plain(sentence) == sentence and any(c in sentence for c in licenses.CUES)
     named = {i for _, s in licenses.RULES for i in s.split(",")}
-    assert named <= set(licenses.SENTENCES.values())
+    assert named <= {*licenses.SENTENCES.values(), *licenses.TAGS.values()}
 
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
@@ -167,6 +196,60 @@ def test_full_texts_with_other_sentences_between(table):
         assert ",".join(r["found"]) == FULL[r["text"]], r["text"]
 
 
+NOTICES = {
+    APACHE.replace("\n#", ""): "Apache-2.0",
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.': "Apache-2.0",
+    "Licensed under the MIT license; see the LICENSE file.": "MIT",
+    "Licensed under CC BY 4.0 and the MIT license.": "MIT,CC-BY-4.0",
+    "Released under the MIT License or the\nApache License, Version 2.0": "Apache-2.0,MIT",
+    "A web server such as nginx and Apache has no license": "",
+    "SPDX-License-Identifier: MIT": "MIT",
+    "SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 OR LGPL-3.0-or-later": "GPL-2.0-or-later,LGPL-3.0-or-later",
+    "/* SPDX-License-Identifier: GPL-2.0-only */ ": "GPL-2.0",
+    "# spdx-license-identifier: (MIT OR Apache-2.0) AND Own-1.0\ncode": "Apache-2.0,MIT",
+    GPL.replace(" as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.", "\n * version 2 as published by the Free Software Foundation."): "GPL-2.0",
+    GPL.replace("either version 3 of the License, or\n * (at your option) any later version", "version 3 of the License"): "GPL-3.0",
+    MIT.replace("\n", " "): "MIT",
+}
+
+
+def test_notices_on_one_line_and_tags(table):
+    df = table("text string", *((t,) for t in NOTICES)).withColumn("found", licenses.licences(licenses.sentence_ids(F.col("text"))))
+    for r in df.collect():
+        assert ",".join(r["found"]) == NOTICES[r["text"]], r["text"]
+    ids = table("text string", *((t,) for t in NOTICES)).select("text", licenses.sentence_ids(F.col("text")).alias("ids")).collect()
+    assert {r["text"]: ",".join(r["ids"]) for r in ids}[APACHE.replace("\n#", "")].replace("?,", "") == "Apache2Head,Apache2Use,Apache2Copy,Apache2Warranty,Apache2See"
+
+
+def test_all_of_these_by_hand_and_in_sql(spark, table, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    texts = [*TEXTS, *WRAPPED, *FULL, *NOTICES, None, "", " \n\n.", *(f"{a}\n\n{b}" for a in WRAPPED for b in (BSD + ENDORSE, GPL, MIT))]
+    texts += [f"{a} {b}" for a in NOTICES for b in NOTICES]
+    table("doc_id bigint, text string, ids int", *((n, t, 1) for n, t in enumerate(texts))).write.parquet(str(tmp_path / "documents.parquet"))
+    df = QUERIES["op10_licenses"](spark, str(tmp_path))
+    mine = {r["doc_id"]: tuple(r) for r in df.collect()}
+    for n, text in enumerate(texts):
+        ids, found = by_hand(text)
+        assert mine[n] == (n, ",".join(ids), ",".join(found), ids.count("?")), text
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(con.sql(SQL["op10_licenses"]).fetchall()) == sorted(mine.values())
+
+
+def test_very_long_texts_take_linear_time(table):
+    def seconds(n):
+        text = "Licensed under the MIT License\n" * n + "Permission is hereby granted, free of license\n" * n + MIT * (n // 20)
+        df = table("text string", (text,)).select(licenses.sentence_ids(F.col("text")).alias("ids"))
+        begun = time.perf_counter()
+        r = df.select(F.size("ids").alias("n"), licenses.licences(F.col("ids")).alias("found")).collect()[0]
+        assert r["n"] >= 2 * n and r["found"] == ["MIT"]
+        return time.perf_counter() - begun
+
+    seconds(1000)
+    small, large = seconds(4000), seconds(32000)
+    assert large < 3 * 8 * max(small, 0.5)
+
+
 def test_rules_take_out_what_they_match(table):
     bsd = ["BSDGrant", "BSDSource", "BSDBinary"]
     rows = [

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadkeeper.functions.text import fold
 from loadkeeper.operators.report import unknown_names
 
 
@@ -88,3 +89,39 @@ def check_names(names: str | None, known: DataFrame, col: str, message: str = "t
     unknown = sorted(r["name"] for r in unknown_names(listed, known, col).collect())
     repeated = len({n.rstrip(" ").lower() for n in given}) != len(given)
     require(not unknown and not repeated, message, ",".join(unknown))
+
+
+def date_message(etl_start: Column, last_run: Column, current_run: Column) -> Column:
+    """The message of the first date check that fails, or NULL; the two runs are texts, an empty one is no date."""
+    last, current = (c.try_cast("timestamp_ntz") for c in (last_run, current_run))
+    say = lambda name: F.lit(MESSAGES[name])
+    return (
+        F.when(last_run.isNotNull() & last.isNull(), say("last run"))
+        .when(current_run.isNotNull() & current.isNull(), say("current run"))
+        .when(etl_start.isNull() & current.isNull(), say("no start"))
+        .when(last > current, say("last after current"))
+        .when(current > etl_start, say("current after start"))
+        .when(last > etl_start, say("last after start"))
+    )
+
+
+def verdicts(requests: DataFrame, batches: DataFrame, items: DataFrame) -> DataFrame:
+    """Requested runs (batch_id, source_id, job_id, status, is_rerun, etl_start, last_run, current_run) with the
+    ``message`` of the first check each fails, NULL for an accepted one, and the ``code`` of a failure.
+
+    The form of the checks above for many requests at once: known batches and steps are distinct keys before they are joined.
+    """
+    known = batches.select("batch_id").distinct().withColumn("_batch", F.lit(True))
+    steps = items.select("source_id", "job_id").distinct().withColumn("_step", F.lit(True))
+    say = lambda name: F.lit(MESSAGES[name])
+    message = (
+        F.when(F.coalesce("batch_id", F.lit(0)) == 0, say("no batch"))
+        .when(F.col("_batch").isNull(), say("unknown batch"))
+        .when(F.col("_step").isNull(), say("source step"))
+        .when(~F.col("is_rerun").isin(0, 1), say("rerun flag"))
+        .when(~F.coalesce(fold("status").isin("success", "failed"), F.lit(False)), say("status"))
+        .otherwise(date_message(F.col("etl_start"), F.col("last_run"), F.col("current_run")))
+    )
+    joined = requests.join(known, "batch_id", "left").join(steps, ["source_id", "job_id"], "left")
+    judged = joined.withColumn("message", message).select(*requests.columns, "message")
+    return judged.withColumn("code", F.when(F.col("message").isNotNull(), ParameterError.code))

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadkeeper.operators.tables import last_changes
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -160,15 +162,21 @@ def map_columns(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.select(*out)
 
 
-def upsert(target: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
+def _one_change(changes: DataFrame, key: Sequence[str], rest: Sequence[str], order: Sequence[str]) -> DataFrame:
+    if order:
+        return last_changes(changes, key, rest, order, "_new")
+    return changes.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_new"))
+
+
+def upsert(target: DataFrame, changes: DataFrame, key: Sequence[str], *, order: Sequence[str] = ()) -> DataFrame:
     """The target after inserting new keys and overwriting known ones, with ``action`` per row.
 
-    Of several changes of one key the smallest row counts, compared column by column (see
-    ``keep_first`` for another choice). Actions: insert, update, same, keep.
+    Of several changes of one key the last by ``order`` counts (see ``tables.last_changes``), columns that the target need
+    not have; without an order the smallest row, compared column by column. Actions: insert, update, same, keep.
     """
     rest = [c for c in target.columns if c not in key]
     old = target.select(*key, F.struct(*rest).alias("_old"))
-    new = changes.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_new"))
+    new = _one_change(changes, key, rest, order)
     action = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "keep")
@@ -191,18 +199,18 @@ def upsert_counts(result: DataFrame) -> DataFrame:
 
 
 def upsert_history(
-    target: DataFrame, changes: DataFrame, key: Sequence[str], *, now: Column, valid_from="valid_from", valid_to="valid_to"
+    target: DataFrame, changes: DataFrame, key: Sequence[str], *, now: Column, valid_from="valid_from", valid_to="valid_to", order: Sequence[str] = ()
 ) -> DataFrame:
     """The target with row history: changed rows are closed at ``now`` and follow as new open rows.
 
     ``target`` carries the validity columns; open rows have a NULL end. Closed rows pass through. Of
-    several changes of one key the smallest row counts.
+    several changes of one key the last by ``order`` counts, without an order the smallest row.
     """
-    rest = [c for c in changes.columns if c not in key]
+    rest = [c for c in changes.columns if c not in key and not (c in order and c not in target.columns)]
     closed = target.filter(F.col(valid_to).isNotNull())
     current = target.filter(F.col(valid_to).isNull())
     old = current.select(*key, F.struct(*rest).alias("_old"), F.col(valid_from).alias("_since"))
-    new = changes.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_new"))
+    new = _one_change(changes, key, rest, order)
     changed = F.col("_new").isNotNull() & ~F.col("_old").eqNullSafe(F.col("_new"))
     end = F.when(changed, now)
     # A changed row leaves two versions, the closed old one and the open new one.

@@ -15,8 +15,16 @@ from loadkeeper.operators.joins import not_in, paged_text
 PLAN = ["batch_id", "datasetid", "execution_sequence"]
 
 
+def one_spelling(config: DataFrame, column: str = "datasetid") -> DataFrame:
+    """The config with one spelling for names that only differ in case or trailing blanks: the smallest of them."""
+    spelled = config.groupBy(fold(column).alias("_folded")).agg(F.min(column).alias("_one"))
+    same = config.withColumn("_folded", fold(column)).join(spelled, "_folded", "left")
+    return same.withColumn(column, F.coalesce("_one", column)).select(*config.columns)
+
+
 def for_batches(config: DataFrame, batches: Sequence[int]) -> DataFrame:
-    """The enabled config entries once per dataset batch; a dataset batch covers all sources."""
+    """The enabled config entries once per dataset batch, datasets in one spelling; a dataset batch covers all sources."""
+    config = one_spelling(config)
     ids = F.array(*[F.lit(b).cast("bigint") for b in batches])
     return config.filter("enabled").withColumn("batch_id", F.explode(ids))
 
@@ -94,6 +102,7 @@ def quarters(config: DataFrame) -> DataFrame:
     """
     number = F.expr("try_cast(quarter_name AS bigint)")
     enabled_name = F.when(F.col("enabled"), fold("quarter_name"))
+    config = one_spelling(config)
     limits = config.groupBy("datasetid").agg(F.countDistinct(enabled_name).alias("_limit"))
     return (
         config.select("datasetid", number.alias("quarter"))
@@ -110,13 +119,14 @@ def quarter_entries(config: DataFrame, batches: Sequence[int]) -> DataFrame:
 
 
 def recalc_entries(config: DataFrame, log: DataFrame, batches: Sequence[int]) -> DataFrame:
-    """Distinct tables to recalculate, per batch, dataset and sequence."""
+    """Distinct tables to recalculate, per batch, dataset and sequence; of several spellings of a table the smallest."""
     rows = open_entries(config, log, batches).filter(fold("recalc_consider") == "y")
-    return rows.select(*PLAN, "table_name").distinct()
+    return rows.groupBy(*PLAN, fold("table_name").alias("_folded")).agg(F.min("table_name").alias("table_name")).drop("_folded")
 
 
 def dataset_heads(config: DataFrame, by: Sequence[str] = ("datasetid",)) -> DataFrame:
     """Per dataset: its first domain with that row's group, and its parallelism setting."""
+    config = one_spelling(config)
     row = F.when(F.col("domain_id").isNotNull(), F.struct("domain_id", "groupid"))
     heads = config.groupBy(*by).agg(F.min(row).alias("_head"), F.min("maxparallelism").alias("maxparallelism"))
     return heads.select(*by, F.col("_head.domain_id").alias("job_object_id"), F.col("_head.groupid").alias("groupid"), "maxparallelism")
@@ -148,6 +158,9 @@ def full_payload(
     group = [*PLAN, *by]
     pages = paged_text(entries, group, key=entry_text(), text=entry_text(), page_rows=max_objects, sep=",")
     if asked is not None:
+        # asked for in any spelling
+        names = one_spelling(config).select(fold("datasetid").alias("_folded"), F.col("datasetid").alias("_one")).distinct()
+        asked = asked.withColumn("_folded", fold("datasetid")).join(names, "_folded", "left").withColumn("datasetid", F.coalesce("_one", "datasetid"))
         pages = asked.select(*group).distinct().join(pages, group, "left")
         pages = pages.withColumns({"page": F.coalesce("page", F.lit(0).cast("bigint")), "body": F.coalesce("body", F.lit(""))})
     parallel = F.concat(F.lit(FULL_PARALLEL), F.col("maxparallelism"), F.lit(FULL_PARALLEL_REST))
@@ -172,9 +185,9 @@ def quarter_plan(config: DataFrame, batches: Sequence[int], *, max_objects: int
     requests = full_payload(quarter_entries(config, batches), config, by=["quarter"], max_objects=max_objects)
     sequences = for_batches(config, batches).select(*PLAN).distinct()
     wanted = sequences.join(quarters(config), "datasetid")
-    number = config.withColumn("quarter", F.expr("try_cast(quarter_name AS bigint)"))
+    number = one_spelling(config).withColumn("quarter", F.expr("try_cast(quarter_name AS bigint)"))
     heads = dataset_heads(number, ["datasetid", "quarter"]).drop("maxparallelism")
-    settings = config.groupBy("datasetid").agg(F.min("maxparallelism").alias("maxparallelism"))
+    settings = one_spelling(config).groupBy("datasetid").agg(F.min("maxparallelism").alias("maxparallelism"))
     parallel = F.concat(F.lit(FULL_PARALLEL), F.col("maxparallelism"), F.lit(FULL_PARALLEL_REST))
     head = F.when(fold("maxparallelism") != NO_PARALLEL, parallel).otherwise(F.lit(FULL_PLAIN))
     return (

@@ -8,15 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def update_rows(table: DataFrame, changes: DataFrame, key: Sequence[str] | str) -> DataFrame:
+def last_changes(changes: DataFrame, key: Sequence[str], columns: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """One row per key: ``columns`` of its change with the greatest ``order``, as a struct.
+
+    A change without an order value comes before all with one; of equal ones the largest row counts, compared
+    column by column. The maximum is taken before and after the shuffle, so a key of many changes costs a row a task.
+    """
+    best = F.max(F.struct(*order, F.struct(*columns).alias("_row")))
+    return changes.groupBy(*key).agg(best.getField("_row").alias(name))
+
+
+def update_rows(table: DataFrame, changes: DataFrame, key: Sequence[str] | str, *, order: Sequence[str] = ()) -> DataFrame:
     """``table`` with the non-key columns of ``changes`` put in where the key matches.
 
     A NULL in the change is written as NULL; NULL key parts match nothing. Of several changes of one
-    key the largest row counts, compared column by column.
+    key the last by ``order`` counts, and without an order the largest row, compared column by column. Order columns that
+    the table does not have are not put in.
     """
     key = [key] if isinstance(key, str) else list(key)
-    new = [c for c in changes.columns if c not in key]
-    one = changes.groupBy(*key).agg(F.max(F.struct(*new)).alias("_new")) if new else changes.select(*key).distinct()
+    new = [c for c in changes.columns if c not in key and not (c in order and c not in table.columns)]
+    one = last_changes(changes, key, new, order, "_new") if new else changes.select(*key).distinct()
     marked = one.select(*key, *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in new], F.lit(True).alias("_hit"))
     joined = table.join(marked, key, "left")
     return joined.select(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadkeeper.functions import clock, text
-from loadkeeper.operators import batch, changes, gates, quality, recon, refresh, report, tables, window, worklist
+from loadkeeper.operators import batch, changes, checks, gates, quality, recon, refresh, report, tables, window, worklist
 from loadkeeper.operators.joins import Pieces
 from loadkeeper.plans import journal, lifecycle, worklists
 from loadkeeper.plans.extract import filter_codes, raw_extract
@@ -1124,3 +1124,69 @@ def upsert_counts(t):
 def delete_by_identifier(t):
     rows = quality.delete_rows(t.log, "status = 'failed'")
     return rows.groupBy("batch_id", "status").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def upsert_latest(t):
+    """Lines since 1996 as changes of what each supplier last delivered of a part; of many changes the last shipped counts."""
+    columns, key = ["l_partkey", "l_suppkey", "l_quantity", "l_returnflag"], ["l_partkey", "l_suppkey"]
+    order = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    old = t.lineitem.filter("l_shipdate < TIMESTAMP_NTZ '1997-01-01 00:00:00'")
+    target = tables.last_changes(old, key, columns[2:], order, "row").select(*key, "row.*")
+    changed = t.lineitem.filter("l_shipdate >= TIMESTAMP_NTZ '1996-01-01 00:00:00'").select(*columns, *order)
+    return quality.upsert(target, changed, key, order=order)
+
+
+@query
+def parameter_checks(t):
+    """A requested run per order, judged by the known batches and steps, its flags and dates."""
+    number, day = F.col("o_orderkey"), F.col("o_orderdate")
+    text_of = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    requests = t.orders.select(
+        F.col("o_orderkey").alias("request_id"),
+        F.when(number % 17 != 0, number % 14).alias("batch_id"),
+        (number % 7).alias("source_id"),
+        (number % 5 + 1).alias("job_id"),
+        F.when(number % 11 == 0, "running").when(number % 3 == 0, "Failed ").otherwise("success").alias("status"),
+        F.when(number % 23 == 0, 2).when(number % 2 == 0, 1).alias("is_rerun"),
+        F.when(F.col("o_orderstatus") != "P", day).alias("etl_start"),
+        F.when(number % 13 == 0, "yesterday").when(number % 4 != 0, text_of(day + F.expr("make_dt_interval(CAST(o_orderkey % 9 AS INT) - 7)"))).alias("last_run"),
+        F.when(number % 19 == 0, "31.12.").when(number % 5 != 0, text_of(day + F.expr("make_dt_interval(CAST(o_orderkey % 8 AS INT) - 5)"))).alias("current_run"),
+    )
+    judged = checks.verdicts(requests, t.batches, t.items)
+    return judged.select("request_id", "message", "code")
+
+
+def _mapping(t):
+    """The mapping rows of three order columns, as the metadata table holds them."""
+    schema = SCHEMAS["object_column_mapping"]
+    flags = {
+        "o_orderkey": {"is_nullable": "N", "range_expression": "o_orderkey % 97 <> 0", "range_key_flag": 1},
+        "o_orderstatus": {"null_check_nk_combination_flag": 1, "alphanumeric_key_flag": 1},
+        "o_clerk": {"null_check_nk_combination_flag": 1, "length": 14, "length_key_flag": 1},
+    }
+    rows = [
+        {"col_mapping_key": n, "job_object_id": 1, "object_id": 1, "actv_flg": "Y", "source_column_name": c, "target_column_name": c, "column_id": n} | more
+        for n, (c, more) in enumerate(flags.items(), 1)
+    ]
+    return t.orders.sparkSession.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
+
+
+def _mapped(t):
+    """Orders checked by their mapping rows and written once, the failed ones apart."""
+    gone = lambda c, value: F.when(F.col(c) != value, F.col(c)).alias(c)
+    clerk = F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("Clerk#"), F.col("o_custkey").cast("string"), F.lit("-"), F.substring("o_orderpriority", 1, 5)))
+    orders = t.orders.select("o_orderkey", gone("o_orderstatus", "O"), clerk.alias("o_clerk"))
+    checked = quality.quality_errors(orders, quality.rules_from(_mapping(t)))
+    return quality.write_checked(checked, f"{scratch_dir(t.orders.sparkSession)}/checked-{uuid.uuid4().hex}")
+
+
+@query
+def dq_mapped_rejects(t):
+    _, rejected, _ = _mapped(t)
+    return rejected.select("o_orderkey", F.concat_ws(",", "dq_errors").alias("dq_errors"))
+
+
+@query
+def dq_mapped_counts(t):
+    return _mapped(t)[2]

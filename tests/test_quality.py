@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from loadkeeper.operators import checks, quality
+from loadkeeper.operators import checks, quality, tables
 from loadkeeper.operators.quality import Rule
 
 
@@ -142,3 +142,40 @@ def test_null_combination(table, rows):
     df = table("a int, b int", (None, None), (1, None), (None, 2))
     _, bad = quality.quality_split(df, [Rule("a", null_combination=True), Rule("b", null_combination=True)])
     assert rows(bad) == [(None, None, ["NullCheckError:a+b"])]
+
+
+def test_of_several_changes_the_last_by_order_counts(table, rows):
+    target = table("k int, v string", (1, "a"), (2, "b"))
+    changes = table("k int, v string, at int", (1, "z", 1), (1, "c", 3), (1, "d", 2), (2, "x", None), (2, "b", 1), (3, None, 1), (3, "q", 1))
+    got = quality.upsert(target, changes, ["k"], order=["at"])
+    assert rows(got, "k", "v", "action") == [(1, "c", "update"), (2, "b", "same"), (3, "q", "insert")]
+    assert rows(tables.update_rows(target, changes, "k", order=["at"])) == [(1, "c"), (2, "b")]
+    dated = table("k int, v string, valid_from timestamp_ntz, valid_to timestamp_ntz", (1, "a", dt.datetime(2024, 1, 1), None))
+    now = F.lit("2024-02-01").cast("timestamp_ntz")
+    history = quality.upsert_history(dated, changes, ["k"], now=now, order=["at"])
+    assert rows(history.filter("valid_to IS NULL"), "k", "v") == [(1, "c"), (2, "b"), (3, "q")]
+    assert history.count() == 4
+
+
+def test_requests_get_the_message_a_single_check_raises(table):
+    batches, items = table("batch_id bigint", (1,), (1,)), table("source_id bigint, job_id bigint", (1, 2), (1, 2))
+    day = dt.datetime(2024, 1, 5)
+    schema = "n int, batch_id bigint, source_id bigint, job_id bigint, status string, is_rerun int, etl_start timestamp_ntz, last_run string, current_run string"
+    good = (1, 1, 2, "Success ", 0, day, "2024-01-01", "2024-01-04 10:00:00")
+    odd = [
+        good, (None, *good[1:]), (0, *good[1:]), (9, *good[1:]), (1, 1, None, *good[3:]), (*good[:3], None, *good[4:]), (*good[:3], "done", *good[4:]),
+        (*good[:4], 2, *good[5:]), (*good[:4], None, *good[5:]), (*good[:6], "x", None), (*good[:7], "x"), (*good[:5], None, None, None),
+        (*good[:5], None, "2024-01-05", "2024-01-04"), (*good[:7], "2024-01-06"), (*good[:6], "2024-01-06", None),
+    ]
+    got = {r["n"]: (r["message"], r["code"]) for r in checks.verdicts(table(schema, *((n, *r) for n, r in enumerate(odd))), batches, items).collect()}
+    for n, (batch_id, source_id, job_id, status, rerun, start, last, current) in enumerate(odd):
+        try:
+            checks.check_batch(batches, batch_id)
+            checks.check_source_step(items, source_id or -1, job_id or -1)
+            checks.check_flag(rerun)
+            checks.check_status(status or "")
+            checks.check_dates(start, last, current)
+            expected = (None, None)
+        except checks.ParameterError as e:
+            expected = (str(e), e.code)
+        assert got[n] == expected, odd[n]

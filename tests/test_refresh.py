@@ -92,3 +92,17 @@ def test_recalculation(table):
     config = table(CONFIG, entry(1, recalc="y"), entry(1, recalc="Y"), entry(2), entry(3, recalc="Y"))
     row = refresh.calculate_payload(refresh.recalc_entries(config, table(LOG, (1, 30, "success")), [1])).first()
     assert row["final_body_recalc"] == '{"type":"calculate","objects":[{"table":"t1"}]}'
+
+
+def test_a_dataset_in_two_spellings_is_one(table):
+    config = table(CONFIG, entry(1, "Sales"), entry(2, "sales "), entry(3, "SALES", enabled=False), entry(4, "other", recalc="Y"), entry(5, None))
+    log = table(LOG)
+    found = refresh.dataset_list(config, log, [1], saturday=False).collect()
+    assert sorted(str(r["datasetid"]) for r in found) == ["None", "SALES", "other"]
+    entries = refresh.plan_entries(config, log, [1])
+    asked = table("batch_id bigint, datasetid string, execution_sequence string", (1, "sales", "1"), (1, "Sales ", "1"))
+    for rows in (refresh.full_payload(entries, config), refresh.full_payload(entries, config, asked=asked)):
+        body = {r["datasetid"]: r["final_body"] for r in rows.collect()}
+        assert [o["table"] for o in json.loads(body["SALES"])["objects"]] == ["t1", "t2"]
+    twice = table(CONFIG, entry(1, recalc="Y"), tuple("T1 " if v == "t1" else v for v in entry(1, "D", recalc="y")), entry(2, recalc="Y"))
+    assert names(refresh.recalc_entries(twice, log, [1])) == ["T1 ", "t2"]

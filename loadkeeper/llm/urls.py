@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadkeeper.llm.shared import LOWER, UPPER, cut
+from loadkeeper.operators.joins import spread_join
 
 DEPTH = 6
 #: More children than MANY, seen fewer than SELDOM times each on average, are one variable segment.
@@ -147,6 +148,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
     rows = rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("segments", shape(F.col("path")))
     own = reduce(lambda out, r: F.when(F.col("rule") == r[0], F.lit(r[1])).otherwise(out), rules, F.lit(None).cast("string"))
     found = templates(rows.select("host", "path", own.alias("verdict")))
-    joined = rows.join(found, ["host", "segments"])
+    # one host and shape may have a large share of all pages
+    joined = spread_join(rows, found, ["host", "segments"], salt=F.hash("page_id", "path"), how="inner")
     verdict = F.coalesce(own, F.when(F.col("blocks"), "block").otherwise("allow"))
     return joined.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "template", "purity")

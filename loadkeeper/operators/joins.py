@@ -47,6 +47,15 @@ def not_in(left: DataFrame, right: DataFrame, key: str, by: Sequence[str] = (),
     )
 
 
+def shuffled(rows: DataFrame) -> DataFrame:
+    """A side of a join that is as large as the tables it is made of: shuffled by the key and sorted, never sent whole to every task.
+
+    Sizes are estimated from compressed files and know nothing of rows that one row becomes, so a side of many million rows
+    can look small enough to be broadcast, which takes it through the driver.
+    """
+    return rows.hint("merge")
+
+
 def tasks_of(rows: DataFrame) -> int:
     """How many tasks a shuffle of these rows may have side by side."""
     spark = rows.sparkSession

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loadkeeper.functions.clock import duration_text, hours_minutes, seconds_between
 from loadkeeper.functions.text import fold, same
 from loadkeeper.operators.gates import ITEM, SUCCESS
-from loadkeeper.operators.joins import Pieces, paged_text, spread_join, tasks_of
+from loadkeeper.operators.joins import Pieces, paged_text, shuffled, spread_join, tasks_of
 from loadkeeper.operators.worklist import for_runs
 
 RUN = ["batch_id", "source_id", "job_id"]
@@ -31,7 +31,7 @@ def run_summary(log: DataFrame, by: Sequence[str] = (*RUN, "status")) -> DataFra
 
 def run_items(log: DataFrame, items: DataFrame) -> DataFrame:
     """Log rows with their work item; source and step must agree on both sides."""
-    return log.join(items, [ITEM, "source_id", "job_id"])
+    return log.join(shuffled(items), [ITEM, "source_id", "job_id"])
 
 
 def success_detail(log: DataFrame, items: DataFrame, objects: DataFrame, *, null_counts_as_zero: bool = False) -> DataFrame:
@@ -41,9 +41,10 @@ def success_detail(log: DataFrame, items: DataFrame, objects: DataFrame, *, null
     chosen = items.filter(F.col("enabled") == 1).select(
         ITEM, "source_id", "job_id", "object_id", "source_object_name", "target_object_name", "execution_sequence"
     )
+    # Items meet their objects first, so the log, the largest side, is shuffled once.
+    chosen = chosen.join(shuffled(objects.select("object_id", "table_name")), "object_id")
     return (
         run_items(log.filter(same("status", SUCCESS)), chosen)
-        .join(objects.select("object_id", "table_name"), "object_id")
         .select(
             *RUN,
             ITEM,
@@ -83,7 +84,8 @@ def failure_detail(items: DataFrame, objects: DataFrame, log: DataFrame, errors:
     places = log.groupBy(*place).agg(F.max(F.coalesce(same("status", SUCCESS), F.lit(False))).alias("_ok"))
     done = places.filter("_ok").select("batch_id", ITEM).distinct()
     logged = places.select("batch_id", ITEM, "source_id", "job_id", F.col("_ok").isNotNull().alias("_logged"))
-    due = for_runs(chosen, runs).join(done, ["batch_id", ITEM], "left_anti").join(objects.select("object_id", "table_name"), "object_id")
+    due = for_runs(chosen, runs).join(done, ["batch_id", ITEM], "left_anti")
+    due = due.join(shuffled(objects.select("object_id", "table_name")), "object_id")
     known = F.col("_error").isNotNull() | F.coalesce("_logged", F.lit(False))
     return (
         due.join(logged, key, "left")
@@ -105,7 +107,7 @@ def dataset_success(log: DataFrame, config: DataFrame) -> DataFrame:
     rows = log.filter(same("status", SUCCESS)).select(
         "batch_id", F.col(ITEM).alias("id"), "object_start_date", "object_end_date"
     )
-    return rows.join(entries, "id").select(
+    return rows.join(shuffled(entries), "id").select(
         "batch_id", "id", "domain_name", "table_name", F.coalesce("partition_name", F.lit("")).alias("partition_name"),
         duration_text("object_start_date", "object_end_date").alias("time_taken"),
     )
@@ -114,7 +116,7 @@ def dataset_success(log: DataFrame, config: DataFrame) -> DataFrame:
 def dataset_summary(log: DataFrame, config: DataFrame) -> DataFrame:
     """Entries refreshed and time spent per dataset batch."""
     ids = config.filter("enabled").select(F.col("id").alias(ITEM))
-    rows = log.filter(same("status", SUCCESS)).join(ids, ITEM, "left_semi")
+    rows = log.filter(same("status", SUCCESS)).join(shuffled(ids), ITEM, "left_semi")
     return run_summary(rows, by=("batch_id",))
 
 
@@ -164,13 +166,13 @@ def lineage(
     ).agg(F.count("*").alias("_error_rows"))
     mapped = mapping.groupBy(ITEM, F.col("object_id").alias("mapping_object_id")).agg(F.count("*").alias("_mapping_rows"))
     return (
-        error.join(audit, ["batch_id", ITEM])
-        .join(items.select(ITEM, "source_id", "job_id", "object_id"), ITEM)
+        error.join(shuffled(audit), ["batch_id", ITEM])
+        .join(shuffled(items.select(ITEM, "source_id", "job_id", "object_id")), ITEM)
         .join(jobs.select("job_id"), "job_id")
         .join(sources.select("source_id"), "source_id")
-        .join(objects.select("object_id"), "object_id")
+        .join(shuffled(objects.select("object_id")), "object_id")
         .join(batches.select("batch_id", "source_id"), ["batch_id", "source_id"])
-        .join(mapped, ITEM)
+        .join(shuffled(mapped), ITEM)
         .select(
             ITEM, "source_id", "job_id", "object_id", "batch_id", "error_job_id", "error_source_id",
             "log_source_id", "log_job_id", "mapping_object_id",

@@ -194,3 +194,39 @@ def test_file_arrival(table, arrived, verdict):
     assert len(message) == 1 and message[0]["verdict"] == verdict
     if verdict == "name issue":
         assert "metadata: <br/><br/> x<br/><br/> Please" in message[0]["body"]
+
+
+def seven_steps(spark, n=50):
+    """Items as seven rows of each of a few small ones, their objects, and a log: the engine takes all of them for small."""
+    items = spark.range(n).selectExpr("id AS object_id", "explode(sequence(1L, 7L)) AS job_id").selectExpr(
+        "object_id * 7 + job_id AS job_object_id", "1L AS source_id", "job_id", "object_id", "'s' AS source_object_name",
+        "'dim_' || object_id AS target_object_name", "1L AS execution_sequence", "1 AS enabled",
+    )
+    objects = spark.range(n).selectExpr("id AS object_id", "'t' || id AS table_name")
+    log = items.selectExpr(
+        "1L AS batch_id", "source_id", "job_id", "job_object_id", "'success' AS status", "10L AS target_size", "1 AS source_row_count",
+        "1 AS target_row_count", "0 AS rejeted_row_count", "0 AS rejected_duplicate_count",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS object_start_date", "TIMESTAMP_NTZ '2024-01-01 00:01:00' AS object_end_date",
+    )
+    return items, objects, log
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_items_and_objects_never_go_whole_through_the_driver(spark):
+    items, objects, log = seven_steps(spark)
+    detail = report.success_detail(log, items, objects)
+    summary = report.run_summary(report.run_items(log, items.select("job_object_id", "source_id", "job_id")), by=report.RUN)
+    for df in (detail, summary):
+        assert "Broadcast" not in planned(df)
+    assert detail.count() == 350 and sum(r["table_count"] for r in summary.collect()) == 350
+
+
+def test_lineage_broadcasts_steps_sources_and_batches_only(spark):
+    items, objects, log = seven_steps(spark)
+    few = spark.range(1, 8).selectExpr("id AS job_id", "id AS source_id", "id AS batch_id")
+    errors = log.selectExpr("batch_id", "source_id", "job_id", "job_object_id")
+    got = report.lineage(items, few, few, objects, log, errors, items, few)
+    assert planned(got).count("BroadcastExchange") <= 3 and got.count() == 350

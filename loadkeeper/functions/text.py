@@ -49,7 +49,9 @@ def text_length(value: Column | str) -> Column:
 def replace_any_case(value: Column | str, find: str, put: Column | str) -> Column:
     """Replace every occurrence of ``find`` in any case; a NULL replacement gives NULL."""
     put = F.lit(put) if isinstance(put, str) else put
-    literal = F.regexp_replace(put, r"([\\$])", r"\\$1")
+    # a long replacement without the two marks, which is nearly every one, is not searched with a pattern for each row
+    marked = put.contains("\\") | put.contains("$")
+    literal = F.when(marked, F.regexp_replace(put, r"([\\$])", r"\\$1")).otherwise(put)
     return F.regexp_replace(col(value), F.lit("(?i)" + re.escape(find)), literal)
 
 

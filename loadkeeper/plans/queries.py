@@ -251,7 +251,8 @@ def window_query_text_older(t):
 @query
 def code_list_text(t):
     codes = filter_codes(t.packed_codes, t.segment_codes)
-    rows = t.items.filter("source_filter IS NOT NULL")
+    # items come from few splits of a small file; dealt out while they are narrow, before the texts are made
+    rows = t.items.filter("source_filter IS NOT NULL").select("job_object_id", "source_filter").hint("rebalance")
     return rows.select("job_object_id", window.filter_text(codes).alias("filter_text"))
 
 

@@ -127,3 +127,12 @@ def test_month_key(one, value, shown):
 def test_month_keys_cross_the_year(spark):
     keys = clock.month_keys("2023-12-31 10:00:00", -1, 2)
     assert list(spark.range(1).select(*keys).first()) == ["202311", "202312", "202401", "202402"]
+
+
+@pytest.mark.parametrize("put", ["'0001','0002'", "a$1", "b\\\\c", "", "$\\", None])
+def test_a_replacement_is_taken_as_it_is(spark, put):
+    """Marks of patterns are protected, and looked for by a pattern only in texts that hold one."""
+    df = spark.createDataFrame([("x in (@CODE) or @code", put)], "v string, p string").select(text.replace_any_case("v", "@code", F.col("p")).alias("r"))
+    assert df.first()["r"] == (None if put is None else f"x in ({put}) or {put}")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN (Contains(p" in plan or "CASE WHEN (contains(p" in plan.lower()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loadkeeper.functions.clock import EASTERN, Moment, local_day, on_day
 from loadkeeper.functions.text import entry_count, entry_keys, fold, same
-from loadkeeper.operators.joins import not_in
+from loadkeeper.operators.joins import not_in, shuffled
 
 SUCCESS = "success"
 DONE = "Successfully Completed"
@@ -70,8 +70,9 @@ def list_gate_state(
     does not repeat the joins behind ``items``.
     """
     named = all_items.filter(F.col("job_id").isin(*jobs) & (F.col("enabled") == 1))
+    # Sorted joins between the three reductions: a task holds the table of one of them at a time, and what is sorted can spill.
     counts = (
-        done.join(named.select(ITEM, "source_id", fold(name_col).alias("_name")), ITEM)
+        done.join(shuffled(named.select(ITEM, "source_id", fold(name_col).alias("_name"))), ITEM)
         .join(runs.select("batch_id", "source_id").distinct(), ["batch_id", "source_id"], "left_semi")
         .groupBy("batch_id", "source_id", "_name")
         .agg(F.count("*").alias("_n"))
@@ -81,12 +82,12 @@ def list_gate_state(
         asked = asked.filter(F.col("job_id") == job_id)
     met = (
         asked.select("source_id", ITEM, F.explode(entry_keys(list_col)).alias("_name"))
-        .join(counts, ["source_id", "_name"])
+        .join(shuffled(counts), ["source_id", "_name"])
         .groupBy("batch_id", ITEM)
         .agg(F.sum("_n").alias("_met"))
     )
     return (
-        items.join(met, ["batch_id", ITEM], "left")
+        items.join(shuffled(met), ["batch_id", ITEM], "left")
         .withColumn("expected_count", entry_count(list_col).cast("bigint"))
         .withColumn("met_count", F.coalesce("_met", F.lit(0)).cast("bigint"))
         .drop("_met")

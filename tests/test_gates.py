@@ -252,3 +252,17 @@ def test_late_failures_need_the_gate_table(control, table):
 
     assert "There is no failure records" in body()
     assert "<td>T11</td><td>Skipped</td><td></td></tr><tr><td>T12</td>" in body(ok(30, day="2024-01-01 23:00:00"))
+
+
+def test_named_items_and_counts_of_a_list_gate_are_shuffled(spark):
+    """Items made of a few rows look small to the engine, however many they are."""
+    items = spark.range(50).selectExpr("id AS object_id", "explode(sequence(4L, 7L)) AS job_id").selectExpr(
+        "object_id * 7 + job_id AS job_object_id", "1L AS source_id", "job_id", "1 AS enabled", "1L AS batch_id",
+        "'n_' || object_id || '_' || job_id AS target_object_name", "'n_' || object_id || '_' || (job_id - 1) AS dependent_table_list",
+    )
+    runs = spark.range(1).selectExpr("1L AS batch_id", "1L AS source_id")
+    done = items.filter("job_id = 4").select("batch_id", "job_object_id").distinct()
+    state = gates.list_gate_state(items, items, done, runs, name_col="target_object_name", jobs=(3, 4, 5, 6))
+    joins = [x for x in state._jdf.queryExecution().executedPlan().toString().split("\n") if "BroadcastHashJoin" in x]
+    assert not [x for x in joins if "BroadcastHashJoin [job_object_id" in x or "_name" in x]
+    assert state.count() == 200 and state.filter("met_count = 1").count() == 50 == state.filter("met_count = 1 AND job_id = 5").count()

@@ -267,7 +267,8 @@ class Ledger:
             return self.spark.createDataFrame([], schema).withColumns({n: F.lit(None).cast(t) for n, t in names.items()} | {"_sets": F.array().cast("array<string>")})
         looked = self.spark.createDataFrame(rows, f"_file string, {VERSION} bigint, _first bigint, _sets array<string>")
         read = self._files(all_files, schema).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        return read.join(looked, "_file").withColumn("_id", F.col("_first") + F.col("_row")).drop("_file", "_row", "_first")
+        # the list of files is the driver's own and has a row for each; joined by file, all rows of a file would go to one task
+        return read.join(F.broadcast(looked), "_file").withColumn("_id", F.col("_first") + F.col("_row")).drop("_file", "_row", "_first")
 
     def _settings(self, commits: Sequence[Commit]) -> DataFrame:
         """(key, _to_<column>): for every key and column the latest setting, with its version."""

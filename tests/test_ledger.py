@@ -232,3 +232,18 @@ def test_logs_are_typed_and_numbered(spark, table, tmp_path):
     steps = journal.step_log(spark, str(tmp_path))
     steps.append(table("step_name string, row_count int", ("copy", 4), ("check", None)).coalesce(1), "a")
     assert [(r["log_id"], r["step_name"], r["row_count"]) for r in steps.read().orderBy("log_id").collect()] == [(1, "copy", 4), (2, "check", None)]
+
+
+def test_rows_of_a_file_stay_in_the_tasks_that_read_it(spark, made, table):
+    """Joined by file in a shuffle, as large tables would be, all rows of a file would meet in one task."""
+    log = made(identity=None)
+    log.append(table(ROWS, *[(k, "a", "x") for k in range(20)]), "first")
+    log.set_columns(table("k bigint, v string", (1, "b")), "second")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = log.read()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "hashpartitioning(_file" not in plan and plan.count("BroadcastHashJoin [_file") == 2
+    assert sorted(r["v"] for r in log.read().collect()) == ["a"] * 19 + ["b"]

@@ -47,7 +47,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): the ids of every document and the text they stand for."""
     bounded_batches(spark)
     path, pattern = tokenizer()
-    coded = docs.select("doc_id", bpe.encode(F.col("text"), path, pattern).alias("ids"))
+    # ids are written before they are decoded: a task then has one Python worker at a time, not one for either step
+    coded = cut(docs.select("doc_id", bpe.encode(F.col("text"), path, pattern).alias("ids")))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", bpe.decode(F.col("ids"), path).cast("string").alias("decoded"))
 
 

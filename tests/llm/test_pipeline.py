@@ -70,6 +70,11 @@ def test_tokens(stages):
         assert r["ids"] == own.ids(texts[r["doc_id"]]) and r["decoded"] == texts[r["doc_id"]] and r["n_tokens"] == len(r["ids"])
 
 
+def test_a_task_has_one_python_worker_at_a_time(spark, sample):
+    plan = corpus_pipeline.tokens(spark, sample[0], FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_run_is_all_stages(spark, stages):
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, FOLDER).collect()) == sorted(r["doc_id"] for r in stages[4][1].collect())
 

@@ -22,7 +22,6 @@ from loadkeeper.llm.shared import SPACE, UPPER, words_of
 WINDOW = 5
 #: The symbols that are counted, marks of shouting, marks that begin a list item and that end a cut line.
 SYMBOLS, SHOUTS, BULLETS, ELLIPSES = "#*$%&|<>", "!?", ("- ", "* ", "• ", "· ", "+ "), ("...", "…")
-BLANKS = " \t\n\x0b\x0c\r"
 #: The commonest words of the corpus languages, which running text cannot do without.
 STOP_WORDS = (
     "the of and to in a is that it for was on are as with they at be this from or by not but what all were an you he she have had",
@@ -72,7 +71,8 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+    """The text without some ASCII marks or letters. A pattern takes runs of them out; ``translate`` looks up every character."""
+    return F.regexp_replace(text, "[" + "".join(f"\\x{ord(c):02X}" for c in characters) + "]+", "")
 
 
 def _held(text: Column, characters: str) -> Column:
@@ -107,27 +107,27 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
     return _bound(runs, counted)
 
 
-def _stop_words(words: Column) -> Column:
+def _stop_words(text: Column) -> Column:
+    """How many words are stop words once marks are off; case and marks are seen to once for the text, not word by word."""
     known = [w for line in STOP_WORDS for w in line.split()]
-    marks = ".,;:!?\"'()"
-    return F.size(F.filter(words, lambda w: F.translate(F.lower(w), marks, "").isin(*known)))
+    return F.size(F.filter(words_of(_without(F.lower(text), ".,;:!?\"'()")), lambda w: w.isin(*known)))
 
 
 def measures(text: Column) -> Column:
     """The counts of a text that rules may name, as a struct of longs."""
     text = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(text, "\n", -1), lambda x: _without(x, BLANKS) != "")
+    lines = F.filter(F.split(text, "\n", -1), lambda x: F.rlike(x, F.lit(f"[^{SPACE}]")))
     starts = lambda x, marks: F.rlike(x, F.lit(f"^[{SPACE}]*(" + "|".join(f"\\Q{m}\\E" for m in marks) + ")"))
     ends = lambda x, marks: F.rlike(x, F.lit("(" + "|".join(f"\\Q{m}\\E" for m in marks) + f")[{SPACE}]*$"))
 
     def of(words: Column, rows: Column) -> Column:
         counts = {
             "n_words": F.size(words),
-            "word_chars": F.char_length(_without(text, BLANKS)),
+            "word_chars": F.char_length(F.array_join(words, "")),
             "n_symbols": _held(text, SYMBOLS),
             "n_shouts": _held(text, SHOUTS),
             "n_capitals": _held(text, UPPER),
-            "n_stop_words": _stop_words(words),
+            "n_stop_words": _stop_words(text),
             "n_repeat_words": repeated_words(words),
             "n_echoes": F.size(F.array_compact(F.transform(words, lambda w, i: F.when(w == F.get(words, i - 1), i)))),
             "n_lines": F.size(rows),

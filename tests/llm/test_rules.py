@@ -97,3 +97,11 @@ def test_junk_goes_and_clean_documents_stay(spark, sample):
     clean = [r["kept"] for r in got if r["quality"] == 1 and not r["base_failed"]]
     junk = [r["kept"] for r in got if r["quality"] == 0]
     assert sum(clean) >= 0.99 * len(clean) > 200 and sum(junk) <= 0.05 * len(junk)
+
+
+def test_texts_are_not_looked_up_character_by_character(docs):
+    df = docs([(1, "The,the!! THE\x0b(é)\t\\n 😀 der. \r\n  \n##|x")])
+    measured_ = df.select(rules.measures(F.col("text")).alias("m"))
+    assert "translate(" not in measured_._jdf.queryExecution().optimizedPlan().toString()
+    m = measured_.first()["m"]
+    assert (m["n_words"], m["word_chars"], m["n_symbols"], m["n_shouts"], m["n_capitals"], m["n_stop_words"], m["n_lines"]) == (7, 26, 3, 2, 4, 2, 2)
